@@ -111,7 +111,7 @@ def policy_rows(rows: DataFrame, policies: DataFrame) -> DataFrame:
     on the seller. Administrators read everything and need no join."""
     active = active_policies(policies).withColumn("role", F.upper(F.trim("role")))
     managed = active.filter(F.col("role") == MANAGER).select(
-        "username", F.explode("managed_sellers").cast("bigint").alias("id_empresa")
+        "username", F.explode(F.col("managed_sellers").cast("array<bigint>")).alias("id_empresa")
     ).distinct()
     own = active.filter((F.col("role") == SELLER) & F.col("seller_id").isNotNull()).select(
         "username", F.col("seller_id").cast("bigint").alias("id_vendedor")
