@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemart.functions.calendar import year_month
-from cyclemart.operators.daily import DAY_KEYS
+from cyclemart.operators.daily import DAY_KEYS, MEASURES
 from cyclemart.operators.goals import daily_goal
 from cyclemart.schemas import TABLES
 
-ACTUALS = ("vlr_nota", "vlr_desconto", "qtd_transacoes", "vlr_devolucao", "vlr_cancelada")
 GOALS = ("meta_mensal", "perc_comissao", "dias_uteis", "dia_util")
 GOAL_COMPANY = 0
 
@@ -18,11 +17,11 @@ GOAL_COMPANY = 0
 def combine_actuals(sales: DataFrame, returns: DataFrame, cancels: DataFrame) -> DataFrame:
     """Separately built totals as one frame per key; needed where the three have separate sources."""
     parts = [
-        part.select(*DAY_KEYS, *[F.col(c) if c in part.columns else F.lit(None).alias(c) for c in ACTUALS])
+        part.select(*DAY_KEYS, *[F.col(c) if c in part.columns else F.lit(None).alias(c) for c in MEASURES])
         for part in (sales, returns, cancels)
     ]
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return union.groupBy(*DAY_KEYS).agg(*[F.sum(c).alias(c) for c in ACTUALS])
+    return union.groupBy(*DAY_KEYS).agg(*[F.sum(c).alias(c) for c in MEASURES])
 
 
 def net_realised() -> Column:
@@ -42,12 +41,17 @@ def sales_fact(actuals: DataFrame, goals: DataFrame) -> DataFrame:
 
     The inputs are stacked and grouped rather than left-joined to a seed of keys, so each is read
     once. The stack is hashed on (day, seller): the grouping by company below it and the spread of
-    the seller's rate over all companies above it then need no shuffle of their own.
+    the seller's rate over all companies above it then need no shuffle of their own. A key has at
+    most one actual and one goal row, so ``max`` merges them, on totals narrow enough (a fact row
+    stores 15 digits) to stay primitive.
     """
+    totals = actuals.select(*DAY_KEYS, *[
+        F.col(c).cast("bigint" if c == "qtd_transacoes" else "decimal(18,4)").alias(c) for c in MEASURES
+    ])
     goal_rows = goals.withColumn("codemp", F.lit(GOAL_COMPANY).cast("bigint"))
-    stacked = actuals.unionByName(goal_rows, allowMissingColumns=True)
+    stacked = totals.unionByName(goal_rows, allowMissingColumns=True)
     keyed = stacked.repartition("data_ref", "codvend").groupBy(*DAY_KEYS).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ACTUALS],
+        *[F.coalesce(F.max(c), F.lit(0).cast(totals.schema[c].dataType)).alias(c) for c in MEASURES],
         *[F.max(c).alias(c) for c in GOALS],
     )
     seller_day = Window.partitionBy("data_ref", "codvend")

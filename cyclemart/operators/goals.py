@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.config import SalesRules
@@ -19,26 +19,24 @@ def goals_by_day(
     """Goal, commission rate and working days for each day and seller.
 
     Cycles are opened into days first, so "valid on the day" is an equality and no range join is
-    planned. Where cycles overlap, the one that started last counts.
+    planned. Where cycles overlap, the one that started last counts. Goals are hashed by seller
+    while they are still one row per cycle: the days then open in parallel, and the grouping by day
+    and seller needs no shuffle of day rows.
     """
     days = cycle_days(goal_cycles, rules.holidays).filter(all_of(in_period(F.col("data_ref"), start, end)))
+    priority = F.shiftleft(F.unix_date("dtinic").cast("bigint"), 32) + F.col("codmetavenda").cast("bigint")
+    per_cycle = days.select("codmetavenda", "data_ref", "dias_uteis", "dia_util", priority.alias("prioridade"))
+    spread = int(goal_sellers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     goals = (
         goal_sellers.join(sellers.select("codvend"), "codvend", "left_semi")
-        .join(days.select("codmetavenda", "data_ref", "dtinic", "dias_uteis", "dia_util"), "codmetavenda")
-    )
-    latest = Window.partitionBy("data_ref", "codvend").orderBy(F.desc("dtinic"), F.desc("codmetavenda"))
-    return (
-        goals.withColumn("_ordem", F.row_number().over(latest))
-        .filter("_ordem = 1")
-        .select(
-            "data_ref",
-            F.col("codvend").cast("bigint").alias("codvend"),
-            F.col("vlrmetavendedor").cast("decimal(15,2)").alias("meta_mensal"),
-            F.col("perccomissao").cast("decimal(5,2)").alias("perc_comissao"),
-            "dias_uteis",
-            "dia_util",
-        )
+        .select("codmetavenda", F.col("codvend").cast("bigint").alias("codvend"),
+                F.col("vlrmetavendedor").cast("decimal(15,2)").alias("meta_mensal"),
+                F.col("perccomissao").cast("decimal(5,2)").alias("perc_comissao"))
+        .repartition(spread, "codvend")
+        .join(per_cycle, "codmetavenda")
     )
+    latest = ("meta_mensal", "perc_comissao", "dias_uteis", "dia_util")
+    return goals.groupBy("data_ref", "codvend").agg(*[F.max_by(c, "prioridade").alias(c) for c in latest])
 
 
 def daily_goal(monthly: Column, working_days: Column, is_working_day: Column) -> Column:
