@@ -1,0 +1,151 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from cyclemart.config import SalesRules
+from cyclemart.operators import dimensions, quality
+from cyclemart.schemas import TABLES
+from cyclemart.session import working_path
+from cyclemart.sources.tables import read_jdbc
+from cyclemart.sources.warehouse import Warehouse, export, insert_missing, merge_rows
+
+MAR, APR = date(2026, 3, 5), date(2026, 4, 5)
+
+
+@pytest.fixture
+def warehouse(spark):
+    return Warehouse(spark, working_path(spark, "test-warehouse")).create()
+
+
+def fact(spark, *rows):
+    """(day, seller, realised)"""
+    df = spark.createDataFrame([(d, s, Decimal(v)) for d, s, v in rows], "id_tempo date, id_vendedor bigint, valor_realizado decimal(15,2)")
+    rest = {c: F.lit(0) for c in TABLES["fato_vendasdiarias"].schema.names if c not in (*df.columns, "ano_mes")}
+    return df.withColumns({**rest, "id_empresa": F.lit(1), "ano_mes": F.date_format("id_tempo", "yyyy-MM")})
+
+
+def state(warehouse):
+    return sorted((r.id_tempo, r.id_vendedor, int(r.valor_realizado)) for r in warehouse.fact().collect())
+
+
+def test_empty_tables_read(warehouse):
+    for name, table in TABLES.items():
+        df = warehouse.read(name)
+        assert df.isEmpty() and df.columns == table.schema.names
+
+
+def test_upsert_keeps_vanished_keys_and_is_idempotent(spark, warehouse):
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (MAR, 2, 20), (APR, 1, 30)))
+    for _ in range(2):
+        warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 11), (MAR, 3, 5)))
+        assert state(warehouse) == [(MAR, 1, 11), (MAR, 2, 20), (MAR, 3, 5), (APR, 1, 30)]
+
+
+def test_upsert_leaves_other_months_files_alone(spark, warehouse):
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (APR, 1, 30)))
+    april = set(warehouse.read("fato_vendasdiarias").filter("ano_mes = '2026-04'").inputFiles())
+    april = {f for f in april if "2026-04" in f}
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 11)))
+    assert april <= set(warehouse.read("fato_vendasdiarias").inputFiles())
+
+
+def test_replace_days_drops_vanished_keys(spark, warehouse):
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (MAR, 2, 20), (date(2026, 3, 6), 9, 1), (APR, 1, 30)))
+    days = spark.createDataFrame([(MAR,), (APR,)], "id_tempo date")
+    warehouse.replace_days(fact(spark, (MAR, 1, 11)), days)
+    assert state(warehouse) == [(MAR, 1, 11), (date(2026, 3, 6), 9, 1)]
+
+
+def test_replace_months_leaves_no_tail(spark, warehouse):
+    def ranks(month, n):
+        return spark.range(1, n + 1).select(
+            F.lit(1).alias("id_vendedor"), F.lit(1).alias("id_empresa"), F.lit("CLIENTE").alias("tipo"), F.col("id").alias("id_item"),
+            F.lit(1).alias("valor"), F.col("id").alias("posicao"), F.lit("x").alias("label_item"), F.lit(0).alias("nivel"), F.lit(month).alias("dtref"))
+
+    march, april = date(2026, 3, 1), date(2026, 4, 1)
+    warehouse.replace_months("fato_rankings", ranks(march, 10).union(ranks(april, 10)))
+    warehouse.replace_months("fato_rankings", ranks(march, 4))
+    counts = {r.dtref: r["count"] for r in warehouse.read("fato_rankings").groupBy("dtref").count().collect()}
+    assert counts == {march: 4, april: 10}
+    warehouse.replace_months("fato_rankings", ranks(march, 2), months=[march, april])
+    assert warehouse.read("fato_rankings").count() == 2
+
+
+def test_columns_added_later_read_as_default(spark, warehouse):
+    fact(spark, (MAR, 1, 10)).drop("valor_desconto").write.mode("overwrite").partitionBy("ano_mes").parquet(
+        warehouse.path("fato_vendasdiarias"))
+    row = warehouse.fact().first()
+    assert row.valor_desconto == 0 and row.valor_realizado == 10
+
+
+def test_period_reads_prune_month_folders(spark, warehouse, plan):
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (APR, 1, 30)))
+    df = warehouse.fact(date(2026, 4, 1), date(2026, 4, 30))
+    assert df.count() == 1 and "PartitionFilters: [isnotnull(ano_mes" in plan(df)
+
+
+def test_dimension_merge(spark, warehouse):
+    def names(*rows):
+        return spark.createDataFrame(rows, "id_parceiro bigint, nome_parceiro string")
+
+    warehouse.upsert("dim_parceiro", names((1, "a"), (2, "b")))
+    warehouse.upsert("dim_parceiro", names((2, "B"), (3, "c")))
+    warehouse.insert_missing("dim_parceiro", names((3, "ignored"), (4, "d")))
+    assert sorted(map(tuple, warehouse.read("dim_parceiro").collect())) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_merge_helpers_are_plain_frames(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    assert sorted(map(tuple, merge_rows(old, new, ["k"]).collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    assert sorted(map(tuple, insert_missing(old, new, ["k"]).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_dimension_rows(spark):
+    products = spark.createDataFrame([(1, "p", None, None, None, " c "), (2, "q", 5, "M5", "r", None)],
+                                     "codprod bigint, descrprod string, codmarca bigint, marca string, refforn string, compldesc string")
+    assert {tuple(r) for r in dimensions.brand_rows(products).collect()} == {(0, "SEM MARCA"), (5, "M5")}
+    assert {tuple(r) for r in dimensions.product_rows(products).collect()} == {(1, "p", "", "c"), (2, "q", "r", "")}
+    partners = spark.createDataFrame([(1, "a", "S"), (2, "b", "N")], "codparc bigint, nomeparc string, cliente string")
+    assert [r.id_parceiro for r in dimensions.partner_rows(partners).collect()] == [1]
+    company = spark.createDataFrame([(0, "real"), (1, "x")], "codemp bigint, razaosocial string")
+    assert {tuple(r) for r in dimensions.company_rows(company).collect()} == {(0, "real"), (1, "x")}
+    assert {tuple(r) for r in dimensions.company_rows(company.filter("codemp = 1")).collect()} == {(0, "CORPORATIVO (METAS)"), (1, "x")}
+    time = dimensions.time_rows(spark.createDataFrame([(APR,), (APR,)], "id_tempo date")).collect()
+    assert [(r.ano, r.mes, r.dia, r.trimestre, r.nome_mes) for r in time] == [(2026, 4, 5, 2, None)]
+
+
+def test_quality_counts_violations(spark):
+    df = fact(spark, (MAR, 1, 10), (MAR, 1, 11), (MAR, 7, None or 3)).withColumn(
+        "valor_devolucao", F.when(F.col("id_vendedor") == 7, None).otherwise(F.lit(0)))
+    known = spark.createDataFrame([(1,)], "id_vendedor bigint")
+    report = quality.quality_report(
+        quality.duplicate_keys(df, ("id_tempo", "id_vendedor", "id_empresa"), "u"),
+        quality.missing_parents(df, known, "id_vendedor", "f"),
+        quality.null_values(df, ("valor_devolucao", "valor_realizado"), "n"),
+        quality.failing_rows(df, F.col("valor_realizado") > 5, "c"),
+    )
+    assert {r.regra: r.violacoes for r in report.collect()} == {"u": 1, "f": 1, "n": 1, "c": 1}
+
+
+def test_export(spark):
+    rows = spark.createDataFrame([(1, "a,b")], "k int, v string")
+    for kind, reader in (("csv", lambda p: spark.read.option("header", True).csv(p)), ("json", spark.read.json)):
+        path = working_path(spark, "export")
+        export(rows, path, kind)
+        assert [(int(r.k), r.v) for r in reader(path).collect()] == [(1, "a,b")]
+    with pytest.raises(ValueError):
+        export(rows, working_path(spark, "export"), "pdf")
+
+
+def test_jdbc_partition_needs_bounds(spark):
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:x", "t", partition_column="id")
+
+
+def test_missing_source_raises(spark):
+    with pytest.raises(Exception):
+        Warehouse(spark, working_path(spark, "nothing")).read("dim_parceiro").count()
+    assert SalesRules().lookback_days == 60
