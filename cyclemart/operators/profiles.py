@@ -27,9 +27,15 @@ def ranked_items(stored_rankings: DataFrame, kind: str) -> DataFrame:
     return found.select("dtref", "id_item").distinct()
 
 
-def purchase_days(lines: DataFrame) -> DataFrame:
+def purchase_days(lines: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
     """Sales by company, customer, seller, product and day: the input of customer profiles. Three
-    lists are drawn from it, so write it (``session.materialise``) before passing it on."""
+    lists are drawn from it, so write it (``session.materialise``) before passing it on.
+
+    With ``ranked`` only customers of some ranking count. Spark moves that semi join below the item
+    join, so items of other customers are dropped before they are shuffled on.
+    """
+    if ranked is not None:
+        lines = lines.join(ranked.select(F.col("id_item").alias("codparc")).distinct(), "codparc", "left_semi")
     return lines.groupBy("codemp", "codparc", "codvend", "codprod", "data_ref").agg(F.sum(net_value()).alias("valor"))
 
 
@@ -187,8 +193,13 @@ def name_details(products: DataFrame) -> DataFrame:
 
 
 def enrich_entries(entries: DataFrame, products: DataFrame) -> DataFrame:
-    """Fill blank references and complements of list entries from the product with the same name."""
-    joined = entries.withColumn("_nome", match_name(F.col("nome"))).join(name_details(products), "_nome", "left")
+    """Fill blank references and complements of list entries from the product with the same name.
+    Only products whose name is listed are looked at."""
+    named = entries.withColumn("_nome", match_name(F.col("nome")))
+    wanted = products.withColumn("_nome", match_name(F.col("nome_produto"))).join(
+        named.select("_nome").distinct(), "_nome", "left_semi"
+    )
+    joined = named.join(name_details(wanted), "_nome", "left")
 
     def filled(own: str, found: str) -> Column:
         return F.coalesce(F.nullif(clean(F.col(own)), F.lit("")), F.col(found), F.lit(""))

@@ -123,7 +123,10 @@ def ranking_lookup(stored: DataFrame, products: DataFrame, rules: SalesRules, co
         added = found.groupBy("dtref", "tipo", "id_item", "label_item").agg(F.sum("valor").alias("valor"))
         best = Window.partitionBy("dtref", "tipo").orderBy(F.desc("valor"), F.asc("id_item"), F.asc("label_item"))
         found = added.withColumn("posicao", F.row_number().over(best)).filter(F.col("posicao") <= rules.ranking_size)
-    details = products.select(
+    # The listed ids cut the product table down before the outer join, which could only broadcast
+    # the product side.
+    listed = found.filter(F.col("tipo") == PRODUCT).select(F.col("id_item").alias("id_produto")).distinct()
+    details = products.join(listed, "id_produto", "left_semi").select(
         F.lit(PRODUCT).alias("tipo"), F.col("id_produto").alias("id_item"), "refforn", "complemento"
     )
     return found.join(details, ["tipo", "id_item"], "left").select(
