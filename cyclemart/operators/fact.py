@@ -10,8 +10,8 @@ from cyclemart.operators.daily import DAY_KEYS, MEASURES
 from cyclemart.operators.goals import daily_goal
 from cyclemart.schemas import TABLES
 
-GOALS = ("meta_mensal", "perc_comissao", "dias_uteis", "dia_util")
 GOAL_COMPANY = 0
+MONEY = "decimal(15,2)"
 
 
 def combine_actuals(sales: DataFrame, returns: DataFrame, cancels: DataFrame) -> DataFrame:
@@ -26,14 +26,38 @@ def combine_actuals(sales: DataFrame, returns: DataFrame, cancels: DataFrame) ->
 
 def net_realised() -> Column:
     """Sales less returns, never below zero."""
-    return F.greatest(F.col("vlr_nota") - F.col("vlr_devolucao"), F.lit(0))
+    sold, returned = (F.coalesce(F.col(c), F.lit(0)) for c in ("vlr_nota", "vlr_devolucao"))
+    return F.greatest(sold - returned, F.lit(0))
 
 
 def commission(net: Column, percent: Column) -> Column:
     """``net · percent / 100`` without a decimal division."""
     return (
         net.cast("decimal(18,4)") * percent.cast("decimal(5,2)") * F.lit("0.01").cast("decimal(3,2)")
-    ).cast("decimal(15,2)")
+    ).cast(MONEY)
+
+
+def actual_rows(actuals: DataFrame) -> DataFrame:
+    def money(column: str) -> Column:
+        return F.coalesce(F.col(column), F.lit(0)).cast(MONEY)
+
+    return actuals.select(
+        *DAY_KEYS,
+        net_realised().cast("decimal(18,4)").alias("liquido"),
+        money("vlr_devolucao").alias("valor_devolucao"),
+        money("vlr_cancelada").alias("valor_cancelado"),
+        money("vlr_desconto").alias("valor_desconto"),
+        F.coalesce("qtd_transacoes", F.lit(0)).cast("bigint").alias("qtd_transacoes"),
+    )
+
+
+def goal_rows(goals: DataFrame) -> DataFrame:
+    per_day = daily_goal(F.col("meta_mensal"), F.col("dias_uteis"), F.col("dia_util"))
+    return goals.select(
+        "data_ref", F.lit(GOAL_COMPANY).cast("bigint").alias("codemp"), "codvend",
+        F.col("meta_mensal").cast(MONEY).alias("valor_meta_mensal"), per_day.cast(MONEY).alias("valor_meta_diaria"),
+        "perc_comissao",
+    )
 
 
 def sales_fact(actuals: DataFrame, goals: DataFrame) -> DataFrame:
@@ -42,36 +66,25 @@ def sales_fact(actuals: DataFrame, goals: DataFrame) -> DataFrame:
     The inputs are stacked and grouped rather than left-joined to a seed of keys, so each is read
     once. The stack is hashed on (day, seller): the grouping by company below it and the spread of
     the seller's rate over all companies above it then need no shuffle of their own. A key has at
-    most one actual and one goal row, so ``max`` merges them, on totals narrow enough (a fact row
-    stores 15 digits) to stay primitive.
+    most one actual and one goal row, so ``max`` merges them without widening the amounts.
     """
-    totals = actuals.select(*DAY_KEYS, *[
-        F.col(c).cast("bigint" if c == "qtd_transacoes" else "decimal(18,4)").alias(c) for c in MEASURES
-    ])
-    goal_rows = goals.withColumn("codemp", F.lit(GOAL_COMPANY).cast("bigint"))
-    stacked = totals.unionByName(goal_rows, allowMissingColumns=True)
-    keyed = stacked.repartition("data_ref", "codvend").groupBy(*DAY_KEYS).agg(
-        *[F.coalesce(F.max(c), F.lit(0).cast(totals.schema[c].dataType)).alias(c) for c in MEASURES],
-        *[F.max(c).alias(c) for c in GOALS],
-    )
+    stacked = actual_rows(actuals).unionByName(goal_rows(goals), allowMissingColumns=True)
+    amounts = [c for c in stacked.columns if c not in DAY_KEYS]
+    keyed = stacked.repartition("data_ref", "codvend").groupBy(*DAY_KEYS).agg(*[F.max(c).alias(c) for c in amounts])
     seller_day = Window.partitionBy("data_ref", "codvend")
-    rated = keyed.withColumn("taxa", F.coalesce(F.max("perc_comissao").over(seller_day), F.lit(0)))
+    rated = keyed.withColumn("taxa", F.max("perc_comissao").over(seller_day))
 
-    def money(value: Column, name: str) -> Column:
-        return F.coalesce(value.cast("decimal(15,2)"), F.lit(0).cast("decimal(15,2)")).alias(name)
+    def filled(value: Column, name: str) -> Column:
+        return F.coalesce(value, F.lit(0)).cast(TABLES["fato_vendasdiarias"].schema[name].dataType).alias(name)
 
     fact = rated.select(
         F.col("data_ref").alias("id_tempo"),
         F.col("codvend").cast("bigint").alias("id_vendedor"),
         F.col("codemp").cast("bigint").alias("id_empresa"),
-        money(daily_goal(F.col("meta_mensal"), F.col("dias_uteis"), F.col("dia_util")), "valor_meta_diaria"),
-        money(F.col("meta_mensal"), "valor_meta_mensal"),
-        money(net_realised(), "valor_realizado"),
-        money(F.col("vlr_devolucao"), "valor_devolucao"),
-        money(F.col("vlr_cancelada"), "valor_cancelado"),
-        money(commission(net_realised(), F.col("taxa")), "valor_comissao"),
-        money(F.col("vlr_desconto"), "valor_desconto"),
-        F.col("qtd_transacoes").cast("bigint").alias("qtd_transacoes"),
+        filled(F.col("liquido"), "valor_realizado"),
+        filled(commission(F.col("liquido"), F.col("taxa")), "valor_comissao"),
+        *[filled(F.col(c), c) for c in ("valor_meta_diaria", "valor_meta_mensal", "valor_devolucao", "valor_cancelado",
+                                        "valor_desconto", "qtd_transacoes")],
         year_month(F.col("data_ref")).alias("ano_mes"),
     )
     return fact.select(*TABLES["fato_vendasdiarias"].schema.names)

@@ -91,7 +91,7 @@ TABLES = {
             defaults={"id_vendedor": 0},
         ),
         Table(
-            "dash_users",
+            "usuarios_acesso",
             _struct(username=TEXT, role=TEXT, seller_id=INT, managed_sellers=T.ArrayType(INT),
                     is_active=T.BooleanType()),
             ("username",),
