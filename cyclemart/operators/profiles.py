@@ -27,30 +27,37 @@ def ranked_items(stored_rankings: DataFrame, kind: str) -> DataFrame:
     return found.select("dtref", "id_item").distinct()
 
 
-def purchase_days(lines: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
+def purchase_days(lines: DataFrame, sellers: DataFrame, products: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
     """Sales by company, customer, seller, product and day: the input of customer profiles. Three
-    lists are drawn from it, so write it (``session.materialise``) before passing it on.
+    lists are drawn from it, so write it (``session.materialise``) before passing it on. Sales of
+    sellers or products that master data lacks drop out here, once for all lists.
 
     With ``ranked`` only customers of some ranking count. Spark moves that semi join below the item
     join, so items of other customers are dropped before they are shuffled on.
     """
     if ranked is not None:
         lines = lines.join(ranked.select(F.col("id_item").alias("codparc")).distinct(), "codparc", "left_semi")
-    return lines.groupBy("codemp", "codparc", "codvend", "codprod", "data_ref").agg(F.sum(net_value()).alias("valor"))
+    totals = lines.groupBy("codemp", "codparc", "codvend", "codprod", "data_ref").agg(F.sum(net_value()).alias("valor"))
+    return totals.join(products.select("codprod"), "codprod", "left_semi").join(
+        sellers.select("codvend", F.col("apelido").alias("vendedor")), "codvend"
+    )
+
+
+def _in_windows(days: DataFrame, ranked: DataFrame, rules: SalesRules, as_of: date | None) -> DataFrame:
+    """Each row once per month that ranks its customer and whose trailing window holds its day. A
+    month's window ends on its last processed day: the end of the month, or ``as_of`` in the month
+    that is still open.
+
+    A customer's ranked months travel as one list, so rows are shuffled to it once and multiplied
+    afterwards. The list is no longer than the history has months.
+    """
+    months = ranked.groupBy(F.col("id_item").alias("codparc")).agg(F.collect_set("dtref").alias("meses"))
 
+    def holds_day(month: Column) -> Column:
+        anchor = F.least(F.last_day(month), F.lit(as_of)) if as_of else F.last_day(month)
+        return F.col("data_ref").between(F.date_sub(anchor, rules.profile_days), anchor)
 
-def _in_windows(days: DataFrame, rules: SalesRules, as_of: date | None) -> DataFrame:
-    """Each row once per month whose trailing window holds its day. A month's window ends on its
-    last processed day: the end of the month, or ``as_of`` in the month that is still open."""
-    last = F.lit(as_of) if as_of else F.date_add("data_ref", rules.profile_days)
-    opened = days.withColumn("dtref", F.explode(F.sequence(
-        month_start(F.col("data_ref")),
-        F.greatest(month_start(F.col("data_ref")),
-                   month_start(F.least(last, F.date_add("data_ref", rules.profile_days)))),
-        F.expr("interval 1 month"),
-    )))
-    anchor = F.least(F.last_day("dtref"), F.lit(as_of)) if as_of else F.last_day("dtref")
-    return opened.filter(F.col("data_ref").between(F.date_sub(anchor, rules.profile_days), anchor))
+    return days.join(months, "codparc").withColumn("dtref", F.explode(F.filter("meses", holds_day))).drop("meses")
 
 
 def _entry(*extra: Column) -> Column:
@@ -88,18 +95,9 @@ def mean_gap(days: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def repurchase_gaps(days: DataFrame, ranked: DataFrame, sellers: DataFrame, products: DataFrame, rules: SalesRules,
-                    as_of: date | None = None, levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
-    return _gaps(_profile_transactions(days, ranked, sellers, products, rules, as_of), levels)
-
-
-def _profile_transactions(days: DataFrame, ranked: DataFrame, sellers: DataFrame, products: DataFrame,
-                          rules: SalesRules, as_of: date | None) -> DataFrame:
-    known = days.join(products.select("codprod"), "codprod", "left_semi").join(
-        sellers.select("codvend", F.col("apelido").alias("vendedor")), "codvend"
-    )
-    wanted = ranked.select("dtref", F.col("id_item").alias("codparc"))
-    return _in_windows(known, rules, as_of).join(wanted, ["dtref", "codparc"], "left_semi")
+def repurchase_gaps(days: DataFrame, ranked: DataFrame, rules: SalesRules, as_of: date | None = None,
+                    levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
+    return _gaps(_in_windows(days, ranked, rules, as_of), levels)
 
 
 def _gaps(transactions: DataFrame, levels: Sequence[int]) -> DataFrame:
@@ -109,11 +107,11 @@ def _gaps(transactions: DataFrame, levels: Sequence[int]) -> DataFrame:
     return mean_gap(level_days, [*profile, *LEVEL_KEYS])
 
 
-def customer_profiles(days: DataFrame, ranked: DataFrame, sellers: DataFrame, products: DataFrame, rules: SalesRules,
+def customer_profiles(days: DataFrame, ranked: DataFrame, products: DataFrame, rules: SalesRules,
                       as_of: date | None = None, levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
     """Top products, top sellers and mean repurchase gap of every ranked customer over the trailing
     window of each month. ``days`` comes from ``purchase_days``."""
-    transactions = _profile_transactions(days, ranked, sellers, products, rules, as_of)
+    transactions = _in_windows(days, ranked, rules, as_of)
     profile = ["dtref", "codparc"]
     keys = [*profile, *LEVEL_KEYS]
     total = F.sum("valor").alias("total")

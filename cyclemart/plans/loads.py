@@ -34,8 +34,8 @@ def build_rankings(source: RetailSource, period: Range = None, **only) -> DataFr
 
 def build_customer_profiles(source: RetailSource, ranked: DataFrame, period: Range = None,
                             as_of: date | None = None, **only) -> DataFrame:
-    days = materialise(purchase_days(source.sales(period), ranked), "purchase-days")
-    return customer_profiles(days, ranked, source.sellers(), source.products(), source.rules, as_of, **only)
+    days = purchase_days(source.sales(period), source.sellers(), source.products(), ranked)
+    return customer_profiles(materialise(days, "purchase-days"), ranked, source.products(), source.rules, as_of, **only)
 
 
 def build_brand_profiles(source: RetailSource, ranked: DataFrame, period: Range = None, **only) -> DataFrame:

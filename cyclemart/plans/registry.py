@@ -245,8 +245,8 @@ def customer_profile(src):
 @query
 def repurchase_gap(src):
     ranked = profiles.ranked_items(_table(src, "fato_rankings"), R.CUSTOMER)
-    days = profiles.purchase_days(src.sales(), ranked)
-    return profiles.repurchase_gaps(days, ranked, src.sellers(), src.products(), RULES).select(
+    days = profiles.purchase_days(src.sales(), src.sellers(), src.products(), ranked)
+    return profiles.repurchase_gaps(days, ranked, RULES).select(
         "dtref", "nivel", F.col("codparc").alias("id_cliente"), F.col("codemp").alias("id_empresa"),
         F.col("codvend").alias("id_vendedor"), "tempo_medio_compra",
     )

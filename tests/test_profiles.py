@@ -72,7 +72,7 @@ def expected_customers(data, as_of=None):
 @pytest.mark.parametrize("as_of", [None, date(2026, 10, 12)])
 def test_customer_profiles(spark, data, as_of):
     lines, ranked, sellers, products = frames(spark, data)
-    df = P.customer_profiles(P.purchase_days(lines), ranked, sellers, products, RULES, as_of)
+    df = P.customer_profiles(P.purchase_days(lines, sellers, products, ranked), ranked, products, RULES, as_of)
     found = {
         (r.dtref, r.nivel, r.id_cliente, r.id_empresa, r.id_vendedor):
             ([tuple(e) for e in r.top_produtos], [tuple(e) for e in r.top_vendedores], r.tempo_medio_compra)
@@ -83,7 +83,7 @@ def test_customer_profiles(spark, data, as_of):
 
 def test_gaps_alone_equal_the_profiles_gaps(spark, data):
     lines, ranked, sellers, products = frames(spark, data)
-    df = P.repurchase_gaps(P.purchase_days(lines), ranked, sellers, products, RULES)
+    df = P.repurchase_gaps(P.purchase_days(lines, sellers, products), ranked, RULES)
     found = {(r.dtref, r.nivel, r.codparc, r.codemp, r.codvend): r.tempo_medio_compra for r in df.collect()}
     assert found == {k: v[2] for k, v in expected_customers(data).items()}
 
@@ -106,7 +106,7 @@ def test_unknown_products_and_sellers_drop_out(spark):
     rows = [(date(2026, 2, 3), 1, 1, 1, 1, Decimal(5), Decimal(0)), (date(2026, 2, 9), 1, 99, 1, 1, Decimal(5), Decimal(0)),
             (date(2026, 2, 20), 1, 1, 1, 99, Decimal(5), Decimal(0))]
     lines, ranked, sellers, products = frames(spark, (rows, [(date(2026, 2, 1), 1)]))
-    row = P.customer_profiles(P.purchase_days(lines), ranked, sellers, products, RULES, levels=(GLOBAL,)).collect()
+    row = P.customer_profiles(P.purchase_days(lines, sellers, products, ranked), ranked, products, RULES, levels=(GLOBAL,)).collect()
     assert len(row) == 1 and row[0].tempo_medio_compra == 0.0 and len(row[0].top_produtos) == 1
 
 
