@@ -52,12 +52,18 @@ def _in_windows(days: DataFrame, ranked: DataFrame, rules: SalesRules, as_of: da
     afterwards. The list is no longer than the history has months.
     """
     months = ranked.groupBy(F.col("id_item").alias("codparc")).agg(F.collect_set("dtref").alias("meses"))
-
-    def holds_day(month: Column) -> Column:
-        anchor = F.least(F.last_day(month), F.lit(as_of)) if as_of else F.last_day(month)
-        return F.col("data_ref").between(F.date_sub(anchor, rules.profile_days), anchor)
-
-    return days.join(months, "codparc").withColumn("dtref", F.explode(F.filter("meses", holds_day))).drop("meses")
+    day = F.col("data_ref")
+    latest = F.date_add(day, rules.profile_days)
+    if as_of:
+        latest = F.greatest(day, F.least(latest, F.lit(as_of)))
+    anchor = F.least(F.last_day("dtref"), F.lit(as_of)) if as_of else F.last_day("dtref")
+    candidates = F.sequence(month_start(day), month_start(latest), F.expr("interval 1 month"))
+    return (
+        days.join(months, "codparc")
+        .withColumn("dtref", F.explode(candidates))
+        .filter(F.array_contains("meses", F.col("dtref")) & day.between(F.date_sub(anchor, rules.profile_days), anchor))
+        .drop("meses")
+    )
 
 
 def _entry(*extra: Column) -> Column:
