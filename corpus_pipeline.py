@@ -42,8 +42,10 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group: the one of smallest id. Of repeated rows of one id, one stays."""
     ship(spark)
-    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("_key")
+    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
+    # Join and removal of repeated rows share one shuffle by the key.
+    return docs.select("*", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

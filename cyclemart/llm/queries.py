@@ -24,15 +24,15 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(cyclemart.__file__))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "cyclemart.zip")
-        with zipfile.ZipFile(path, "w") as archive:
-            for at, _, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(at, name)
-                        archive.write(full, os.path.join("cyclemart", os.path.relpath(full, root)))
-        context.addPyFile(path)
+    # The driver serves the file as long as the application lives.
+    path = os.path.join(tempfile.mkdtemp(prefix="cyclemart-code-"), "cyclemart.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    archive.write(full, os.path.join("cyclemart", os.path.relpath(full, root)))
+    context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
 
 
