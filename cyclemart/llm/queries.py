@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cyclemart
-from cyclemart.llm import decontaminate, langid, packing, quality, simhash
+from cyclemart.llm import decontaminate, extract, langid, packing, quality, simhash, vectors, warc
 from cyclemart.llm.common import held_out, table
 
 _SHIPPED: set[str] = set()
@@ -56,17 +56,29 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs)
     return langid.identify(docs, model, keep=["doc_id"]).withColumn("held_out", held_out("doc_id"))
 
 
+def op10_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"), keep=["page_id", "url"])
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -76,7 +88,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: _shipped(q) for q in (op1_quality, op3_packing, op4_simhash, op6_decontaminate, op9_langid)
+    q.__name__: _shipped(q) for q in (op1_quality, op3_packing, op4_simhash, op5_vectors, op6_decontaminate, op7_warc, op9_langid, op10_extract)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
