@@ -298,7 +298,9 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, payload
         if rows:
             yield flush()
 
-    return archives.select("archive").distinct().mapInArrow(run, RECORD_SCHEMA)
+    names = archives.select("archive").distinct()
+    # As many partitions as files: a fixed number is not coalesced, however short the list of names is.
+    return names.repartition(max(1, min(names.count(), 20_000)), "archive").mapInArrow(run, RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> DataFrame:
