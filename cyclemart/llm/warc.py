@@ -30,8 +30,8 @@ _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _FIELD = re.compile(rb"([!#$%&'*+\-.^_`|~0-9A-Za-z]+):[ \t]*(.*)")
 #: An archive is closed when it has this many bytes; one record may exceed it.
 ARCHIVE_BYTES = 32 << 20
-#: Bytes read at once, and the length up to which a record's header is looked for.
-CHUNK, HEADER = 1 << 20, 1 << 16
+#: Bytes read at once, the length up to which a record's header is looked for, and the bytes unpacked at once.
+CHUNK, HEADER, PIECE = 1 << 20, 1 << 16, 1 << 14
 
 RECORD_SCHEMA = ("archive string, position long, stored long, record_type string, page_id string, refers_to string, "
                  "uri string, payload_digest string, payload_bytes long, payload binary, problem string")
@@ -123,48 +123,66 @@ def parse_record(data: bytes, whole: bool = True) -> tuple[Record, int]:
 
 
 class Window:
-    """The unread part of a stream; grows by chunks and forgets what is behind."""
+    """The unread part of a stream, from ``at`` on; grows by chunks and drops what is behind now and then."""
 
     def __init__(self, read: Callable[[int], bytes]):
-        self.read, self.data, self.base, self.ended = read, b"", 0, False
+        self.read, self.data, self.at, self.base, self.ended = read, b"", 0, 0, False
+
+    def __len__(self) -> int:
+        return len(self.data) - self.at
+
+    @property
+    def position(self) -> int:
+        return self.base + self.at
 
     def more(self) -> bool:
         if self.ended:
             return False
         # A doubling read keeps the cost of a large record in proportion to its length.
-        chunk = self.read(max(CHUNK, len(self.data)))
+        chunk = self.read(max(CHUNK, len(self)))
         self.ended = not chunk
-        self.data += chunk
+        self.data, self.base, self.at = self.data[self.at:] + chunk, self.base + self.at, 0
         return not self.ended
 
+    def head(self, n: int) -> bytes:
+        return self.data[self.at:self.at + n]
+
+    def find(self, what: bytes, start: int, stop: int | None = None) -> int:
+        """Place of ``what`` counted from ``at``, or -1."""
+        found = self.data.find(what, self.at + start, len(self.data) if stop is None else self.at + stop)
+        return found - self.at if found >= 0 else -1
+
     def forget(self, n: int) -> None:
-        self.data, self.base = self.data[n:], self.base + n
+        self.at += n
 
 
 def _next_member(w: Window) -> tuple[Record, int]:
     """The record in the gzip member at the start of the window and the member's length."""
-    if not w.data.startswith(MAGIC):
+    if w.head(3) != MAGIC:
         raise Damaged("no gzip member")
     unpacker, out, used = zlib.decompressobj(31), [], 0
     while True:
+        if used == len(w) and not w.more():
+            raise Damaged("gzip member cut off")
+        piece = w.data[w.at + used:w.at + used + PIECE]
         try:
-            out.append(unpacker.decompress(w.data[used:]))
+            out.append(unpacker.decompress(piece))
         except zlib.error as e:
             raise Damaged(f"gzip: {e}") from None
-        used = len(w.data) - len(unpacker.unused_data)
+        used += len(piece) - len(unpacker.unused_data)
         if unpacker.eof:
             return parse_record(b"".join(out))[0], used
-        if not w.more():
-            raise Damaged("gzip member cut off")
 
 
 def _next_plain(w: Window) -> tuple[Record, int]:
+    if w.head(7) != b"WARC/1.":
+        raise Damaged("no version line")
     while True:
-        end = w.data.find(b"\r\n\r\n", 0, HEADER)
-        length = re.search(rb"\r\ncontent-length:[ \t]*(\d+)\r\n", w.data[:end + 2], re.I) if end >= 0 else None
-        enough = end + 8 + int(length[1]) <= len(w.data) if length else end >= 0 or len(w.data) >= HEADER
-        if enough or not w.more():
-            return parse_record(w.data, whole=False)
+        end = w.find(b"\r\n\r\n", 0, HEADER)
+        length = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,15})\r\n", w.head(end + 2), re.I) if end >= 0 else None
+        size = end + 8 + int(length[1]) if length else HEADER
+        if end >= 0 and (not length or size <= len(w)) or len(w) >= HEADER and end < 0 or not w.more():
+            return parse_record(w.head(size), whole=False)
 
 
 def salvage(archive: str, read: Callable[[int], bytes]) -> Iterator[dict]:
@@ -180,34 +198,34 @@ def salvage(archive: str, read: Callable[[int], bytes]) -> Iterator[dict]:
         return dict.fromkeys(("record_type", "page_id", "refers_to", "uri", "payload_digest", "payload_bytes", "payload")) | {
             "archive": archive, "position": gap_at, "stored": stop - gap_at, "problem": why}
 
-    while w.data or w.more():
+    while len(w) or w.more():
         # Starts that a chunk's end may cut need a few bytes more.
-        while len(w.data) < 16 and w.more():
+        while len(w) < 16 and w.more():
             pass
         try:
-            record, used = _next_member(w) if w.data.startswith(MAGIC[:2]) else _next_plain(w)
+            record, used = _next_member(w) if w.head(2) == MAGIC[:2] else _next_plain(w)
         except Damaged as e:
             if gap_at is None:
-                gap_at, why = w.base, str(e)
+                gap_at, why = w.position, str(e)
             step = 1
             while True:
-                starts = [k for k in (w.data.find(MAGIC, step), w.data.find(b"WARC/1.", step)) if k >= 0]
+                starts = [k for k in (w.find(MAGIC, step), w.find(b"WARC/1.", step)) if k >= 0]
                 if starts:
                     w.forget(min(starts))
                     break
-                w.forget(max(len(w.data) - 8, step if len(w.data) <= 8 else 0))
+                w.forget(max(len(w) - 8, min(step, len(w))))
                 step = 0
                 if not w.more():
-                    w.forget(len(w.data))
+                    w.forget(len(w))
                     break
             continue
         if gap_at is not None:
-            yield gap(w.base)
+            yield gap(w.position)
             gap_at = None
-        yield record.row(archive, w.base, used)
+        yield record.row(archive, w.position, used)
         w.forget(used)
     if gap_at is not None:
-        yield gap(w.base)
+        yield gap(w.position)
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
