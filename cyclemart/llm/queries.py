@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import cyclemart
-from cyclemart.llm import decontaminate, extract, langid, packing, quality, simhash, vectors, warc
-from cyclemart.llm.common import held_out, table
+from cyclemart.llm import chat, decontaminate, extract, langid, packing, quality, simhash, token_counts, vectors, warc
+from cyclemart.llm.common import held_out, materialise, table
 
 _SHIPPED: set[str] = set()
 
@@ -47,6 +47,11 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model, keep=["doc_id"]).withColumn("held_out", held_out("doc_id"))
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), packing_settings())
 
@@ -69,6 +74,13 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with an assistant turn against itself with another reply, and conversations that open alike."""
+    whole = materialise(chat.conversations(table(spark, folder, "conversations")), "chat-conversations")
+    siblings = chat.named_pairs(whole, chat.pair_by_opening(whole))
+    return chat.preference_examples(chat.reply_swaps(whole).unionByName(siblings))
+
+
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs)
@@ -88,7 +100,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: _shipped(q) for q in (op1_quality, op3_packing, op4_simhash, op5_vectors, op6_decontaminate, op7_warc, op9_langid, op10_extract)
+    q.__name__: _shipped(q) for q in (op1_quality, op2_token_counts, op3_packing, op4_simhash, op5_vectors, op6_decontaminate, op7_warc, op8_chat, op9_langid, op10_extract)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
