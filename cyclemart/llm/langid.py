@@ -147,14 +147,18 @@ def train(x: np.ndarray, y: Sequence[str], s: LanguageSettings = LanguageSetting
 def fit(docs: DataFrame, s: LanguageSettings = LanguageSettings(), text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> LanguageModel:
     """Learn from rows that are not held out and whose text and language are known.
 
-    At most ``sample_per_language`` rows of a language and ``sample`` in all, those of smallest hash of id and
-    text, are turned into profiles and collected.
+    At most ``sample_per_language`` rows of a language and ``sample`` in all, those of smallest hash of the id, are
+    turned into profiles and collected. Of each language only the part of the hash range that holds four times as many is
+    ordered, so a language with most of the rows is no large group.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id)).select(
-        F.col(lang).cast("string").alias("_lang"), F.col(text).cast("string").alias("_text"), F.xxhash64(doc_id, text).alias("_order"))
+        F.col(lang).cast("string").alias("_lang"), F.col(text).cast("string").alias("_text"), F.xxhash64(doc_id).alias("_order"))
     # The cut is decided on hashes alone; only the texts it keeps are read again.
-    ranked = known.select("_lang", "_order").distinct().withColumn(
-        "_n", F.row_number().over(Window.partitionBy("_lang").orderBy("_order"))).where(F.col("_n") <= s.sample_per_language)
+    ids = known.select("_lang", "_order").distinct()
+    share = ids.groupBy("_lang").agg((F.lit(4.0 * s.sample_per_language) / F.count("*")).alias("_share"))
+    near = ids.join(share, "_lang").where(F.shiftrightunsigned("_order", 11) < F.col("_share") * float(1 << 53))
+    first = F.shiftrightunsigned("_order", 11)
+    ranked = near.withColumn("_n", F.row_number().over(Window.partitionBy("_lang").orderBy(first, "_order"))).where(F.col("_n") <= s.sample_per_language)
     chosen = ranked.orderBy("_n", "_lang").limit(s.sample).select("_lang", "_order")
     few = known.join(F.broadcast(chosen), ["_lang", "_order"])
 
