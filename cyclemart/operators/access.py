@@ -48,7 +48,7 @@ def kpi_scope(user: User, company: int | None = None, seller: int | None = None)
     if user.kind == MANAGER:
         if company and company not in user.companies:
             return DENIED
-        return Scope(bool(user.companies), company or tuple(user.companies), chosen)
+        return Scope(True, company or tuple(user.companies), chosen) if user.companies else DENIED
     if user.kind == SELLER and user.seller_id is not None:
         return Scope(True, company or None, (user.seller_id,))
     return DENIED

@@ -23,11 +23,23 @@ RATE = "decimal(18,10)"
 
 
 def scope_period(fact: DataFrame, start: date | None, end: date | None, dtref: date | None = None) -> DataFrame:
-    return fact.filter(all_of(in_period(F.col("id_tempo"), start, end))).withColumn(
+    """Rows of a period; on the stored fact the months outside it are not read."""
+    return fact.filter(all_of(in_period(F.col("id_tempo"), start, end)) & _months(fact, start, end)).withColumn(
         "dtref", F.lit(dtref or start).cast("date")
     )
 
 
+def _months(fact: DataFrame, start: date | None, end: date | None) -> Column:
+    """Bound on the month partition of the fact, where it has one."""
+    bound = F.lit(True)
+    if "ano_mes" in fact.columns:
+        if start is not None:
+            bound = bound & (F.col("ano_mes") >= f"{start:%Y-%m}")
+        if end is not None:
+            bound = bound & (F.col("ano_mes") <= f"{end:%Y-%m}")
+    return bound
+
+
 def scope_cycles(fact: DataFrame, cycles: DataFrame) -> DataFrame:
     """Each row once for every cycle that holds its day."""
     days = cycles.select("dtref", F.explode(F.sequence("dtinic", "dtfin")).alias("id_tempo"))
@@ -82,7 +94,7 @@ def latest_rates(fact: DataFrame, rules: SalesRules) -> DataFrame:
     """Each seller's commission rate on the last day with commission since the floor date, over any
     company and whatever period is asked for. On one day the lowest company id counts."""
     valid = fact.filter(
-        (F.col("id_tempo") >= F.lit(rules.rate_floor)) & (F.col("valor_comissao") > 0) & (F.col("valor_realizado") > 0)
+        _months(fact, rules.rate_floor, None) & (F.col("id_tempo") >= F.lit(rules.rate_floor)) & (F.col("valor_comissao") > 0) & (F.col("valor_realizado") > 0)
     )
     last = Window.partitionBy("id_vendedor").orderBy(F.desc("id_tempo"), F.asc("id_empresa"))
     rate = F.col("valor_comissao").cast("double") / F.col("valor_realizado").cast("double")
@@ -264,9 +276,10 @@ def chart_days(cards: DataFrame, daily: DataFrame, cycles: DataFrame, rules: Sal
     """Every day of a cycle with realised value and goal. Working days share the total goal evenly;
     other days keep the stored goal; days without rows are 0."""
     spine = cycle_days(cycles, rules.holidays).select("dtref", F.col("data_ref").alias("date"), "dias_uteis", "dia_util")
-    goals = cards.select("dtref", F.col("meta").alias("meta_total"))
-    each = F.when(F.col("dias_uteis") > 0, F.col("meta_total").cast("double") / F.col("dias_uteis")).otherwise(F.lit(0.0))
-    return spine.join(goals, "dtref").join(daily, ["dtref", "date"], "left").select(
+    goals = cards.select("dtref", F.col("meta").alias("_meta"))
+    total = F.coalesce("_meta", F.lit(0))
+    each = F.when(F.col("dias_uteis") > 0, total.cast("double") / F.col("dias_uteis")).otherwise(F.lit(0.0))
+    return spine.join(goals, "dtref", "left").join(daily, ["dtref", "date"], "left").select(
         "dtref",
         "date",
         F.coalesce(F.col("realized").cast("double"), F.lit(0.0)).alias("realized"),

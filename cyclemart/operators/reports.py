@@ -57,7 +57,7 @@ def performance_vs_goal(rows: DataFrame, goals: DataFrame, sellers: DataFrame) -
         .join(sold, ["mes", "id_vendedor"], "left")
         .withColumn("vendido", F.coalesce("vendido", F.lit(0)))
         .withColumn("percentual_meta", F.when(F.col("meta") != 0, F.round(
-            F.col("vendido").cast("decimal(22,4)") * 100 / F.col("meta").cast("decimal(12,0)"), 2)).cast(CENTS))
+            F.col("vendido").cast("decimal(22,4)") * 100 / F.col("meta").cast("decimal(15,2)"), 2)).cast(CENTS))
     )
 
 
@@ -87,6 +87,12 @@ def conversion_rate(events: DataFrame, lead: str, sale: str) -> DataFrame:
     return counts.withColumn("conversao", F.coalesce(rate, F.lit(0.0)))
 
 
+def share_of_all(totals: DataFrame, value: str) -> DataFrame:
+    """Each row's percentage of the sum over all rows, which is one number and no group."""
+    whole = totals.agg(F.sum(value).cast("double").alias("t")).scalar()
+    return totals.withColumn("percentual", F.when(whole != 0, F.col(value).cast("double") / whole * 100).otherwise(0.0))
+
+
 def share_of_total(totals: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Each row's percentage of its group's total."""
     whole = F.sum(value).over(Window.partitionBy(*by)).cast("double")

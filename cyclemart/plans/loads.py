@@ -119,7 +119,9 @@ def daily_run(warehouse: Warehouse, source: RetailSource, target: date, *, repro
 
 
 def full_load(warehouse: Warehouse, source: RetailSource, tables: Sequence[str]) -> None:
-    """Whole-history load of the named facts, in dependency order."""
+    """Whole-history load of the named tables, in dependency order."""
+    if "dim_tempo_ref" in tables:
+        warehouse.load("dim_tempo_ref", dimensions.cycle_rows(source.goal_cycles()))
     if "fato_vendasdiarias" in tables:
         warehouse.load("fato_vendasdiarias", build_fact(source))
     if "fato_rankings" in tables:

@@ -33,9 +33,10 @@ CTES: dict[str, str] = {
     "ciclos": """
         SELECT CAST(m AS DATE) AS dtref, CAST(m - INTERVAL 1 MONTH + INTERVAL 25 DAY AS DATE) AS dtinic,
                CAST(m + INTERVAL 24 DAY AS DATE) AS dtfin
-        FROM (SELECT UNNEST(generate_series(DATE_TRUNC('month', MIN(o_orderdate)) + INTERVAL 1 MONTH,
-                                            DATE_TRUNC('month', MAX(o_orderdate)) + INTERVAL 4 MONTH,
-                                            INTERVAL 1 MONTH)) AS m FROM orders)""",
+        FROM (SELECT UNNEST(generate_series(DATE_TRUNC('month', CAST(MIN(d) AS DATE) - INTERVAL 25 DAY + INTERVAL 1 MONTH),
+                                            DATE_TRUNC('month', CAST(MAX(d) AS DATE) - INTERVAL 25 DAY + INTERVAL 1 MONTH),
+                                            INTERVAL 1 MONTH)) AS m
+              FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem))""",
     "dias": """
         SELECT dtref, dtinic, dtfin, CAST(d AS DATE) AS dia,
                isodow(d) < 7 AND CAST(d AS DATE) NOT IN (DATE '1997-12-25', DATE '1998-01-01', DATE '1998-02-24') AS util
@@ -458,13 +459,16 @@ ORACLE: dict[str, str] = {
     "upsert_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, emp AS id_empresa, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor
         FROM perfil_marcas m JOIN produtos USING (codprod) WHERE nivel = 1 AND (dtref >= DATE '1998-01-01' OR posicao = 1)"""),
-    "quality_report": _sql("""SELECT 'chave unica do fato' AS regra, 0 AS violacoes UNION ALL SELECT 'chave unica do ranking', 0
+    "quality_report": _sql("""SELECT 'chave unica do fato' AS regra, COUNT(*) AS violacoes
+            FROM (SELECT 1 FROM fato GROUP BY id_tempo, id_vendedor, id_empresa HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'chave unica do ranking', COUNT(*)
+            FROM (SELECT 1 FROM ranks GROUP BY dtref, nivel, id_vendedor, id_empresa, tipo, posicao HAVING COUNT(*) > 1)
         UNION ALL SELECT 'vendedor sem dimensao', COUNT(DISTINCT id_vendedor) FROM fato ANTI JOIN vendedores USING (id_vendedor)
         UNION ALL SELECT 'medidas nulas', COUNT(*) FROM fato
             WHERE valor_realizado IS NULL OR valor_devolucao IS NULL OR valor_meta_diaria IS NULL
         UNION ALL SELECT 'quantidade positiva', COUNT(*) FROM linhas WHERE NOT qtdneg > 0
         UNION ALL SELECT 'valor nao negativo', COUNT(*) FROM linhas WHERE NOT vlrtot - vlrdesc >= 0
-        UNION ALL SELECT 'mes entre 1 e 12', COUNT(*) FROM linhas WHERE NOT month(data_ref) BETWEEN 1 AND 12
+        UNION ALL SELECT 'mes entre 1 e 12', COUNT(*) FROM ciclos WHERE NOT (year(dtref) * 100 + month(dtref)) % 100 BETWEEN 1 AND 12
         UNION ALL SELECT 'meta so na empresa 0', COUNT(*) FROM fato WHERE id_empresa > 0 AND valor_meta_diaria <> 0
         UNION ALL SELECT 'item repetido na origem', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)"""),
     "backfill_range": _sql(f"{FACT} WHERE id_tempo BETWEEN DATE '1998-01-01' AND DATE '1998-06-30'"),
@@ -479,7 +483,7 @@ ORACLE: dict[str, str] = {
         CAST(SUM(valor) AS DOUBLE) AS total_vendas, {_mean("SUM(valor)", "COUNT(*)")} AS ticket_medio
         FROM vendas_linha JOIN vendedores USING (id_vendedor) WHERE tipo = 'V' GROUP BY ALL""", REPORT),
     "perf_vs_goal": _sql(f"""SELECT CAST(dtref AS VARCHAR) AS mes, codvend AS id_vendedor, CAST(meta_mensal AS DOUBLE) AS meta,
-        nome_comercial AS name, CAST(vendido AS DOUBLE) AS vendido, {_mean("vendido * 100", "CAST(meta_mensal AS BIGINT)")} AS percentual_meta
+        nome_comercial AS name, CAST(vendido AS DOUBLE) AS vendido, {_mean("vendido * 10000", "CAST(meta_mensal * 100 AS HUGEINT)")} AS percentual_meta
         FROM (SELECT dtref, codvend, meta_mensal, COALESCE(SUM(valor), 0) AS vendido FROM metas
               LEFT JOIN vendas_linha ON mes = dtref AND id_vendedor = codvend AND tipo = 'V' GROUP BY ALL)
         JOIN vendedores ON id_vendedor = codvend""", REPORT),

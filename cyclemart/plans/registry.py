@@ -66,7 +66,7 @@ def _sellers(src: RetailSource) -> DataFrame:
 
 
 def _cycles(src: RetailSource) -> DataFrame:
-    return dimensions.cycle_rows(src.goal_cycles())
+    return _table(src, "dim_tempo_ref")
 
 
 def _kpis(src: RetailSource, **request) -> performance.Performance:
@@ -166,7 +166,7 @@ def dim_product(src):
 
 @query
 def dim_cycle(src):
-    return _cycles(src)
+    return dimensions.cycle_rows(src.goal_cycles())
 
 
 # rankings -------------------------------------------------------------------------------------
@@ -620,7 +620,7 @@ def quality_report(src):
         quality.null_values(fact, ("valor_realizado", "valor_devolucao", "valor_meta_diaria"), "medidas nulas"),
         quality.failing_rows(lines, F.col("qtdneg") > 0, "quantidade positiva"),
         quality.failing_rows(lines, daily.net_value() >= 0, "valor nao negativo"),
-        quality.failing_rows(lines, F.month("data_ref").between(1, 12), "mes entre 1 e 12"),
+        quality.failing_rows(src.goal_cycles(), (F.col("codmetavenda") % 100).between(1, 12), "mes entre 1 e 12"),
         quality.failing_rows(fact, ~((F.col("id_empresa") > 0) & (F.col("valor_meta_diaria") != 0)), "meta so na empresa 0"),
         quality.duplicate_keys(src.table("lineitem", "l_orderkey", "l_linenumber"), ("l_orderkey", "l_linenumber"),
                                "item repetido na origem"),
@@ -715,7 +715,7 @@ def category_share(src):
     by_category = per_product.join(src.products().select("codprod", "refforn"), "codprod").groupBy("refforn").agg(
         F.sum("valor").alias("valor")
     )
-    return reports.share_of_total(by_category.withColumn("grupo", F.lit("categoria")), ("grupo",), "valor").drop("grupo")
+    return reports.share_of_all(by_category, "valor")
 
 
 @query

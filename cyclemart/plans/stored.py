@@ -11,6 +11,7 @@ from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse
 
 _NEEDS = {
+    "dim_tempo_ref": (),
     "fato_vendasdiarias": (),
     "fato_rankings": (),
     "fato_cliente_perfil": ("fato_rankings",),

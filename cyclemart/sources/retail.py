@@ -22,13 +22,18 @@ RETAIL_RULES = SalesRules(
 
 Period = tuple[date, date] | None
 
+#: Files of the item table below the source folder.
+ITEM_FILES = "lineitem*.parquet"
+
 
 class RetailSource:
     def __init__(self, spark: SparkSession, path: str, rules: SalesRules = RETAIL_RULES):
         self.spark, self.path, self.rules = spark, path, rules
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.path}/{name}.parquet", *columns)
+        """Columns of a source table. Items come in any number of files, the same that the refresh streams."""
+        files = ITEM_FILES if name == "lineitem" else f"{name}.parquet"
+        return read_parquet(self.spark, f"{self.path}/{files}", *columns)
 
     # documents -----------------------------------------------------------------------------
 
@@ -169,12 +174,15 @@ class RetailSource:
         )
 
     def _cycle_span(self) -> DataFrame:
-        """First and last cycle: from the month after the first order to four months after the last
-        one, since goods ship within four months."""
-        return self.table("orders", "o_orderdate").agg(
-            F.add_months(F.trunc(F.min("o_orderdate"), "month"), 1).alias("primeiro"),
-            F.add_months(F.trunc(F.max("o_orderdate"), "month"), 4).alias("ultimo"),
-        )
+        """First and last cycle: those that hold the first and the last day of an order or a shipment, so
+        that no day of the fact is outside all cycles."""
+        def month_of(day: Column) -> Column:
+            return F.trunc(F.add_months(F.date_sub(F.to_date(day), 25), 1), "month")
+
+        shipped = self.table("lineitem", "l_shipdate").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+        ordered = self.table("orders", "o_orderdate").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+        both = ordered.unionAll(shipped)
+        return both.agg(month_of(F.min("a")).alias("primeiro"), month_of(F.max("b")).alias("ultimo"))
 
     def goal_cycles(self) -> DataFrame:
         """One cycle per month, from the 26th to the 25th."""

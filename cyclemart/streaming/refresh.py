@@ -16,11 +16,11 @@ from cyclemart.operators.daily import daily_actuals
 from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
 from cyclemart.session import materialise
-from cyclemart.sources.retail import RetailSource
+from cyclemart.sources.retail import ITEM_FILES, RetailSource
 from cyclemart.sources.warehouse import Warehouse
 
 
-def item_stream(spark: SparkSession, path: str, pattern: str = "lineitem*.parquet", files_per_batch: int | None = None) -> DataFrame:
+def item_stream(spark: SparkSession, path: str, pattern: str = ITEM_FILES, files_per_batch: int | None = None) -> DataFrame:
     """New item files below ``path`` as a stream."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(path).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)

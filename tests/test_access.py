@@ -21,6 +21,7 @@ def test_kpi_scope(user, company, seller, scope):
 
 def test_manager_without_companies_sees_nothing():
     assert not A.kpi_scope(IDLE).allowed and A.kpi_scope(IDLE).company == ()
+    assert A.kpi_scope(IDLE, seller=3) == A.DENIED and A.kpi_scope(IDLE, 1, 3) == A.DENIED
     assert A.ranking_scope(IDLE) == A.DENIED and A.profile_scope(IDLE) == A.DENIED
 
 

@@ -3,6 +3,8 @@
 import shutil
 from datetime import date, timedelta
 
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,27 @@ def test_stream_of_several_batches_equals_the_batch_build(spark, growing, wareho
     assert warehouse.fact().count() > 0 and same(warehouse.fact(), expected)
 
 
+def test_item_files_added_later_reach_the_fact(spark, growing, warehouse):
+    items = spark.read.parquet(f"{FOLDER}/lineitem.parquet").filter("l_orderkey < 400")
+    whole = pq.read_table(f"{FOLDER}/lineitem.parquet", filters=[("l_orderkey", "<", 400)])
+    odd = pc.equal(pc.bit_wise_and(whole["l_orderkey"], 1), 1)
+    parts = whole.filter(pc.invert(odd)), whole.filter(odd)
+    state = working_path(spark, "state")
+    for part, name in zip(parts, ("lineitem", "lineitem-2"), strict=True):
+        pq.write_table(part, f"{growing.path}/{name}.parquet")
+        start_refresh(item_stream(spark, growing.path), warehouse, growing, state).awaitTermination()
+    expected = loads.build_fact(growing).join(touched_days(items, growing), "id_tempo", "left_semi")
+    assert same(warehouse.fact(), expected)
+    assert growing.table("lineitem").count() == items.count()
+
+
+def test_every_day_of_the_fact_is_in_a_cycle(source):
+    fact = loads.build_fact(source)
+    cycles = source.goal_cycles().select("dtref", F.explode(F.sequence("dtinic", "dtfin")).alias("id_tempo"))
+    assert fact.join(cycles, "id_tempo", "left_anti").isEmpty()
+    assert cycles.groupBy("id_tempo").count().where("count > 1").isEmpty()
+
+
 def test_lookback_leaves_old_days_to_range_loads(spark):
     days = spark.createDataFrame([(date(2026, 1, 1),), (date(2026, 3, 1),), (date(2026, 3, 9),)], "id_tempo date")
     assert within_lookback(days, 60).count() == 2

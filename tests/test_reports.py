@@ -37,6 +37,20 @@ def test_goal_performance_keeps_sellers_without_sales(spark, rows, sellers):
     assert got == {"Ana": (d("30.0050"), d("10.00")), "Bia": (0, 0)}
 
 
+def test_goals_with_cents(spark, sellers):
+    rows = spark.createDataFrame([(date(2026, 5, 1), 1, 1, d("50.25"), "Completed")],
+                                 "mes date, id_vendedor bigint, id_empresa bigint, final_amount decimal(20,4), sale_status string")
+    goals = spark.createDataFrame([(date(2026, 5, 1), 1, d("100.50")), (date(2026, 5, 1), 2, d("0.40"))], "mes date, id_vendedor bigint, meta decimal(15,2)")
+    got = {r.name: r.percentual_meta for r in reports.performance_vs_goal(rows, goals, sellers).collect()}
+    assert got == {"Ana": d("50.00"), "Bia": 0}
+
+
+def test_share_of_all_rows(spark):
+    totals = spark.createDataFrame([("a", 1), ("b", 3)], "k string, v int")
+    assert {r.k: r.percentual for r in reports.share_of_all(totals, "v").collect()} == {"a": 25.0, "b": 75.0}
+    assert reports.share_of_all(totals.limit(0), "v").count() == 0
+
+
 def test_matrix_share_growth_and_grain(spark, rows):
     matrix = {r.id_vendedor: (r.ano, r.t2, r.t3) for r in reports.period_matrix(rows).collect()}
     assert matrix == {1: (2026, d("30.005"), 0), 2: (2026, 0, d("8"))}
