@@ -6,9 +6,10 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+from compare import differences
 from cyclemart.llm import decontaminate, langid, packing, quality, simhash
 from cyclemart.llm.common import held_out, table
-from cyclemart.llm.queries import QUERIES, packing_settings
+from cyclemart.llm.queries import ORACLE, QUERIES, packing_settings
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -239,3 +240,9 @@ def test_stages_take_odd_tables(spark):
 
 def test_queries_are_registered():
     assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))[0] == "op1_quality" and len(QUERIES) == 10
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_match_their_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert differences(QUERIES[name](spark, folder), ORACLE[name], folder) is None
