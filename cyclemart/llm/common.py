@@ -53,10 +53,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of undirected edges ``(a, b)``: one row ``(node, component)`` per node of an
     edge, ``component`` being the smallest node reachable.
 
-    Every round moves each node to the smallest of its neighbourhood and contracts the edges, so
-    the nodes left at least halve. Rounds are cut by written tables; nothing is collected but a
-    count. A node with very many edges is met only by partial minima and by joins that the
-    adaptive planner may split.
+    Every round moves each node to the first of its neighbourhood and contracts the edges. Nodes are ordered by
+    their hash, so that the nodes left about halve whatever the ids are, long sorted chains included, and a star
+    takes two rounds. Rounds are cut by written tables; nothing is collected. A node with very many
+    edges is met only by partial minima and by joins that the adaptive planner may split.
     """
     spark = edges.sparkSession
     both = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -65,8 +65,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while not current.isEmpty():
         reach = current.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(
             current.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        step = reach.groupBy("node").agg(F.min("other").alias("other"))
-        step = materialise(step.select("node", F.least("node", "other").alias("parent")), label)
+        step = reach.groupBy("node").agg(F.min_by("other", F.xxhash64("other")).alias("other"))
+        step = materialise(step.select("node", F.when(F.xxhash64("other") < F.xxhash64("node"), F.col("other")).otherwise(F.col("node")).alias("parent")), label)
         if labels is None:
             labels = step.withColumnRenamed("parent", "component")
         else:
@@ -78,9 +78,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         right = step.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
         moved = current.join(left, "a").join(right, "b").where("pa <> pb").select(
             F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-        # A parent may have a smaller neighbour itself: its own step keeps the chain together.
+        # A parent may move itself: its own step keeps the chain together.
         current = materialise(moved.distinct(), label)
     if labels is None:
         return spark.createDataFrame([], T.StructType([
             T.StructField("node", edges.schema["a"].dataType), T.StructField("component", edges.schema["a"].dataType)]))
-    return labels
+    smallest = labels.groupBy("component").agg(F.min("node").alias("smallest"))
+    return labels.join(smallest, "component").select("node", F.col("smallest").alias("component"))
