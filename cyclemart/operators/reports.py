@@ -121,11 +121,17 @@ def by_grain(fact: DataFrame, grain: str) -> DataFrame:
     ).withColumn("grao", F.lit(grain))
 
 
-def growth(totals: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
-    """Change against the previous period, as a percentage and a direction."""
-    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(period))
+def growth(totals: DataFrame, keys: Sequence[str], period: str, value: str, follows: DataFrame | None = None) -> DataFrame:
+    """Change against the previous period, as a percentage and a direction. ``follows`` names the period before each
+    in ``anterior``; a period before without rows counts as 0. Without it the last period with rows is compared."""
     now = F.col(value).cast("double")
-    with_before = totals.withColumn("anterior", before)
+    if follows is None:
+        with_before = totals.withColumn("anterior", F.lag(value).over(Window.partitionBy(*keys).orderBy(period)))
+    else:
+        past = totals.select(*keys, F.col(period).alias("_antes"), F.col(value).alias("_valor"))
+        dated = totals.join(follows.select(period, F.col("anterior").alias("_antes")), period, "left")
+        with_before = dated.join(past, [*keys, "_antes"], "left").select(
+            *totals.columns, F.when(F.col("_antes").isNotNull(), F.coalesce("_valor", F.lit(0))).alias("anterior"))
     past = F.col("anterior").cast("double")
     return with_before.withColumns({
         "variacao": F.when(past != 0, (now - past) / past * 100),

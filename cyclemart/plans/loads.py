@@ -15,9 +15,10 @@ from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
 from cyclemart.operators.profiles import brand_profiles, customer_profiles, purchase_days, ranked_items
 from cyclemart.operators.rankings import BRAND, CUSTOMER, rankings
+from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import RetailSource
-from cyclemart.sources.warehouse import Warehouse
+from cyclemart.sources.warehouse import Warehouse, shape
 
 Range = tuple[date, date] | None
 
@@ -90,12 +91,12 @@ def load_range(warehouse: Warehouse, source: RetailSource, start: date, end: dat
     whole days instead. Days without any row are reported and write nothing.
     """
     spark = warehouse.spark
-    rows = materialise(build_fact(source, (start, end)), "fact-range")
+    rows = materialise(shape(build_fact(source, (start, end)), TABLES["fato_vendasdiarias"]), "fact-range")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("id_tempo"))
     if replace_days:
-        warehouse.replace_days(rows, days)
+        warehouse.replace_days(rows, days, staged=True)
     else:
-        warehouse.upsert("fato_vendasdiarias", rows)
+        warehouse.upsert("fato_vendasdiarias", rows, staged=True)
     warehouse.insert_missing("dim_tempo", dimensions.time_rows(rows))
     if with_rankings:
         load_rankings_and_profiles(warehouse, source, start, end)

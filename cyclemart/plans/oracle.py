@@ -433,6 +433,11 @@ ORACLE: dict[str, str] = {
     "access_manager": _sql(CARDS, COMPANIES_1_2),
     "access_seller": _sql(CARDS, _request(sellers="3")),
     "access_unknown": _sql(CARDS, NOTHING),
+    "access_denied_seller": _sql("""SELECT usuario, CAST(dtref AS VARCHAR) AS dtref,
+        CAST(COALESCE(SUM(valor_realizado) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS realizado,
+        CAST(COALESCE(MAX(valor_meta_mensal) FILTER (WHERE id_empresa = 0), 0) AS DOUBLE) AS meta
+        FROM fato_ciclo, (VALUES ('admin'), ('manager')) AS quem(usuario)
+        WHERE id_vendedor = 3 AND (usuario = 'admin' OR id_empresa IN (0, 1, 2)) GROUP BY ALL"""),
     "access_ranking": _sql(LOOKUP.format(rows="multi")),
     "access_profile": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, emp AS id_empresa, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor
@@ -463,6 +468,8 @@ ORACLE: dict[str, str] = {
             FROM (SELECT 1 FROM fato GROUP BY id_tempo, id_vendedor, id_empresa HAVING COUNT(*) > 1)
         UNION ALL SELECT 'chave unica do ranking', COUNT(*)
             FROM (SELECT 1 FROM ranks GROUP BY dtref, nivel, id_vendedor, id_empresa, tipo, posicao HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'chave unica do perfil de marca', COUNT(*)
+            FROM (SELECT 1 FROM perfil_marcas GROUP BY dtref, nivel, codmarca, emp, vend, posicao HAVING COUNT(*) > 1)
         UNION ALL SELECT 'vendedor sem dimensao', COUNT(DISTINCT id_vendedor) FROM fato ANTI JOIN vendedores USING (id_vendedor)
         UNION ALL SELECT 'medidas nulas', COUNT(*) FROM fato
             WHERE valor_realizado IS NULL OR valor_devolucao IS NULL OR valor_meta_diaria IS NULL
@@ -519,6 +526,8 @@ ORACLE: dict[str, str] = {
     "growth_delta": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, id_empresa, CAST(v AS DOUBLE) AS realizado, CAST(a AS DOUBLE) AS anterior,
         CASE WHEN a <> 0 THEN (CAST(v AS DOUBLE) - CAST(a AS DOUBLE)) / CAST(a AS DOUBLE) * 100 END AS variacao,
         CASE WHEN a IS NULL THEN NULL WHEN v > a THEN 'alta' WHEN v < a THEN 'queda' ELSE 'estável' END AS tendencia
-        FROM (SELECT *, LAG(v) OVER (PARTITION BY id_empresa ORDER BY dtref) AS a FROM (
-            SELECT dtref, id_empresa, SUM(valor_realizado) AS v FROM fato_ciclo WHERE id_empresa > 0 GROUP BY ALL))"""),
+        FROM (SELECT *, LAG(COALESCE(v, 0)) OVER (PARTITION BY id_empresa ORDER BY dtref) AS a
+            FROM (SELECT dtref, r_regionkey + 1 AS id_empresa FROM ciclos, region)
+            LEFT JOIN (SELECT dtref, id_empresa, SUM(valor_realizado) AS v FROM fato_ciclo WHERE id_empresa > 0 GROUP BY ALL) USING (dtref, id_empresa))
+        WHERE v IS NOT NULL"""),
 }

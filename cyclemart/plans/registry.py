@@ -22,6 +22,7 @@ from cyclemart.operators.levels import COMPANY, GLOBAL
 from cyclemart.plans import loads
 from cyclemart.plans.present import present
 from cyclemart.plans.stored import stored
+from cyclemart.schemas import TABLES
 from cyclemart.session import materialise, tune, working_path
 from cyclemart.sources.retail import RETAIL_RULES, RetailSource
 from cyclemart.sources.warehouse import Warehouse, merge_rows
@@ -37,6 +38,7 @@ FIRST_LOAD_END = date(1998, 3, 31)
 USERS = {
     "admin": A.User("ADMIN"),
     "manager": A.User("MANAGER", companies=(1, 2)),
+    "stranded": A.User("MANAGER"),
     "seller": A.User("SELLER", seller_id=3),
     "unknown": A.User("GUEST"),
 }
@@ -457,8 +459,8 @@ def cycle_summary(src):
 
 # access ---------------------------------------------------------------------------------------
 
-def _kpis_for(src: RetailSource, user: str) -> DataFrame:
-    scope = A.kpi_scope(USERS[user])
+def _kpis_for(src: RetailSource, user: str, seller: int | None = None) -> DataFrame:
+    scope = A.kpi_scope(USERS[user], seller=seller)
     company = scope.company if isinstance(scope.company, (int, type(None))) else list(scope.company)
     return _kpis(src, company=company, seller_ids=scope.seller_ids).cards
 
@@ -483,6 +485,15 @@ def access_unknown(src):
     return _kpis_for(src, "unknown")
 
 
+@query
+def access_denied_seller(src):
+    """Realised value and goal that three users read of one seller: an administrator, a manager of companies, and a
+    manager without any, who reads nothing."""
+    found = [_kpis_for(src, user, seller=3).select(F.lit(user).alias("usuario"), "dtref", "realizado", "meta")
+             for user in ("admin", "manager", "stranded")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query
 def access_ranking(src):
     """A manager who asks for a company outside the managed ones gets those instead."""
@@ -609,19 +620,20 @@ def upsert_profiles(src):
 
 @query
 def quality_report(src):
-    warehouse = stored(src.spark, src.path, "fato_vendasdiarias", "fato_rankings")
-    fact, ranks = warehouse.fact(), warehouse.read("fato_rankings")
+    warehouse = stored(src.spark, src.path, "fato_vendasdiarias", "fato_rankings", "fato_marca_perfil")
+    fact, ranks, brands = warehouse.fact(), warehouse.read("fato_rankings"), warehouse.read("fato_marca_perfil")
     lines = src.movements()
     return quality.quality_report(
         quality.duplicate_keys(fact, ("id_tempo", "id_vendedor", "id_empresa"), "chave unica do fato"),
         quality.duplicate_keys(ranks, ("dtref", "nivel", "id_vendedor", "id_empresa", "tipo", "posicao"),
                                "chave unica do ranking"),
         quality.missing_parents(fact, _sellers(src), "id_vendedor", "vendedor sem dimensao"),
-        quality.null_values(fact, ("valor_realizado", "valor_devolucao", "valor_meta_diaria"), "medidas nulas"),
-        quality.failing_rows(lines, F.col("qtdneg") > 0, "quantidade positiva"),
-        quality.failing_rows(lines, daily.net_value() >= 0, "valor nao negativo"),
-        quality.failing_rows(src.goal_cycles(), (F.col("codmetavenda") % 100).between(1, 12), "mes entre 1 e 12"),
-        quality.failing_rows(fact, ~((F.col("id_empresa") > 0) & (F.col("valor_meta_diaria") != 0)), "meta so na empresa 0"),
+        quality.duplicate_keys(brands, TABLES["fato_marca_perfil"].keys, "chave unica do perfil de marca"),
+        quality.null_values(warehouse.read("fato_vendasdiarias", defaults=False),
+                            ("valor_realizado", "valor_devolucao", "valor_meta_diaria"), "medidas nulas"),
+        quality.failing_rows(lines, {"quantidade positiva": F.col("qtdneg") > 0, "valor nao negativo": daily.net_value() >= 0}),
+        quality.failing_rows(src.goal_cycles(), {"mes entre 1 e 12": (F.col("codmetavenda") % 100).between(1, 12)}),
+        quality.failing_rows(fact, {"meta so na empresa 0": ~((F.col("id_empresa") > 0) & (F.col("valor_meta_diaria") != 0))}),
         quality.duplicate_keys(src.table("lineitem", "l_orderkey", "l_linenumber"), ("l_orderkey", "l_linenumber"),
                                "item repetido na origem"),
     )
@@ -767,4 +779,7 @@ def growth_delta(src):
     """Realised value of each company by cycle against the cycle before."""
     rows = performance.scope_cycles(_fact(src), _cycles(src)).filter("id_empresa > 0")
     totals = rows.groupBy("dtref", "id_empresa").agg(F.sum("valor_realizado").alias("realizado"))
-    return reports.growth(totals, ("id_empresa",), "dtref", "realizado")
+    cycles = _cycles(src)
+    follows = cycles.select("dtref", F.date_sub("dtinic", 1).alias("dtfin")).join(
+        cycles.select("dtfin", F.col("dtref").alias("anterior")), "dtfin").drop("dtfin")
+    return reports.growth(totals, ("id_empresa",), "dtref", "realizado", follows)

@@ -37,12 +37,15 @@ class RetailSource:
 
     # documents -----------------------------------------------------------------------------
 
-    def _headers(self, condition: Column | None = None) -> DataFrame:
+    def _headers(self, condition: Column | None = None, only: DataFrame | None = None) -> DataFrame:
         """Orders with their company. The customer side joins before the items do, so the large
-        item join is the last shuffle and leaves the lines partitioned by document."""
+        item join is the last shuffle and leaves the lines partitioned by document. ``only`` keeps the documents it
+        names in ``nunota``, before customers are attached."""
         orders = self.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         if condition is not None:
             orders = orders.filter(condition)
+        if only is not None:
+            orders = orders.join(only, F.col("o_orderkey") == F.col("nunota"), "left_semi")
         company = self.table("customer", "c_custkey", "c_nationkey").join(
             self.table("nation", "n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey")
         )
@@ -104,7 +107,9 @@ class RetailSource:
 
     def returns(self, period: Period = None) -> DataFrame:
         items = self._items(self._and(F.col("l_returnflag") == "R", self._between("l_shipdate", period)))
-        lines = D.document_lines(self._headers(F.col("o_orderstatus") != "P"), items)
+        # A period is on the item: its few documents are picked before their customers are looked up.
+        only = None if period is None else items.select("nunota")
+        lines = D.document_lines(self._headers(F.col("o_orderstatus") != "P", only), items)
         lines = lines.withColumns({
             "data_ref": F.col("data_envio"), "codtipoper": F.lit(2200), "statusnfe": F.lit(None).cast("string"),
         })

@@ -29,6 +29,13 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.unionByName(new)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: of several, the one whose other columns come last in order."""
+    rest = [c for c in df.columns if c not in keys]
+    kept = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_rest"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_rest.{c}").alias(c) for c in df.columns])
+
+
 def shape(df: DataFrame, table: Table) -> DataFrame:
     """Cast to the table's types, in its column order."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
@@ -52,10 +59,11 @@ class Warehouse:
             writer.parquet(self.path(name))
         return self
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, defaults: bool = True) -> DataFrame:
+        """A table. Without ``defaults`` nulls stay as they are stored."""
         table = TABLES[name]
         df = self.spark.read.schema(table.schema).parquet(self.path(name))
-        if table.defaults:
+        if defaults and table.defaults:
             types = {f.name: f.dataType for f in table.schema}
             df = df.withColumns({c: F.coalesce(c, F.lit(v).cast(types[c])) for c, v in table.defaults.items()})
         return df
@@ -74,6 +82,10 @@ class Warehouse:
         from tables that the write is about to change."""
         return materialise(shape(df, table), f"stage-{table.name}")
 
+    def _increment(self, rows: DataFrame, table: Table, staged: bool) -> DataFrame:
+        """Rows to merge, one per key. ``staged`` says that they are already written, in shape and unique."""
+        return shape(rows, table) if staged else self._stage(one_per_key(shape(rows, table), table.keys), table)
+
     def _write(self, df: DataFrame, table: Table) -> None:
         """Rebalancing gives each month evenly sized files, splitting the large ones."""
         if table.partition is None:
@@ -109,25 +121,25 @@ class Warehouse:
         table = TABLES[name]
         self._write(shape(rows, table), table)
 
-    def upsert(self, name: str, rows: DataFrame) -> None:
+    def upsert(self, name: str, rows: DataFrame, staged: bool = False) -> None:
         """Replace the measures of known keys and add new ones; other rows stay. Running it twice
-        changes nothing."""
+        changes nothing. A key that ``rows`` holds more than once is stored once."""
         table = TABLES[name]
-        staged = self._stage(rows, table)
+        staged = self._increment(rows, table, staged)
         merged = merge_rows(self._current(table, staged), staged, table.keys)
         self._write(merged if table.partition else self._stage(merged, table), table)
 
     def insert_missing(self, name: str, rows: DataFrame) -> None:
         table = TABLES[name]
-        staged = self._stage(rows, table)
+        staged = self._increment(rows, table, False)
         merged = insert_missing(self._current(table, staged), staged, table.keys)
         self._write(merged if table.partition else self._stage(merged, table), table)
 
-    def replace_days(self, rows: DataFrame, days: DataFrame) -> None:
+    def replace_days(self, rows: DataFrame, days: DataFrame, staged: bool = False) -> None:
         """Swap the fact rows of whole days: keys that vanished from a day go away. ``days`` has
         ``id_tempo``, and may name days that have no rows left."""
         table = TABLES["fato_vendasdiarias"]
-        staged = self._stage(rows, table)
+        staged = self._increment(rows, table, staged)
         touched = materialise(days.select("id_tempo").distinct(), "stage-days").withColumn(
             "ano_mes", year_month(F.col("id_tempo"))
         )

@@ -58,6 +58,10 @@ def test_matrix_share_growth_and_grain(spark, rows):
     assert sorted(r.percentual for r in reports.share_of_total(totals, ("k",), "v").collect()) == [25.0, 75.0, 100.0]
     steps = {(r.k, r.p): (r.variacao, r.tendencia) for r in reports.growth(totals, ("k",), "p", "v").collect()}
     assert steps == {("a", 1): (None, None), ("a", 2): (200.0, "alta"), ("b", 1): (None, None)}
+    follows = spark.createDataFrame([(2, 1), (3, 2), (4, 3)], "p int, anterior int")
+    gaps = spark.createDataFrame([("a", 1, 10), ("a", 3, 30), ("a", 4, 15)], "k string, p int, v int")
+    dated = {r.p: (r.anterior, r.variacao, r.tendencia) for r in reports.growth(gaps, ("k",), "p", "v", follows).collect()}
+    assert dated == {1: (None, None, None), 3: (0, None, "alta"), 4: (30, -50.0, "queda")}
     fact = spark.createDataFrame([(date(2026, 5, 3), 1, 7), (date(2026, 6, 3), 1, 1), (date(2026, 5, 3), 0, 99)],
                                  "id_tempo date, id_empresa int, valor_realizado int")
     assert {(r.periodo, r.realizado) for r in reports.by_grain(fact, "quarter").collect()} == {(date(2026, 4, 1), 8)}

@@ -125,9 +125,24 @@ def test_quality_counts_violations(spark):
         quality.duplicate_keys(df, ("id_tempo", "id_vendedor", "id_empresa"), "u"),
         quality.missing_parents(df, known, "id_vendedor", "f"),
         quality.null_values(df, ("valor_devolucao", "valor_realizado"), "n"),
-        quality.failing_rows(df, F.col("valor_realizado") > 5, "c"),
+        quality.failing_rows(df, {"c": F.col("valor_realizado") > 5, "d": F.col("valor_devolucao") >= 0}),
     )
-    assert {r.regra: r.violacoes for r in report.collect()} == {"u": 1, "f": 1, "n": 1, "c": 1}
+    assert {r.regra: r.violacoes for r in report.collect()} == {"u": 1, "f": 1, "n": 1, "c": 1, "d": 1}
+
+
+def test_a_repeated_key_is_stored_once(spark):
+    warehouse = Warehouse(spark, working_path(spark, "repeated")).create("dim_marca")
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c")], "id_marca bigint, nome_marca string")
+    for write in (warehouse.upsert, warehouse.insert_missing, warehouse.upsert):
+        write("dim_marca", rows)
+        assert sorted(map(tuple, warehouse.read("dim_marca").collect())) == [(1, "b"), (2, "c")]
+
+
+def test_stored_nulls_are_seen_by_the_null_check(spark):
+    warehouse = Warehouse(spark, working_path(spark, "nulls")).create("fato_vendasdiarias")
+    warehouse.load("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (MAR, 2, 3)).withColumn("valor_realizado", F.when(F.col("id_vendedor") == 1, F.col("valor_realizado"))))
+    raw = quality.null_values(warehouse.read("fato_vendasdiarias", defaults=False), ("valor_realizado",), "n")
+    assert [r.violacoes for r in raw.collect()] == [1] and warehouse.fact().where("valor_realizado IS NULL").isEmpty()
 
 
 def test_export(spark):
