@@ -162,6 +162,13 @@ def kpi_cards(totals: DataFrame, rates: DataFrame, rules: SalesRules) -> DataFra
     })
 
 
+def with_empty_cycles(cards: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A card for each ``dtref`` asked for: zeros where the request finds no rows."""
+    filled = [F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name) for f in cards.schema if f.name != "dtref"]
+    asked = wanted.select(F.col("dtref").alias("_dtref"))
+    return asked.join(cards, F.col("_dtref").eqNullSafe(F.col("dtref")), "left").select(F.col("_dtref").alias("dtref"), *filled)
+
+
 def realised_by_name(rows: DataFrame, sellers: DataFrame, company: Company = None) -> DataFrame:
     """Realised value per seller name. Sellers with the same name are added up; sellers that the
     dimension lacks drop out."""
@@ -189,12 +196,17 @@ def performance(fact: DataFrame, sellers: DataFrame, rules: SalesRules, *, selle
                 start: date | None = None, end: date | None = None, company: Company = None,
                 dtref: date | None = None, cycles: DataFrame | None = None) -> Performance:
     """The consolidated query: daily series, KPI cards and top sellers for a period, or for every
-    cycle when ``cycles`` is given."""
-    scoped = scope_cycles(fact, cycles) if cycles is not None else scope_period(fact, start, end, dtref)
+    cycle when ``cycles`` is given. The period and each cycle have a card, of zeros if nothing is found."""
+    if cycles is not None:
+        scoped, wanted = scope_cycles(fact, cycles), cycles
+    else:
+        scoped = scope_period(fact, start, end, dtref)
+        wanted = fact.sparkSession.range(1).select(F.lit(dtref or start).cast("date").alias("dtref"))
     rows = eligible(scoped, sellers, company, seller_ids)
+    cards = kpi_cards(seller_totals(rows, company), latest_rates(fact, rules), rules)
     return Performance(
         daily=daily_performance(rows, company),
-        cards=kpi_cards(seller_totals(rows, company), latest_rates(fact, rules), rules),
+        cards=with_empty_cycles(cards, wanted),
         ranking=top_sellers(realised_by_name(rows, sellers, company), rules),
     )
 

@@ -99,6 +99,18 @@ def rankings(lines: DataFrame, partners: DataFrame, products: DataFrame, rules:
     )
 
 
+def rankings_of_companies(lines: DataFrame, partners: DataFrame, products: DataFrame, rules: SalesRules,
+                          companies: Sequence[int], kinds: Sequence[str] = KINDS) -> DataFrame:
+    """Exact lists over several companies together, from their lines: an item that misses the stored list of one of
+    them counts with all its sales."""
+    chosen = lines.filter(F.col("codemp").isin(*companies) if companies else F.lit(False))
+    totals = item_totals(chosen, partners, products, kinds).groupBy("dtref", "tipo", "id_item", "label_item").agg(
+        F.sum("valor").alias("total"))
+    best = Window.partitionBy("dtref", "tipo").orderBy(F.desc("total"), F.asc("id_item"), F.asc("label_item"))
+    return totals.withColumn("posicao", F.row_number().over(best)).filter(F.col("posicao") <= rules.ranking_size).select(
+        "dtref", "tipo", "posicao", "id_item", "label_item", F.col("total").cast("decimal(15,2)").alias("valor"))
+
+
 def ranking_level(company: int | Sequence[int], seller: int) -> int:
     """Stored level that answers a lookup; 0 stands for "all"."""
     if isinstance(company, int) and company == 0:

@@ -190,7 +190,7 @@ def _request(actual: str = "id_empresa > 0", sellers: str = "", resolve: bool =
                    COALESCE(cancelado, 0) AS cancelado, COALESCE(comissao, 0) AS comissao, COALESCE(desconto, 0) AS desconto,
                    CAST(COALESCE(tkts, 0) AS BIGINT) AS tkts,
                    CASE WHEN tkts > 0 THEN CAST(realizado AS DOUBLE) / CAST(tkts AS DOUBLE) ELSE 0.0 END AS ticket_medio
-            FROM metas_ciclo FULL JOIN somas_ciclo USING (dtref)""",
+            FROM ciclos LEFT JOIN metas_ciclo USING (dtref) LEFT JOIN somas_ciclo USING (dtref)""",
         "nomes": """
             SELECT dtref, nome_comercial AS name, SUM(valor_realizado) AS realized
             FROM reais JOIN vendedores USING (id_vendedor) GROUP BY ALL""",
@@ -326,6 +326,11 @@ ORACLE: dict[str, str] = {
     "rank_lookup_seller": _sql(LOOKUP.format(rows="""(SELECT * FROM ranks WHERE nivel = 0 AND id_empresa = 1 AND id_vendedor = 3
         AND dtref = DATE '1998-03-01')""")),
     "rank_multi_branch": _sql(LOOKUP.format(rows="multi")),
+    "rank_multi_branch_exact": _sql("""SELECT CAST(CAST(mes AS DATE) AS VARCHAR) AS dtref, tipo, posicao, id_item, label_item,
+        CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor FROM (
+            SELECT mes, tipo, id_item, label_item, SUM(valor) AS total,
+                   ROW_NUMBER() OVER (PARTITION BY mes, tipo ORDER BY SUM(valor) DESC, id_item) AS posicao
+            FROM itens WHERE codemp IN (1, 2) GROUP BY mes, tipo, id_item, label_item QUALIFY posicao <= 10)"""),
     "rank_totals": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, tipo, CAST(SUM(valor) AS DOUBLE) AS total FROM ranks
         WHERE nivel = 3 GROUP BY ALL"""),
     "customer_profile": _sql("""SELECT CAST(t.dtref AS VARCHAR) AS dtref, CAST(t.nivel AS BIGINT) AS nivel, t.codparc AS id_cliente,
@@ -433,11 +438,13 @@ ORACLE: dict[str, str] = {
     "access_manager": _sql(CARDS, COMPANIES_1_2),
     "access_seller": _sql(CARDS, _request(sellers="3")),
     "access_unknown": _sql(CARDS, NOTHING),
-    "access_denied_seller": _sql("""SELECT usuario, CAST(dtref AS VARCHAR) AS dtref,
+    "access_denied_seller": _sql("""SELECT usuario, CAST(ciclos.dtref AS VARCHAR) AS dtref,
         CAST(COALESCE(SUM(valor_realizado) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS realizado,
         CAST(COALESCE(MAX(valor_meta_mensal) FILTER (WHERE id_empresa = 0), 0) AS DOUBLE) AS meta
-        FROM fato_ciclo, (VALUES ('admin'), ('manager')) AS quem(usuario)
-        WHERE id_vendedor = 3 AND (usuario = 'admin' OR id_empresa IN (0, 1, 2)) GROUP BY ALL"""),
+        FROM ciclos CROSS JOIN (VALUES ('admin'), ('manager'), ('stranded')) AS quem(usuario)
+        LEFT JOIN fato_ciclo ON fato_ciclo.dtref = ciclos.dtref AND id_vendedor = 3
+            AND (usuario = 'admin' OR usuario = 'manager' AND id_empresa IN (0, 1, 2))
+        GROUP BY usuario, ciclos.dtref"""),
     "access_ranking": _sql(LOOKUP.format(rows="multi")),
     "access_profile": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, emp AS id_empresa, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor
@@ -464,12 +471,26 @@ ORACLE: dict[str, str] = {
     "upsert_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, emp AS id_empresa, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor
         FROM perfil_marcas m JOIN produtos USING (codprod) WHERE nivel = 1 AND (dtref >= DATE '1998-01-01' OR posicao = 1)"""),
+    "upsert_customer_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, codparc AS id_cliente, emp AS id_empresa, posicao, nome,
+        CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, refforn, complemento
+        FROM perfil_produtos JOIN produtos USING (codprod) WHERE nivel = 1 AND (dtref >= DATE '1998-01-01' OR posicao = 1)"""),
+    "insert_days": _sql("""SELECT DISTINCT CAST(id_tempo AS VARCHAR) AS id_tempo, month(id_tempo) AS mes,
+        CASE WHEN id_tempo <= DATE '1998-03-31' THEN 'primeira carga' END AS nome_mes FROM fato"""),
+    "erp_movements": """SELECT CAST(dia AS VARCHAR) AS data_ref, tipo_mov, COUNT(*) AS linhas, CAST(SUM(valor) AS DOUBLE) AS valor FROM (
+        SELECT CAST(l_extendedprice AS DECIMAL(15,2)) - CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(4,2)) AS valor,
+               CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderdate AS DATE) + 1 ELSE CAST(o_orderdate AS DATE) END AS dia,
+               CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 4 < 2 AND o_orderkey % 3 = 0 THEN 'C' END
+                    WHEN o_orderkey % 4 < 2 THEN CASE WHEN o_orderkey % 7 > 0 THEN 'V' END
+                    WHEN o_orderkey % 4 = 2 THEN 'D' END AS tipo_mov
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey) WHERE tipo_mov IS NOT NULL GROUP BY ALL""",
     "quality_report": _sql("""SELECT 'chave unica do fato' AS regra, COUNT(*) AS violacoes
             FROM (SELECT 1 FROM fato GROUP BY id_tempo, id_vendedor, id_empresa HAVING COUNT(*) > 1)
         UNION ALL SELECT 'chave unica do ranking', COUNT(*)
             FROM (SELECT 1 FROM ranks GROUP BY dtref, nivel, id_vendedor, id_empresa, tipo, posicao HAVING COUNT(*) > 1)
         UNION ALL SELECT 'chave unica do perfil de marca', COUNT(*)
             FROM (SELECT 1 FROM perfil_marcas GROUP BY dtref, nivel, codmarca, emp, vend, posicao HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'chave unica do perfil de cliente', COUNT(*)
+            FROM (SELECT 1 FROM intervalos GROUP BY dtref, nivel, codparc, emp, vend HAVING COUNT(*) > 1)
         UNION ALL SELECT 'vendedor sem dimensao', COUNT(DISTINCT id_vendedor) FROM fato ANTI JOIN vendedores USING (id_vendedor)
         UNION ALL SELECT 'medidas nulas', COUNT(*) FROM fato
             WHERE valor_realizado IS NULL OR valor_devolucao IS NULL OR valor_meta_diaria IS NULL

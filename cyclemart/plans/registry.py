@@ -7,7 +7,7 @@ warehouse tables, as the dashboards do.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,10 @@ from cyclemart.plans.present import present
 from cyclemart.plans.stored import stored
 from cyclemart.schemas import TABLES
 from cyclemart.session import materialise, tune, working_path
+from cyclemart.sources import documents
 from cyclemart.sources.retail import RETAIL_RULES, RetailSource
 from cyclemart.sources.warehouse import Warehouse, merge_rows
-from cyclemart.streaming.refresh import item_stream, start_refresh
+from cyclemart.streaming.refresh import item_stream, refresh_headers, start_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 RULES = RETAIL_RULES
@@ -105,6 +106,28 @@ def movements_daily(src):
     )
 
 
+@query
+def erp_movements(src):
+    """The orders as ERP documents of mixed operations and fiscal states; cancelled ones lie in tables of their own and
+    count from the day after in the cancel log, if it names them."""
+    key = F.col("o_orderkey")
+    sale, other_sale, back = RULES.sale_operations[0], RULES.sale_operations[1], RULES.return_operations[0]
+    orders = src.table("orders", "o_orderkey", "o_orderstatus", "o_orderdate")
+    headers = orders.select(
+        key.alias("nunota"), F.col("o_orderdate").alias("dtentsai"), (F.col("o_orderstatus") == "P").alias("_excluida"),
+        F.when(key % 4 == 0, sale).when(key % 4 == 1, other_sale).when(key % 4 == 2, back).otherwise(1).alias("codtipoper"),
+        F.when(key % 7 == 0, "D").otherwise(RULES.approved_status).alias("statusnfe"),
+    )
+    live, excluded = headers.filter("NOT _excluida").drop("_excluida"), headers.filter("_excluida").drop("_excluida")
+    log = orders.filter((F.col("o_orderstatus") == "P") & (key % 3 == 0)).select(
+        key.alias("nunota"), F.date_add(F.to_date("o_orderdate"), 1).alias("dtneg"))
+    price, rate = F.col("l_extendedprice").cast("decimal(15,2)"), F.col("l_discount").cast("decimal(4,2)")
+    items = src.table("lineitem", "l_orderkey", "l_extendedprice", "l_discount").select(
+        F.col("l_orderkey").alias("nunota"), price.alias("vlrtot"), (price * rate).alias("vlrdesc"))
+    return documents.movements(live, items, log, excluded, items, RULES).groupBy("data_ref", "tipo_mov").agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum(F.col("vlrtot") - F.col("vlrdesc")).alias("valor"))
+
+
 @query
 def goals_by_day(src):
     found = goals.goals_by_day(src.goal_sellers(), src.goal_cycles(), src.sellers(), RULES)
@@ -217,6 +240,12 @@ def rank_multi_branch(src):
     return _lookup(src, company=[1, 2])
 
 
+@query
+def rank_multi_branch_exact(src):
+    """The same two companies, from their sales instead of their stored lists."""
+    return R.rankings_of_companies(src.sales(), src.partners(), src.products(), RULES, [1, 2])
+
+
 @query
 def rank_totals(src):
     return R.ranking_totals(_lookup(src))
@@ -618,9 +647,31 @@ def upsert_profiles(src):
     return profiles.listed(merged, "top_produtos", ("dtref", "id_marca", "id_empresa")).drop("refforn", "complemento")
 
 
+@query
+def upsert_customer_profiles(src):
+    """Customer profiles of a first load with one product each, then later months merged over them in the warehouse."""
+    found = _table(src, "fato_cliente_perfil").filter(F.col("nivel") == COMPANY)
+    warehouse = _new_warehouse(src, "profiles").create("fato_cliente_perfil")
+    early = found.filter(F.col("dtref") < F.lit(RELOAD_TO))
+    warehouse.load("fato_cliente_perfil", early.withColumn("top_produtos", F.slice("top_produtos", 1, 1)))
+    warehouse.upsert("fato_cliente_perfil", found.filter(F.col("dtref") >= F.lit(RELOAD_FROM)))
+    return profiles.listed(warehouse.read("fato_cliente_perfil"), "top_produtos", ("dtref", "id_cliente", "id_empresa"))
+
+
+@query
+def insert_days(src):
+    """Days of a first load under a name of their own, then all days: known days stay as they are."""
+    days = dimensions.time_rows(_fact(src))
+    warehouse = _new_warehouse(src, "days").create("dim_tempo")
+    early = days.filter(F.col("id_tempo") <= F.lit(FIRST_LOAD_END)).withColumn("nome_mes", F.lit("primeira carga"))
+    warehouse.insert_missing("dim_tempo", early)
+    warehouse.insert_missing("dim_tempo", days)
+    return warehouse.read("dim_tempo").select("id_tempo", "mes", "nome_mes")
+
+
 @query
 def quality_report(src):
-    warehouse = stored(src.spark, src.path, "fato_vendasdiarias", "fato_rankings", "fato_marca_perfil")
+    warehouse = stored(src.spark, src.path, "fato_vendasdiarias", "fato_rankings", "fato_cliente_perfil", "fato_marca_perfil")
     fact, ranks, brands = warehouse.fact(), warehouse.read("fato_rankings"), warehouse.read("fato_marca_perfil")
     lines = src.movements()
     return quality.quality_report(
@@ -629,6 +680,8 @@ def quality_report(src):
                                "chave unica do ranking"),
         quality.missing_parents(fact, _sellers(src), "id_vendedor", "vendedor sem dimensao"),
         quality.duplicate_keys(brands, TABLES["fato_marca_perfil"].keys, "chave unica do perfil de marca"),
+        quality.duplicate_keys(warehouse.read("fato_cliente_perfil"), TABLES["fato_cliente_perfil"].keys,
+                               "chave unica do perfil de cliente"),
         quality.null_values(warehouse.read("fato_vendasdiarias", defaults=False),
                             ("valor_realizado", "valor_devolucao", "valor_meta_diaria"), "medidas nulas"),
         quality.failing_rows(lines, {"quantidade positiva": F.col("qtdneg") > 0, "valor nao negativo": daily.net_value() >= 0}),
@@ -659,14 +712,35 @@ def backfill_status(src):
 
 @query
 def stream_refresh(src):
-    """Goals loaded first, then all document items streamed in. Ends equal to the batch fact."""
+    """Goals loaded first, then the items in three sets of new files, by shipping date. The headers of one quarter are first
+    known a day early and as open, and are put right before the last set. Ends equal to the batch fact."""
+    spark = src.spark
     warehouse = _new_warehouse(src, "stream").create("fato_vendasdiarias")
     no_actuals = daily.daily_actuals(src.movements().filter(F.lit(False)))
     goal_rows = goals.goals_by_day(src.goal_sellers(), src.goal_cycles(), src.sellers(), RULES)
     warehouse.load("fato_vendasdiarias", loads.sales_fact(no_actuals, goal_rows))
-    start_refresh(
-        item_stream(src.spark, src.path), warehouse, src, working_path(src.spark, "stream-state")
-    ).awaitTermination()
+
+    folder, state = working_path(spark, "stream-source"), working_path(spark, "stream-state")
+    inbox, headers = f"{folder}/items", f"{folder}/orders"
+    growing = RetailSource(spark, src.path, src.rules, files={"lineitem": inbox, "orders": headers})
+    items, orders = src.table("lineitem"), src.table("orders")
+    shipped = F.to_date("l_shipdate")
+    first, last = items.agg(F.min(shipped), F.max(shipped)).first()
+    cuts = [first + (last - first) / 3, first + 2 * (last - first) / 3]
+    part = F.when(shipped < F.lit(cuts[0]), 0).when(shipped < F.lit(cuts[1]), 1).otherwise(2)
+
+    early = F.to_date("o_orderdate").between(F.lit(cuts[0]), F.lit(cuts[0] + timedelta(days=90)))
+    orders.withColumns({
+        "o_orderstatus": F.when(early, F.lit("O")).otherwise(F.col("o_orderstatus")),
+        "o_orderdate": F.when(early, F.col("o_orderdate") - F.expr("interval 1 day")).otherwise(F.col("o_orderdate")),
+    }).write.parquet(headers)
+    refresh_headers(warehouse, growing)
+    for k in range(3):
+        items.filter(part == k).write.mode("append").parquet(inbox)
+        if k == 2:
+            orders.write.mode("overwrite").parquet(headers)
+            refresh_headers(warehouse, growing)
+        start_refresh(item_stream(spark, inbox, "*.parquet"), warehouse, growing, state).awaitTermination()
     return warehouse.read("fato_vendasdiarias").drop("ano_mes")
 
 

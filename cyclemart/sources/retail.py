@@ -27,13 +27,14 @@ ITEM_FILES = "lineitem*.parquet"
 
 
 class RetailSource:
-    def __init__(self, spark: SparkSession, path: str, rules: SalesRules = RETAIL_RULES):
-        self.spark, self.path, self.rules = spark, path, rules
+    def __init__(self, spark: SparkSession, path: str, rules: SalesRules = RETAIL_RULES, files: dict[str, str] | None = None):
+        """``files`` names tables that lie elsewhere than below ``path``."""
+        self.spark, self.path, self.rules, self.files = spark, path, rules, files or {}
 
     def table(self, name: str, *columns: str) -> DataFrame:
         """Columns of a source table. Items come in any number of files, the same that the refresh streams."""
-        files = ITEM_FILES if name == "lineitem" else f"{name}.parquet"
-        return read_parquet(self.spark, f"{self.path}/{files}", *columns)
+        file = ITEM_FILES if name == "lineitem" else f"{name}.parquet"
+        return read_parquet(self.spark, self.files.get(name, f"{self.path}/{file}"), *columns)
 
     # documents -----------------------------------------------------------------------------
 

@@ -6,6 +6,7 @@ before a write must be read again after it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,7 +90,7 @@ class Warehouse:
     def _write(self, df: DataFrame, table: Table) -> None:
         """Rebalancing gives each month evenly sized files, splitting the large ones."""
         if table.partition is None:
-            df.write.mode("overwrite").parquet(self.path(table.name))
+            self.switch(df, self.path(table.name))
             return
         laid_out = df.hint("rebalance", F.col(table.partition)).sortWithinPartitions(table.partition, *table.sort)
         (
@@ -101,10 +102,27 @@ class Warehouse:
 
     def _drop_partitions(self, table: Table, values: Sequence) -> None:
         """Remove months that have no rows left; an overwrite only replaces months it writes."""
-        jvm = self.spark._jvm
         for value in values:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path(table.name)}/{table.partition}={value}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            files, folder = self._files(f"{self.path(table.name)}/{table.partition}={value}")
+            files.delete(folder, True)
+
+    def _files(self, path: str) -> tuple:
+        """File system and path as Hadoop knows them, whatever store holds them."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def exists(self, path: str) -> bool:
+        files, place = self._files(path)
+        return files.exists(place)
+
+    def switch(self, df: DataFrame, path: str) -> None:
+        """Write a whole table beside the old one, which it may be computed from, and put it in its place once complete."""
+        beside = f"{path}-{uuid.uuid4().hex}"
+        df.write.parquet(beside)
+        files, place = self._files(path)
+        files.delete(place, True)
+        if not files.rename(self._files(beside)[1], place):
+            raise OSError(f"{beside} holds the new table, which could not be put at {path}")
 
     def _touched(self, table: Table, staged: DataFrame) -> list:
         """Month partitions of the increment: at most one value per month of history."""
@@ -126,14 +144,12 @@ class Warehouse:
         changes nothing. A key that ``rows`` holds more than once is stored once."""
         table = TABLES[name]
         staged = self._increment(rows, table, staged)
-        merged = merge_rows(self._current(table, staged), staged, table.keys)
-        self._write(merged if table.partition else self._stage(merged, table), table)
+        self._write(merge_rows(self._current(table, staged), staged, table.keys), table)
 
     def insert_missing(self, name: str, rows: DataFrame) -> None:
         table = TABLES[name]
         staged = self._increment(rows, table, False)
-        merged = insert_missing(self._current(table, staged), staged, table.keys)
-        self._write(merged if table.partition else self._stage(merged, table), table)
+        self._write(insert_missing(self._current(table, staged), staged, table.keys), table)
 
     def replace_days(self, rows: DataFrame, days: DataFrame, staged: bool = False) -> None:
         """Swap the fact rows of whole days: keys that vanished from a day go away. ``days`` has

@@ -1,4 +1,4 @@
-"""Near-real-time refresh: new document lines mark days as touched, and touched days are rebuilt.
+"""Near-real-time refresh: new document lines and changed headers mark days as touched, and touched days are rebuilt.
 
 Days are rebuilt whole because distinct ticket counts cannot be added up from increments. A batch
 that is replayed after a failure rebuilds the same days to the same rows.
@@ -7,6 +7,7 @@ that is replayed after a failure rebuilds the same days to the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ from cyclemart.session import materialise
 from cyclemart.sources.retail import ITEM_FILES, RetailSource
 from cyclemart.sources.warehouse import Warehouse
 
+#: What a header says about its documents' rows in the fact.
+HEADER_STATE = ("o_custkey", "o_orderstatus", "o_orderdate")
+#: Tables of the refresh beside those of the warehouse: headers as last seen, and days left to a range load.
+SEEN_HEADERS, LATE_DAYS = "_headers_seen", "_late_days"
+
 
 def item_stream(spark: SparkSession, path: str, pattern: str = ITEM_FILES, files_per_batch: int | None = None) -> DataFrame:
     """New item files below ``path`` as a stream."""
@@ -40,13 +46,24 @@ def touched_days(items: DataFrame, source: RetailSource) -> DataFrame:
     return joined.select(day.alias("id_tempo")).distinct()
 
 
-def within_lookback(days: DataFrame, lookback_days: int | None) -> DataFrame:
-    """Days no older than the look-back before the newest one. Older corrections are left to a
-    range load."""
-    if lookback_days is None:
-        return days
-    newest = days.agg(F.max("id_tempo").alias("m")).scalar()
-    return days.filter(F.col("id_tempo") >= F.date_sub(newest, lookback_days))
+def header_days(before: DataFrame, after: DataFrame, source: RetailSource) -> DataFrame:
+    """Days that differ between two states of the headers: the old and new day of each header that was added, changed
+    or removed, and the shipping days of its returned items."""
+    old = before.select("o_orderkey", F.struct(*HEADER_STATE).alias("old"))
+    new = after.select("o_orderkey", F.struct(*HEADER_STATE).alias("new"))
+    changed = materialise(
+        old.join(new, "o_orderkey", "full_outer").filter(~F.col("old").eqNullSafe(F.col("new"))).select(
+            "o_orderkey", F.array("old.o_orderdate", "new.o_orderdate").alias("dias")), "changed-headers")
+    own = changed.select(F.explode("dias").alias("dia")).select(F.to_date("dia").alias("id_tempo"))
+    returned = source.table("lineitem", "l_orderkey", "l_returnflag", "l_shipdate").filter("l_returnflag = 'R'").join(
+        changed, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    return own.unionAll(returned.select(F.to_date("l_shipdate").alias("id_tempo"))).filter("id_tempo IS NOT NULL").distinct()
+
+
+def within_bound(days: DataFrame, since: date | None) -> DataFrame:
+    """Days from ``since`` on. The bound is the caller's, one for the whole run, so what it leaves out does not depend on
+    how files fall into batches."""
+    return days if since is None else days.filter(F.col("id_tempo") >= F.lit(since))
 
 
 def rebuild_days(source: RetailSource, days: DataFrame) -> DataFrame | None:
@@ -62,22 +79,53 @@ def rebuild_days(source: RetailSource, days: DataFrame) -> DataFrame | None:
     return sales_fact(actuals, goals)
 
 
-def refresh_batch(warehouse: Warehouse, source: RetailSource, lookback_days: int | None = None) -> Callable:
+def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, since: date | None, run: str) -> None:
+    """Rebuild the days within the bound and note the others under the name of the run."""
+    touched = materialise(touched, "touched-days")
+    days = within_bound(touched, since)
+    rows = rebuild_days(source, days)
+    if rows is not None:
+        warehouse.replace_days(rows, days)
+    if since is not None:
+        late = touched.filter(F.col("id_tempo") < F.lit(since)).withColumn("origem", F.lit(run))
+        late.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("origem").parquet(
+            warehouse.path(LATE_DAYS))
+
+
+def late_days(warehouse: Warehouse) -> DataFrame:
+    """Touched days before the bound of their run, ``(id_tempo, origem)``. A range load of these days puts them right."""
+    path = warehouse.path(LATE_DAYS)
+    schema = "id_tempo date, origem string"
+    return warehouse.spark.read.schema(schema).parquet(path) if warehouse.exists(path) else warehouse.spark.createDataFrame([], schema)
+
+
+def refresh_batch(warehouse: Warehouse, source: RetailSource, since: date | None = None) -> Callable:
     def apply(batch: DataFrame, epoch: int) -> None:
-        days = materialise(within_lookback(touched_days(batch, source), lookback_days), "touched-days")
-        rows = rebuild_days(source, days)
-        if rows is not None:
-            warehouse.replace_days(rows, days)
+        _rebuild(warehouse, source, touched_days(batch, source), since, f"lote-{epoch}")
 
     return apply
 
 
+def refresh_headers(warehouse: Warehouse, source: RetailSource, since: date | None = None) -> None:
+    """Rebuild the days of headers that were added, changed or removed since the last call; the first call only notes them.
+
+    The headers are compared by key with those last seen, one join of two narrow tables. They are noted after the rebuild: a
+    run that fails is done again by the next one.
+    """
+    path = warehouse.path(SEEN_HEADERS)
+    after = materialise(source.table("orders", "o_orderkey", *HEADER_STATE), "headers")
+    if warehouse.exists(path):
+        touched = header_days(warehouse.spark.read.parquet(path), after, source)
+        _rebuild(warehouse, source, touched, since, "cabecalhos")
+    warehouse.switch(after, path)
+
+
 def start_refresh(items: DataFrame, warehouse: Warehouse, source: RetailSource, checkpoint: str, *,
-                  every: str | None = None, lookback_days: int | None = None) -> StreamingQuery:
+                  every: str | None = None, since: date | None = None) -> StreamingQuery:
     """Run the refresh at an interval such as "10 minutes", or once over what is there."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        items.writeStream.foreachBatch(refresh_batch(warehouse, source, lookback_days))
+        items.writeStream.foreachBatch(refresh_batch(warehouse, source, since))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -12,7 +12,7 @@ from cyclemart.plans import loads
 from cyclemart.session import working_path
 from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse
-from cyclemart.streaming.refresh import item_stream, start_refresh, touched_days, within_lookback
+from cyclemart.streaming.refresh import item_stream, late_days, refresh_batch, refresh_headers, start_refresh, touched_days, within_bound
 
 FOLDER = "/root/testdata/sf0.001"
 START, END = date(1998, 2, 1), date(1998, 3, 31)
@@ -116,7 +116,30 @@ def test_every_day_of_the_fact_is_in_a_cycle(source):
     assert cycles.groupBy("id_tempo").count().where("count > 1").isEmpty()
 
 
-def test_lookback_leaves_old_days_to_range_loads(spark):
-    days = spark.createDataFrame([(date(2026, 1, 1),), (date(2026, 3, 1),), (date(2026, 3, 9),)], "id_tempo date")
-    assert within_lookback(days, 60).count() == 2
-    assert within_lookback(days, None).count() == 3
+def test_days_before_the_bound_are_reported_not_rebuilt(spark, source, warehouse):
+    assert late_days(warehouse).isEmpty()
+    items = source.table("lineitem").filter("l_orderkey < 100")
+    touched = touched_days(items, source)
+    since = date(1998, 1, 1)
+    for _ in range(2):  # a replay notes the same days once
+        refresh_batch(warehouse, source, since)(items, 0)
+    assert same(late_days(warehouse).select("id_tempo"), touched.filter(F.col("id_tempo") < F.lit(since)))
+    expected = loads.build_fact(source).join(within_bound(touched, since), "id_tempo", "left_semi")
+    assert same(warehouse.fact(), expected) and not expected.isEmpty()
+
+
+def test_changed_headers_touch_their_days(spark, growing, warehouse):
+    items = spark.read.parquet(f"{FOLDER}/lineitem.parquet").filter("l_orderkey < 400")
+    items.repartition(1).write.parquet(f"{growing.path}/lineitem.parquet")
+    refresh_headers(warehouse, growing)  # notes the headers
+    refresh_batch(warehouse, growing)(items, 0)
+    before = warehouse.fact().agg(F.sum("valor_cancelado")).first()[0]
+    orders = pq.read_table(f"{FOLDER}/orders.parquet")
+    cancelled = pc.if_else(pc.less(orders["o_orderkey"], 100), "P", orders["o_orderstatus"])
+    pq.write_table(orders.set_column(orders.schema.get_field_index("o_orderstatus"), "o_orderstatus", cancelled), f"{growing.path}/orders.parquet")
+    refresh_headers(warehouse, growing)
+    expected = loads.build_fact(growing).join(touched_days(items, growing), "id_tempo", "left_semi")
+    assert same(expected, warehouse.fact().join(touched_days(items, growing), "id_tempo", "left_semi"))
+    assert warehouse.fact().agg(F.sum("valor_cancelado")).first()[0] > before
+    refresh_headers(warehouse, growing)  # nothing changed, nothing happens
+    assert same(expected, warehouse.fact().join(touched_days(items, growing), "id_tempo", "left_semi"))

@@ -79,7 +79,15 @@ def test_given_sellers_are_not_resolved_again(fact, sellers):
 
 def test_empty_company_list_matches_nothing(fact, sellers):
     found = run(fact, sellers, company=[])
-    assert found.cards.isEmpty() and found.daily.isEmpty() and found.ranking.isEmpty()
+    card = cards(found)
+    assert card.pop("dtref") == REF and set(card.values()) == {0} and found.cards.count() == 1
+    assert found.daily.isEmpty() and found.ranking.isEmpty()
+
+
+def test_cycles_without_rows_have_cards_of_zeros(spark, fact, sellers, cycles):
+    empty = spark.createDataFrame([(date(2030, 1, 1), date(2029, 12, 26), date(2030, 1, 25), None)], cycles.schema)
+    found = {r.dtref: (r.realizado, r.meta, r.tkts, r.ticket_medio) for r in K.performance(fact, sellers, RULES, cycles=cycles.union(empty)).cards.collect()}
+    assert found.keys() == {REF, date(2030, 1, 1)} and found[date(2030, 1, 1)] == (0, 0, 0, 0.0)
 
 
 def test_daily_series_and_top_sellers(fact, sellers):
