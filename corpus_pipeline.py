@@ -17,8 +17,9 @@ from cyclemart.llm.queries import packing_settings, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Languages predicted with less certainty than this are rejected, like texts without letters.
-MIN_LANGUAGE_SCORE = 0.1
+#: Texts below this likeness to every learned language are rejected, like texts without letters. The floor itself is
+#: set by the learned rows, by length: see ``langid.similarity_floors``.
+MIN_LIKENESS = 1.0
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +32,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language stays undetermined."""
+    """Drop the documents without a letter and those unlike every language learned: gibberish, symbol soup, other languages."""
     ship(spark)
-    source = docs.withColumnRenamed("score", "_own_score").withColumnRenamed("lang_pred", "_own_pred")
-    found = langid.identify(source, langid.fit(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).drop("score", "lang_pred")
-    return kept.withColumnRenamed("_own_score", "score").withColumnRenamed("_own_pred", "lang_pred").select(*docs.columns)
+    own = {c: f"_own_{c}" for c in ("score", "lang_pred", "likeness")}
+    found = langid.identify(docs.withColumnsRenamed(own), langid.fit(docs), likeness=True)
+    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("likeness") >= MIN_LIKENESS)).drop(*own)
+    return kept.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

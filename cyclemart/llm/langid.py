@@ -27,7 +27,8 @@ _TO_SPACE = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """``sample_per_language`` and ``sample`` bound the rows the separators learn from."""
+    """``sample_per_language`` and ``sample`` bound the rows the separators learn from; ``slack`` is how far below nearly
+    all learned rows of its length the similarity of a text may lie, and ``enough`` the rows that set a floor."""
 
     dims: int = 2048
     sample_per_language: int = 1000
@@ -36,6 +37,8 @@ class LanguageSettings:
     epochs: int = 30
     penalty: float = 1e-4
     seed: int = 11
+    slack: float = 0.15
+    enough: int = 5
 
 
 def profile(text: str, dims: int) -> np.ndarray:
@@ -96,11 +99,30 @@ class LanguageModel:
     families: list[list[int]] = field(default_factory=list)
     family_weights: np.ndarray | None = None
     pairs: dict[tuple[int, int], np.ndarray] = field(default_factory=dict)
+    means: np.ndarray | None = None
+    floors: tuple[np.ndarray, np.ndarray] | None = None
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.assess(text)[:2]
+
+    def assess(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score and likeness. The score only compares the learned languages; likeness is the similarity to the
+        nearest of them over the floor for texts of this length: below 1, the text is unlike all that was learned."""
         if not self.languages or text is None or not _LETTER.search(text):
-            return UNDETERMINED, 0.0
-        x = np.append(profile(text, self.settings.dims), 1.0)
+            return UNDETERMINED, 0.0, 0.0
+        own = profile(text, self.settings.dims)
+        return *self._vote(np.append(own, 1.0)), self._likeness(own)
+
+    def _likeness(self, own: np.ndarray) -> float:
+        if self.floors is None:
+            return 1.0
+        size, floor = self.floors
+        filled = np.log2(max(np.count_nonzero(own), 1))
+        # Parts that hit the mean alike make the cosine grow as the root of their number.
+        least = np.interp(filled, size, floor) * 2 ** (min(filled - size[0], 0) / 2)
+        return float((self.means @ own).max() / max(least, 1e-9))
+
+    def _vote(self, x: np.ndarray) -> tuple[str, float]:
         family, score = 0, 1.0
         if len(self.families) > 1:
             margins = self.family_weights @ x
@@ -122,6 +144,16 @@ def _certainty(margin: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(2 * margin, -30, 30))))
 
 
+def similarity_floors(x: np.ndarray, means: np.ndarray, s: LanguageSettings) -> tuple[np.ndarray, np.ndarray] | None:
+    """Least similarity to the nearest mean, by the binary logarithm of the slots a profile fills: of the learned rows of
+    each half octave all but a hundredth lie ``slack`` above it. None if no half octave has ``enough`` rows."""
+    nearest, half = (x @ means.T).max(axis=1), np.floor(2 * np.log2(np.maximum(np.count_nonzero(x, axis=1), 1)))
+    known = [h for h in np.unique(half) if (half == h).sum() >= s.enough]
+    if not known:
+        return None
+    return np.array([h / 2 + 0.25 for h in known]), np.array([max(np.quantile(nearest[half == h], 0.01) - s.slack, 0) for h in known])
+
+
 def train(x: np.ndarray, y: Sequence[str], s: LanguageSettings = LanguageSettings()) -> LanguageModel:
     languages = sorted(set(y))
     model = LanguageModel(s, languages)
@@ -129,6 +161,8 @@ def train(x: np.ndarray, y: Sequence[str], s: LanguageSettings = LanguageSetting
         return model
     code = np.searchsorted(np.array(languages), np.array(y))
     means = np.array([x[code == i].mean(axis=0) for i in range(len(languages))])
+    model.means = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-12)
+    model.floors = similarity_floors(x, model.means, s)
     number = s.families or max(1, int(np.ceil(np.sqrt(len(languages)))))
     model.families = find_families(means, number)
     of = np.empty(len(languages), dtype=int)
@@ -171,16 +205,19 @@ def fit(docs: DataFrame, s: LanguageSettings = LanguageSettings(), text: str = "
     return train(x, [r._lang for r in rows], s)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1); columns of these names are replaced.
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, likeness: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), and ``likeness`` if asked for; columns of these names are replaced.
 
-    Null texts and texts without a letter are ``und`` with score 0. Whole texts are read; each row stands for itself.
+    Null texts and texts without a letter are ``und`` with score and likeness 0. Whole texts are read; each row stands for itself.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # (families + pairs) * dims weights
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        found = [shared.value.predict(v.as_py()) for v in batch.column(text)]
-        return {"lang_pred": pa.array([f[0] for f in found], pa.string()), "score": pa.array([f[1] for f in found], pa.float64())}
+        found = [shared.value.assess(v.as_py()) for v in batch.column(text)]
+        kinds = (pa.string(), pa.float64(), pa.float64())
+        return {f.name: pa.array([row[k] for row in found], kinds[k]) for k, f in enumerate(fields)}
 
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if likeness:
+        fields.append(T.StructField("likeness", T.DoubleType()))
     return map_columns(docs, compute, fields, docs.columns if keep is None else keep)

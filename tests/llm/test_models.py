@@ -1,5 +1,6 @@
 """Fitted models on held-out rows, packing against the tokenizer, and the pipeline against its stages done by hand."""
 
+import random
 import zlib
 
 import corpus_pipeline
@@ -226,6 +227,20 @@ def test_pipeline_equals_its_stages_by_hand(spark, docs, quality_model):
     check_packing(rows, texts, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def test_language_stage_drops_what_is_no_learned_language(spark, docs):
+    """Gibberish, symbol soup and other languages go; every document of the corpus with a letter stays."""
+    r = random.Random(1)
+    mixed = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(n))
+    bad = [mixed("abcdefghijklmnopqrstuvwxyz", n) for n in (30, 200, 2000)] + [mixed("abcxyz{}();=+-*/<>[]#!$%&0123456789", n) for n in (30, 200, 2000)] + [
+        "Szybki brązowy lis przeskakuje nad leniwym psem, gdy słońce zachodzi za wzgórzami, a ludzie wracają do domu z pól",
+        "Nopea ruskea kettu hyppää laiskan koiran yli auringon laskiessa kukkuloiden taakse ja miesten palatessa kotiin",
+        "Быстрая коричневая лиса перепрыгивает через ленивую собаку, пока солнце садится за холмами",
+        "素早い茶色の狐がのろまな犬を飛び越えるとき、太陽は丘の後ろに沈み、人々は畑から家に帰ります"]
+    added = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(bad)], "doc_id long, text string")
+    kept = corpus_pipeline.keep_language(spark, docs.unionByName(added, allowMissingColumns=True), FOLDER)
+    assert {x.doc_id for x in kept.select("doc_id").collect()} == {x.doc_id for x in docs.where("text RLIKE '\\\\p{L}'").select("doc_id").collect()}
+
+
 def test_stages_take_odd_tables(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars int, score string, lang_pred int, key int"
     rows = [(i, t, "en", None, 0, "own", 1, 2) for i, t in enumerate(TEXTS)] + [(None, "no id but words", None, None, None, None, None, None), (3, "a", "en", None, 0, "own", 1, 2)]
