@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.llm import decontaminate, langid, packing, quality, simhash
@@ -41,12 +41,19 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group: the one of smallest id. Of repeated rows of one id, one stays."""
+    """Keep one row of each near-duplicate group: that of the smallest id, nulls last. Rows that share an id, or have none,
+    stand for themselves unless their texts are near."""
     ship(spark)
-    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("_key")
-    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    # Join and removal of repeated rows share one shuffle by the key.
-    return docs.select("*", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    names = [f"_key_{k}" for k in range(2)]
+
+    def keys(text_hash: Column) -> list[Column]:
+        # A null id is a key of its own.
+        return [F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias(names[0]), text_hash.alias(names[1])]
+
+    kept = simhash.survivors(docs).select(*keys(F.col("text_hash")))
+    # Join and removal of repeated rows share one shuffle by the keys.
+    found = docs.select("*", *keys(F.xxhash64(F.col("text").cast("string")))).join(kept, names, "left_semi")
+    return found.dropDuplicates(names).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,6 +147,22 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataF
     return found
 
 
+def _placed(nodes: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """``nodes`` with ``component``, the smallest fingerprint reachable by links within the radius."""
+    of = components(links(nodes, radius, bucket), "simhash-components")
+    return nodes.join(of, nodes.fp == of.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+
+
+def survivors(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``(doc_id, text_hash)`` of one row per component: that of the smallest id, nulls last, then of the smallest hash of its
+    text. Rows are told apart by both, so null or repeated ids don't join rows whose texts differ."""
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    prints = fingerprints(source.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), "text", ["doc_id", "text_hash"])
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = materialise(prints.groupBy("fp").agg(F.min(row).alias("first")), "simhash-nodes")
+    return _placed(nodes, radius, bucket).groupBy("component").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs``: ``component_id`` is the smallest id reachable by
     fingerprints that differ in at most ``radius`` bits, its own included.
@@ -157,8 +173,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     prints = materialise(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), "text", ["doc_id"]), "simhash-prints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    of = components(links(nodes, radius, bucket), "simhash-components")
-    placed = nodes.join(of, nodes.fp == of.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    placed = _placed(nodes, radius, bucket)
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     classes = placed.join(smallest, "component").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

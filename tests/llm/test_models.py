@@ -241,6 +241,16 @@ def test_language_stage_drops_what_is_no_learned_language(spark, docs):
     assert {x.doc_id for x in kept.select("doc_id").collect()} == {x.doc_id for x in docs.where("text RLIKE '\\\\p{L}'").select("doc_id").collect()}
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    """One row of each group of like texts, whatever the ids: those without one and those that share one stay apart."""
+    r = random.Random(4)
+    a, b, c, d, e = (" ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(40)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (3, c), (7, d), (7, c), (7, d), (None, c), (9, e), (8, e), (None, None), (None, ""), (11, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((x.doc_id, x.text) for x in corpus_pipeline.drop_near_duplicates(spark, df, FOLDER).collect()), key=str)
+    assert kept == sorted([(None, a), (None, b), (3, c), (7, d), (8, e), (11, " ")], key=str)
+
+
 def test_stages_take_odd_tables(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars int, score string, lang_pred int, key int"
     rows = [(i, t, "en", None, 0, "own", 1, 2) for i, t in enumerate(TEXTS)] + [(None, "no id but words", None, None, None, None, None, None), (3, "a", "en", None, 0, "own", 1, 2)]
