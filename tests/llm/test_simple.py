@@ -154,6 +154,19 @@ def text_of(page):
     return "\n".join(b.text for b in extract.blocks(page) if b.declared != 0)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body style='overflow-x: hidden'><div style=\"overflow:hidden\"><article>k</article></div></body>", "k"),
+    ("<div data-id=ad data-class='nav' title='hidden role=menu'>k</div><div hidden>x</div><div class=a hidden=''>x</div>", "k"),
+    ("<div style=overflow:hidden>k</div><div id=ad>x</div><div class=a class=nav>l</div><div aria-hidden=TRUE>x</div>", "k\nl"),
+    ("<article><p>a</p><svg viewBox='0 0 1 1'/><p>b</p><math/><p>c</p></article>", "a\nb\nc"),
+    *((f"<article><div><{t}>x<p>y</p></div><p>k</p></article><div><{t}>x</{t}></div><p>l</p>", "k\nl") for t in ("object", "select", "noscript", "svg", "math")),
+    ("<p>a <svg><text>x</text><g><svg>y</svg>z</g></svg> b</p><p><a href=u>c<svg>x</a> d</p>", "a\nb\nc\nd"),
+    ("<select><option>x<option>y</select><object><object>x</object>y</object><noscript><style>p{}</style><p>x</noscript><p>k</p>", "k"),
+])
+def test_blocks_of_ordinary_markup(page, text):
+    assert text_of(page) == text
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain  &amp; text", "plain & text"),
     ("<article><h1>T</h1><p><b>One<br><p>two\n three</p></article><footer>f</footer>", "T\nOne\ntwo three"),
