@@ -28,10 +28,11 @@ VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _FIELD = re.compile(rb"([!#$%&'*+\-.^_`|~0-9A-Za-z]+):[ \t]*(.*)")
+_FIELD_START = re.compile(rb"[!#$%&'*+\-.^_`|~0-9A-Za-z]+:")
 #: An archive is closed when it has this many bytes; one record may exceed it.
 ARCHIVE_BYTES = 32 << 20
-#: Bytes read at once, the length up to which a record's header is looked for, and the bytes unpacked at once.
-CHUNK, HEADER, PIECE = 1 << 20, 1 << 16, 1 << 14
+#: Bytes read at once, and the bytes unpacked at once.
+CHUNK, PIECE = 1 << 20, 1 << 14
 
 RECORD_SCHEMA = ("archive string, position long, stored long, record_type string, page_id string, refers_to string, "
                  "uri string, payload_digest string, payload_bytes long, payload binary, problem string")
@@ -94,7 +95,7 @@ def parse_record(data: bytes, whole: bool = True) -> tuple[Record, int]:
     lines, length, end of the block, block digest, payload digest of a response, and nothing left over if ``whole``."""
     if not _VERSION_LINE.match(data):
         raise Damaged("no version line")
-    end = data.find(b"\r\n\r\n", 0, HEADER)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         raise Damaged("header without end")
     fields: dict[str, str] = {}
@@ -177,12 +178,35 @@ def _next_member(w: Window) -> tuple[Record, int]:
 def _next_plain(w: Window) -> tuple[Record, int]:
     if w.head(7) != b"WARC/1.":
         raise Damaged("no version line")
+    # A header may be of any length, but each of its lines must be one: damage ends the search at the first that is none.
+    version = _VERSION_LINE.match(w.head(16))
+    if not version:
+        raise Damaged("no version line")
+    at, length = version.end(), None
     while True:
-        end = w.find(b"\r\n\r\n", 0, HEADER)
-        length = re.search(rb"\r\ncontent-length:[ \t]*(\d{1,15})\r\n", w.head(end + 2), re.I) if end >= 0 else None
-        size = end + 8 + int(length[1]) if length else HEADER
-        if end >= 0 and (not length or size <= len(w)) or len(w) >= HEADER and end < 0 or not w.more():
-            return parse_record(w.head(size), whole=False)
+        stop = w.find(b"\r\n", at)
+        while stop < 0:
+            # Field names are short; what has no colon soon is no field, however far its line goes.
+            if not _FIELD_START.match(w.head(at + 256)[at:]) and len(w) >= at + 256:
+                raise Damaged("header line")
+            seen = max(at, len(w) - 1)
+            if not w.more():
+                raise Damaged("header without end")
+            stop = w.find(b"\r\n", seen)
+        if stop == at:
+            break
+        found = _FIELD.fullmatch(w.head(stop)[at:])
+        if not found:
+            raise Damaged("header line")
+        if found[1].lower() == b"content-length":
+            length = found[2]
+        at = stop + 2
+    if length is None or not re.fullmatch(rb"\d{1,15}", length):
+        raise Damaged("no length")
+    size = at + 2 + int(length) + 4
+    while len(w) < size and w.more():
+        pass
+    return parse_record(w.head(size), whole=False)
 
 
 def salvage(archive: str, read: Callable[[int], bytes]) -> Iterator[dict]:
@@ -324,11 +348,18 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, payload
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as archives and read them back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
 
-    Every row gives a row; ids have the type they had. An empty table gives none.
+    Every row gives a row, or the call fails; ids have the type they had. An empty table gives none.
     """
     spark = pages.sparkSession
     folder = working_path(spark, "warc")
     written = materialise(write_archives(pages, folder, page_id, url, html, min_bytes), "warc-archives")
     kind = pages.schema[page_id].dataType
-    return read_archives(spark, folder, written, payloads=False).where("problem IS NULL").select(
+    records = read_archives(spark, folder, written, payloads=False)
+    back = materialise(records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem"), "warc-records")
+    count = F.coalesce(F.sum("records"), F.lit(0))
+    expected = written.agg(count).first()[0]
+    found, gaps = back.agg(F.count_if(F.col("problem").isNull()), F.count("problem")).first()
+    if gaps or found != expected:
+        raise RuntimeError(f"{expected} records were written to {folder}; {found} were read back, with {gaps} quarantined gaps")
+    return back.select(
         F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

@@ -140,6 +140,23 @@ def test_salvage_recovers_all_but_the_damaged(compressed, monkeypatch):
     assert [r["stored"] for r in warc.salvage("f", reader(b"\x1f"))] == [1]
 
 
+@pytest.mark.parametrize("compressed", [True, False])
+def test_salvage_reads_headers_of_any_length(compressed):
+    urls = ["http://h/" + "q" * n for n in (0, 100_000, 5, 3_000_000)]
+    records = [warc.record_bytes("response", str(i), u, b"x" * 50, None) for i, u in enumerate(urls)]
+    rows = list(warc.salvage("f", reader(b"".join(warc.member(r) if compressed else r for r in records))))
+    assert [(r["problem"], r["uri"]) for r in rows] == [(None, u) for u in urls]
+
+
+def test_round_trip_keeps_long_urls_and_fails_on_lost_records(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "data:" + "é" * 100_000, "a"), (2, "u", "b")], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.round_trip(pages).collect()) == [1, 2]
+    write = warc.write_archives
+    monkeypatch.setattr(warc, "write_archives", lambda *a: write(*a).selectExpr("archive", "records + 1 AS records", "bytes"))
+    with pytest.raises(RuntimeError, match="read back"):
+        warc.round_trip(pages)
+
+
 def test_archives_roll_over_and_keep_payloads(spark):
     pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string").coalesce(1)
     folder = working_path(spark, "warc-test")
