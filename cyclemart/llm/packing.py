@@ -6,8 +6,9 @@ document frequencies and mean length are counted over all tails. Taking tails in
 index ranks the unused neighbours of the seed, and the window takes them in that order as long as they fit; the
 best one that doesn't fit is cut to fill what is left, and its rest stays in the shard.
 
-Nothing is shuffled but the token counts. A shard is a run of rows of one written file, so memory
-does not depend on keys, and a lost task gives the same shards again.
+Tails are sorted over the whole table by their ids of highest BM25 weight before shards are cut, so that related tails of
+any file meet; ids that many tails start with are told apart by the next ones. A shard is a run of rows of the
+sorted table, so memory does not depend on keys, and a lost task gives the same shards again.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ _OTHER_BLANKS = re.compile(r"[^\S \n]")
 @dataclass(frozen=True)
 class PackingSettings:
     """``vocabulary`` and ``ranks`` are the files of one byte-level BPE, for the tokenizers and tiktoken libraries;
-    ``shard`` is the number of tails of an index, ``k1`` and ``b`` are BM25's."""
+    ``shard`` is the number of tails of an index, ``route`` the number of ids tails are sorted by, ``k1`` and ``b`` are BM25's."""
 
     vocabulary: str
     ranks: str
@@ -43,6 +44,7 @@ class PackingSettings:
     end_id: int = 0
     ids: int = 1 << 16
     shard: int = 256
+    route: int = 3
     k1: float = 1.2
     b: float = 0.75
 
@@ -153,6 +155,42 @@ def _flat(tails: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tails), dtype=np.uint16).astype(np.int64), np.repeat(np.arange(len(tails)), sizes), sizes
 
 
+def routes(tails: list[bytes], idf: np.ndarray, mean_length: float, s: PackingSettings) -> np.ndarray:
+    """The ``route`` ids of highest BM25 weight of each tail, best first, -1 where it has no more."""
+    ids, of, sizes = _flat(tails)
+    keys, times = np.unique(of * s.ids + ids, return_counts=True)
+    doc, token = keys // s.ids, keys % s.ids
+    useful = idf[token] > 0
+    doc, token, times = doc[useful], token[useful], times[useful]
+    weight = idf[token] * times * (s.k1 + 1) / (times + s.k1 * (1 - s.b + s.b * sizes[doc] / max(mean_length, 1)))
+    order = np.lexsort((token, -weight, doc))
+    doc, token = doc[order], token[order]
+    rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    found = np.full((len(tails), s.route), -1, dtype=np.int64)
+    first = rank < s.route
+    found[doc[first], rank[first]] = token[first]
+    return found
+
+
+def by_content(encoded: DataFrame, idf: np.ndarray, mean_length: float, frequency: np.ndarray, s: PackingSettings) -> DataFrame:
+    """``encoded`` sorted by routes over all partitions. Ids of a single tail lead nowhere and are no routes."""
+    shared = encoded.sparkSession.sparkContext.broadcast((np.where(frequency > 1, idf, 0).astype(np.float32), mean_length))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1000):
+                batch = whole.slice(low, 1000)
+                found = routes([v.as_py() for v in batch.column(3)], *shared.value, s)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int32()) for c in found.T)], names=[*batch.schema.names, *names])
+
+    names = [f"route_{k}" for k in range(s.route)]
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, doc_tokens long, crcs array<long>, tail binary, " + ", ".join(f"{n} int" for n in names)
+    # Written first: the bounds of the ranges are drawn from the rows, which would compute the routes twice.
+    routed = materialise(encoded.mapInArrow(run, schema).withColumn("copy", F.xxhash64("tail", "doc_id")), "packing-routed")
+    return routed.repartitionByRange(*names, "copy").sortWithinPartitions(*names, "copy").select(*encoded.columns)
+
+
 class ShardIndex:
     """Inverted index of the tails of one shard. Ids in over half of all tails weigh nothing and have no postings."""
 
@@ -227,6 +265,7 @@ def pack(docs: DataFrame, s: PackingSettings, text: str = "text", doc_id: str =
     frequency, tails, length = document_frequencies(encoded, s)
     idf = np.maximum(0, np.log((tails - frequency + 0.5) / (frequency + 0.5))).astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((idf, length / max(tails, 1)))  # one number for each id
+    ordered = by_content(encoded, idf, length / max(tails, 1), frequency, s)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,4 +296,4 @@ def pack(docs: DataFrame, s: PackingSettings, text: str = "text", doc_id: str =
                 [pa.array(columns[0], batch.schema.field(0).type)] + [pa.array(c, pa.int64()) for c in columns[1:]], names=names)
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ordered.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

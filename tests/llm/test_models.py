@@ -174,6 +174,18 @@ def test_packing_of_odd_texts(spark, tokenizer):
     assert len({(r.sequence_id, r.offset) for r in twice}) == len(twice) and sum(r.length for r in twice) == 2 * twice[0].doc_tokens
 
 
+def test_related_tails_of_distant_rows_share_a_sequence(spark):
+    """Topics of four documents each, of which no two lie within a shard of the input's rows."""
+    r = random.Random(9)
+    words = [["".join(r.choices("bcdfgklmnprstaeiou", k=9)) for _ in range(12)] for _ in range(400)]
+    rows = [(k * 400 + t, " ".join(r.choices(words[t], k=40))) for k in range(4) for t in range(400)]
+    sequence = {}
+    for x in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), packing_settings()).collect():
+        sequence.setdefault(x.doc_id, set()).add(x.sequence_id)
+    met = [bool(sequence[a] & sequence[b]) for t in range(400) for a in range(t, 1600, 400) for b in range(t, a, 400)]
+    assert np.mean(met) > 0.2
+
+
 def test_index_scores_are_bm25():
     s = packing_settings()
     r = np.random.default_rng(3)
