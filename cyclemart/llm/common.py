@@ -11,13 +11,19 @@ from pyspark.sql import types as T
 
 from cyclemart.session import materialise, working_path
 
-__all__ = ["components", "held_out", "map_columns", "materialise", "table", "working_path"]
+__all__ = ["components", "discard", "held_out", "map_columns", "materialise", "table", "working_path"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a working folder whose rows nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for rows no model may learn from: crc32 of the id as text, modulo 5, is 0. A null id is held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
