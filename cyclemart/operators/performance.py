@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cyclemart.config import SalesRules
 from cyclemart.functions import text
-from cyclemart.functions.calendar import cycle_days, is_working_day, working_days
+from cyclemart.functions.calendar import cycle_days, is_working_day, working_days, year_month
 from cyclemart.functions.predicates import Company, all_of, any_movement, for_company, for_sellers, in_period
 from cyclemart.operators.fact import GOAL_COMPANY
 
@@ -23,8 +23,9 @@ RATE = "decimal(18,10)"
 
 
 def scope_period(fact: DataFrame, start: date | None, end: date | None, dtref: date | None = None) -> DataFrame:
-    """Rows of a period; on the stored fact the months outside it are not read."""
-    return fact.filter(all_of(in_period(F.col("id_tempo"), start, end)) & _months(fact, start, end)).withColumn(
+    """Rows of a period; on the stored fact the months outside it are not read. One bound alone is no filter."""
+    both = (start, end) if start and end else (None, None)
+    return fact.filter(all_of(in_period(F.col("id_tempo"), start, end)) & _months(fact, *both)).withColumn(
         "dtref", F.lit(dtref or start).cast("date")
     )
 
@@ -41,9 +42,12 @@ def _months(fact: DataFrame, start: date | None, end: date | None) -> Column:
 
 
 def scope_cycles(fact: DataFrame, cycles: DataFrame) -> DataFrame:
-    """Each row once for every cycle that holds its day."""
+    """Each row once for every cycle that holds its day. On the stored fact the days carry their month, so that
+    chosen cycles prune the months to read while the query runs."""
     days = cycles.select("dtref", F.explode(F.sequence("dtinic", "dtfin")).alias("id_tempo"))
-    return fact.join(days, "id_tempo")
+    if "ano_mes" not in fact.columns:
+        return fact.join(days, "id_tempo")
+    return fact.join(days.withColumn("ano_mes", year_month(F.col("id_tempo"))), ["ano_mes", "id_tempo"])
 
 
 def _actual(company: Company) -> Column:

@@ -57,8 +57,12 @@ def sync_dimensions(warehouse: Warehouse, source: RetailSource) -> None:
 
 
 def load_rankings_and_profiles(warehouse: Warehouse, source: RetailSource, start: date, end: date) -> None:
-    """Rankings and profiles of every month the range touches, computed up to its last day."""
+    """Rankings and profiles of every month the range touches, computed up to its last day. Where the warehouse holds later
+    days of the last month, up to the last of these: lists of a whole month are not cut to a part of it."""
     first = start.replace(day=1)
+    next_month = (end.replace(day=1) + timedelta(days=32)).replace(day=1)
+    later = warehouse.fact(end, next_month - timedelta(days=1)).filter("id_empresa > 0").agg(F.max("id_tempo")).first()[0]
+    end = max(end, later or end)
     months: list[date] = []
     month = first
     while month <= end:

@@ -398,6 +398,19 @@ ORACLE: dict[str, str] = {
         COALESCE(CAST(v_desconto AS DOUBLE), 0) AS v_desconto, COALESCE(v_tkts, 0) AS v_tkts,
         COALESCE(CAST(meta_vendedor AS DOUBLE), 0) AS meta_vendedor, COALESCE(linhas, 0) AS linhas
         FROM por_vendedor FULL JOIN meta_vend USING (dtref, id_vendedor)""", ALL),
+    "kpi_two_cycles": _sql(f"""SELECT {_t("dtref")}, id_vendedor, COALESCE(CAST(v_realizado AS DOUBLE), 0) AS v_realizado,
+        COALESCE(CAST(v_devolucao AS DOUBLE), 0) AS v_devolucao, COALESCE(CAST(v_cancelado AS DOUBLE), 0) AS v_cancelado,
+        COALESCE(CAST(v_desconto AS DOUBLE), 0) AS v_desconto, COALESCE(v_tkts, 0) AS v_tkts,
+        COALESCE(CAST(meta_vendedor AS DOUBLE), 0) AS meta_vendedor, COALESCE(linhas, 0) AS linhas
+        FROM por_vendedor FULL JOIN meta_vend USING (dtref, id_vendedor) WHERE dtref IN (DATE '1998-03-01', DATE '1998-01-01')""", ALL),
+    "kpi_half_period": _sql("""SELECT '1998-03-01' AS dtref, id_vendedor,
+        CAST(COALESCE(SUM(valor_realizado) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS v_realizado,
+        CAST(COALESCE(SUM(valor_devolucao) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS v_devolucao,
+        CAST(COALESCE(SUM(valor_cancelado) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS v_cancelado,
+        CAST(COALESCE(SUM(valor_desconto) FILTER (WHERE id_empresa > 0), 0) AS DOUBLE) AS v_desconto,
+        CAST(COALESCE(SUM(qtd_transacoes) FILTER (WHERE id_empresa > 0), 0) AS BIGINT) AS v_tkts,
+        CAST(COALESCE(MAX(valor_meta_mensal) FILTER (WHERE id_empresa = 0), 0) AS DOUBLE) AS meta_vendedor,
+        COUNT(*) FILTER (WHERE id_empresa > 0) AS linhas FROM fato GROUP BY ALL"""),
     "top5_sellers": _sql(TOP, ALL),
     "kpi_company": _sql(CARDS, COMPANY_1),
     "kpi_company_daily": _sql(DAILY, COMPANIES_1_2),
@@ -504,6 +517,25 @@ ORACLE: dict[str, str] = {
         CASE WHEN n IS NULL THEN 'sem movimento' ELSE 'carregado' END AS situacao
         FROM (SELECT UNNEST(generate_series(TIMESTAMP '2001-09-01', TIMESTAMP '2002-01-31', INTERVAL 1 DAY)) AS d)
         LEFT JOIN (SELECT id_tempo, COUNT(*) AS n FROM fato GROUP BY ALL) ON id_tempo = CAST(d AS DATE)"""),
+    "stream_late": _sql(FACT),
+    "stream_late_days": """
+        WITH fim AS (SELECT CAST(MAX(d) AS DATE) AS ultimo FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)),
+        pedidos AS (SELECT o_orderkey AS k, o_orderstatus AS st, CAST(o_orderdate AS DATE) AS dia, CAST(o_orderdate AS DATE) < ultimo - 400 AS antigo FROM orders, fim),
+        versoes AS (
+            SELECT k, st, dia, CAST(DATE_TRUNC('month', dia + CASE WHEN k % 97 = 0 THEN 90 WHEN k % 61 = 0 AND antigo THEN 180 ELSE 0 END) + INTERVAL 1 MONTH AS DATE) AS carga
+            FROM pedidos
+            UNION ALL SELECT k, 'O', dia - 1, CAST(DATE_TRUNC('month', dia) AS DATE) FROM pedidos WHERE k % 5 = 0 AND (k % 61 <> 0 OR NOT antigo)),
+        chegadas AS (
+            SELECT k, l_returnflag AS f, CAST(l_shipdate AS DATE) AS envio,
+                   CAST(DATE_TRUNC('month', dia + CASE WHEN k % 31 = 0 THEN 70 ELSE l_linenumber END) + INTERVAL 1 MONTH AS DATE) AS carga
+            FROM lineitem JOIN pedidos ON k = l_orderkey),
+        vistas AS (
+            SELECT c.k, CASE WHEN st <> 'P' AND f = 'R' THEN envio ELSE dia END AS ref, c.carga AS ci, v.carga AS cv
+            FROM chegadas c JOIN versoes v ON v.k = c.k AND ABS(DATE_DIFF('day', c.carga, v.carga)) <= 120),
+        quando AS (
+            SELECT ref, GREATEST(ci, cv) AS carga FROM vistas
+            UNION ALL SELECT ref, GREATEST(ci, n.carga) FROM vistas JOIN versoes n ON n.k = vistas.k AND n.carga > cv AND n.carga <= cv + 120)
+        SELECT DISTINCT CAST(ref AS VARCHAR) AS id_tempo FROM quando WHERE DATE_DIFF('day', ref, carga) > 60""",
     "stream_refresh": _sql(FACT),
     "ticket_row_avg": _sql(f"""SELECT {_t("mes")}, {_mean("SUM(valor)", "COUNT(*)")} AS ticket_medio FROM vendas_linha WHERE tipo = 'V'
         GROUP BY ALL""", REPORT),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclemart.functions import text
@@ -27,6 +27,8 @@ from cyclemart.session import materialise, tune, working_path
 from cyclemart.sources import documents
 from cyclemart.sources.retail import RETAIL_RULES, RetailSource
 from cyclemart.sources.warehouse import Warehouse, merge_rows
+from cyclemart.streaming import ledger
+from cyclemart.streaming.ledger import Landing
 from cyclemart.streaming.refresh import item_stream, refresh_headers, start_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,6 +447,21 @@ def kpi_sellers(src):
     return _kpis(src, seller_ids=[3, 5, 8]).cards
 
 
+@query
+def kpi_two_cycles(src):
+    """Seller totals of two cycles, which are chosen by the query: only the months they touch are read."""
+    chosen = _cycles(src).filter(F.col("dtref").isin(REFERENCE_CYCLE, RELOAD_FROM))
+    rows = performance.eligible(performance.scope_cycles(_fact(src), chosen), _sellers(src))
+    return performance.seller_totals(rows).withColumn("meta_vendedor", F.coalesce("meta_vendedor", F.lit(0)))
+
+
+@query
+def kpi_half_period(src):
+    """A period with one bound only is no filter: every day of the fact counts."""
+    rows = performance.scope_period(_fact(src), REFERENCE_CYCLE, None)
+    return performance.seller_totals(rows).withColumn("meta_vendedor", F.coalesce("meta_vendedor", F.lit(0)))
+
+
 @query
 def kpi_period(src):
     """One period, read from the month partitions that hold it."""
@@ -744,6 +761,76 @@ def stream_refresh(src):
     return warehouse.read("fato_vendasdiarias").drop("ano_mes")
 
 
+def _landed_months(src: RetailSource) -> tuple[DataFrame, DataFrame]:
+    """Headers and items as they land, once a month. One document in five has a header before, with another day and as open;
+    one in 97 gets its header ninety days late, one in 61 half a year late, if it is older than 400 days. The items of one in 31
+    come seventy days late."""
+    key = F.col("o_orderkey")
+    old = F.to_date("o_orderdate") < F.date_sub(F.lit(src.span()[1]), 400)
+    orders = src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    ordered = F.to_date("o_orderdate")
+
+    def month_after(day):
+        return F.add_months(F.trunc(day, "month"), 1)
+
+    final = orders.withColumn("carga", month_after(F.date_add(ordered, F.when(key % 97 == 0, 90).when((key % 61 == 0) & old, 180).otherwise(0))))
+    early = orders.filter((key % 5 == 0) & ((key % 61 != 0) | ~old)).withColumns({
+        "o_orderstatus": F.lit("O"), "o_orderdate": F.col("o_orderdate") - F.expr("interval 1 day"), "carga": F.trunc(ordered, "month")})
+    items = src.table("lineitem", *ledger.ITEM_COLUMNS).join(orders.select(key.alias("l_orderkey"), ordered.alias("_dia")), "l_orderkey")
+    arrival = month_after(F.date_add("_dia", F.when(F.col("l_orderkey") % 31 == 0, 70).otherwise(F.col("l_linenumber"))))
+    # The given line numbers repeat within a document.
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ledger.ITEM_COLUMNS[1:]))
+    return final.unionByName(early), items.withColumn("carga", arrival).withColumn("l_linenumber", number).drop("_dia")
+
+
+#: Streamed warehouses, one per application and data folder: the two queries below look at the same run.
+_streamed: dict[tuple[str, str], tuple[Warehouse, Landing]] = {}
+
+
+def _streamed_late(src: RetailSource) -> tuple[Warehouse, Landing]:
+    key = (src.spark.sparkContext.applicationId, src.path)
+    if key not in _streamed:
+        _streamed[key] = stream_landed(src)
+    return _streamed[key]
+
+
+def stream_landed(src: RetailSource, cuts: tuple[float, ...] = (0.6,), new_state: bool = False) -> tuple[Warehouse, Landing]:
+    """Files land in parts, neighbouring months in exchanged order, and are streamed into a fact that holds goals only.
+    ``new_state`` starts the stream anew for every part."""
+    warehouse = _new_warehouse(src, "ledger").create("fato_vendasdiarias")
+    no_actuals = daily.daily_actuals(src.movements().filter(F.lit(False)))
+    goal_rows = goals.goals_by_day(src.goal_sellers(), src.goal_cycles(), src.sellers(), RULES)
+    warehouse.load("fato_vendasdiarias", loads.sales_fact(no_actuals, goal_rows))
+    folder = working_path(src.spark, "landing")
+    landing = Landing(f"{folder}/headers", f"{folder}/items")
+    first, last = (d.year * 12 + d.month for d in src.span())
+    number = (F.year("carga") * 12 + F.month("carga")).bitwiseXOR(F.lit(1))
+    bounds = [first - 2, *(int(first + (last - first) * c) for c in cuts), last + 12]
+    tables = [materialise(t.withColumn("_numero", number), "landing-rows") for t in _landed_months(src)]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        for rows, path in zip(tables, (landing.headers, landing.items), strict=True):
+            part = rows.filter((F.col("_numero") >= low) & (F.col("_numero") < high)).drop("_numero")
+            part.repartition("carga").write.mode("append").partitionBy("carga").parquet(path)
+        ledger.start(warehouse, src, landing, f"{folder}/state{low if new_state else ''}").awaitTermination()
+    return warehouse, landing
+
+
+@query
+def stream_late(src):
+    """Headers and items that land out of order, late, twice or months apart, streamed and settled: ends equal to the batch fact."""
+    warehouse, landing = _streamed_late(src)
+    noted = materialise(ledger.late_days(warehouse), "late-days")
+    ledger.settle(warehouse, src, landing)
+    ledger.note_late(warehouse, noted)
+    return warehouse.read("fato_vendasdiarias").drop("ano_mes")
+
+
+@query
+def stream_late_days(src):
+    """Days whose lines landed more than the look-back after them: noted by the stream, once each, for the nightly run."""
+    return ledger.late_days(_streamed_late(src)[0])
+
+
 # reports --------------------------------------------------------------------------------------
 
 def _rows(src: RetailSource) -> DataFrame:

@@ -27,9 +27,15 @@ ITEM_FILES = "lineitem*.parquet"
 
 
 class RetailSource:
-    def __init__(self, spark: SparkSession, path: str, rules: SalesRules = RETAIL_RULES, files: dict[str, str] | None = None):
-        """``files`` names tables that lie elsewhere than below ``path``."""
-        self.spark, self.path, self.rules, self.files = spark, path, rules, files or {}
+    def __init__(self, spark: SparkSession, path: str, rules: SalesRules = RETAIL_RULES, files: dict[str, str] | None = None,
+                 span: tuple[date, date] | None = None):
+        """``files`` names tables that lie elsewhere than below ``path``. ``span`` says which days the cycles must cover;
+        without it they cover all days of the tables."""
+        self.spark, self.path, self.rules, self.files, self._span = spark, path, rules, files or {}, span
+
+    def spanning(self, first: date, last: date) -> RetailSource:
+        """The same source with the cycles of some days, which are not looked for in the tables."""
+        return RetailSource(self.spark, self.path, self.rules, self.files, (first, last))
 
     def table(self, name: str, *columns: str) -> DataFrame:
         """Columns of a source table. Items come in any number of files, the same that the refresh streams."""
@@ -38,26 +44,31 @@ class RetailSource:
 
     # documents -----------------------------------------------------------------------------
 
-    def _headers(self, condition: Column | None = None, only: DataFrame | None = None) -> DataFrame:
-        """Orders with their company. The customer side joins before the items do, so the large
-        item join is the last shuffle and leaves the lines partitioned by document. ``only`` keeps the documents it
-        names in ``nunota``, before customers are attached."""
+    def _orders(self, condition: Column | None = None) -> DataFrame:
         orders = self.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         if condition is not None:
             orders = orders.filter(condition)
-        if only is not None:
-            orders = orders.join(only, F.col("o_orderkey") == F.col("nunota"), "left_semi")
+        return orders.select(
+            F.col("o_orderkey").alias("nunota"), F.to_date("o_orderdate").alias("data_pedido"), "o_custkey",
+            F.col("o_orderstatus").alias("situacao"),
+        )
+
+    def with_company(self, documents: DataFrame) -> DataFrame:
+        """Documents, or their lines, with the company and customer in place of the customer key."""
         company = self.table("customer", "c_custkey", "c_nationkey").join(
             self.table("nation", "n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey")
         )
-        return orders.join(company, F.col("o_custkey") == F.col("c_custkey")).select(
-            F.col("o_orderkey").alias("nunota"),
-            F.to_date("o_orderdate").alias("data_pedido"),
+        return documents.join(company, F.col("o_custkey") == F.col("c_custkey")).select(
+            *[c for c in documents.columns if c != "o_custkey"],
             (F.col("n_regionkey") + 1).cast("bigint").alias("codemp"),
             (F.col("o_custkey") + 1).alias("codparc"),
-            F.col("o_orderstatus").alias("situacao"),
         )
 
+    def _headers(self, condition: Column | None = None) -> DataFrame:
+        """Orders with their company. The customer side joins before the items do, so the large
+        item join is the last shuffle and leaves the lines partitioned by document."""
+        return self.with_company(self._orders(condition))
+
     def _items(self, condition: Column | None = None, cost: bool = False) -> DataFrame:
         items = self.table(
             "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -108,9 +119,12 @@ class RetailSource:
 
     def returns(self, period: Period = None) -> DataFrame:
         items = self._items(self._and(F.col("l_returnflag") == "R", self._between("l_shipdate", period)))
-        # A period is on the item: its few documents are picked before their customers are looked up.
-        only = None if period is None else items.select("nunota")
-        lines = D.document_lines(self._headers(F.col("o_orderstatus") != "P", only), items)
+        kept = F.col("o_orderstatus") != "P"
+        if period is None:
+            lines = D.document_lines(self._headers(kept), items)
+        else:
+            # A period is on the item: its few lines pick the documents, whose customers are looked up last.
+            lines = self.with_company(D.document_lines(self._orders(kept), items))
         lines = lines.withColumns({
             "data_ref": F.col("data_envio"), "codtipoper": F.lit(2200), "statusnfe": F.lit(None).cast("string"),
         })
@@ -123,28 +137,26 @@ class RetailSource:
             "data_ref": F.col("data_pedido"), "codtipoper": F.lit(3108), "statusnfe": F.lit(None).cast("string"),
         }).filter(D.is_sale_operation(self.rules))
 
-    def movements(self, period: Period = None) -> DataFrame:
-        """All movements. The whole history is one pass; a period is three pruned scans, because
-        returns are dated on the item and the others on the order."""
-        columns = ["tipo_mov", "nunota", "data_ref", "codemp", "codvend", "codparc", "codprod", "qtdneg", "vlrtot",
-                   "vlrdesc", "vlrcus"]
-        if period is not None:
-            no_cost = F.lit(None).cast("decimal(15,2)")
-            parts = [
-                self.sales(period, cost=True).withColumn("tipo_mov", F.lit(D.SALE)),
-                self.returns(period).withColumns({"tipo_mov": F.lit(D.RETURN), "vlrcus": no_cost}),
-                self.cancels(period).withColumns({"tipo_mov": F.lit(D.CANCEL), "vlrcus": no_cost}),
-            ]
-            first, *rest = [p.select(*columns) for p in parts]
-            for p in rest:
-                first = first.unionByName(p)
-            return first
-        kind = (
+    @staticmethod
+    def _kind() -> Column:
+        return (
             F.when(F.col("situacao") == "P", F.lit(D.CANCEL))
             .when(F.col("devolvido") == "R", F.lit(D.RETURN))
             .otherwise(F.lit(D.SALE))
         )
-        lines = D.document_lines(self._headers(), self._items(cost=True)).withColumn("tipo_mov", kind)
+
+    def movements(self, period: Period = None) -> DataFrame:
+        """All movements. The whole history is one pass; a period is two pruned scans, because returns are dated
+        on the item, sales and cancellations on the order."""
+        columns = ["tipo_mov", "nunota", "data_ref", "codemp", "codvend", "codparc", "codprod", "qtdneg", "vlrtot",
+                   "vlrdesc", "vlrcus"]
+        if period is not None:
+            headers = self._headers(self._between("o_orderdate", period))
+            ordered = D.document_lines(headers, self._items(cost=True)).withColumns({
+                "tipo_mov": self._kind(), "data_ref": F.col("data_pedido")}).filter(F.col("tipo_mov") != D.RETURN)
+            returned = self.returns(period).withColumns({"tipo_mov": F.lit(D.RETURN), "vlrcus": F.lit(None).cast("decimal(15,2)")})
+            return ordered.select(*columns).unionByName(returned.select(*columns))
+        lines = D.document_lines(self._headers(), self._items(cost=True)).withColumn("tipo_mov", self._kind())
         day = F.when(F.col("tipo_mov") == D.RETURN, F.col("data_envio")).otherwise(F.col("data_pedido"))
         return lines.withColumn("data_ref", day).select(*columns)
 
@@ -179,23 +191,26 @@ class RetailSource:
             F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("compldesc"),
         )
 
-    def _cycle_span(self) -> DataFrame:
-        """First and last cycle: those that hold the first and the last day of an order or a shipment, so
-        that no day of the fact is outside all cycles."""
-        def month_of(day: Column) -> Column:
-            return F.trunc(F.add_months(F.date_sub(F.to_date(day), 25), 1), "month")
+    def span(self) -> tuple[date | None, date | None]:
+        """First and last day of an order or a shipment, found once per source: two narrow columns."""
+        if self._span is None:
+            days = self.table("orders", F.to_date("o_orderdate").alias("dia")).unionAll(
+                self.table("lineitem", F.to_date("l_shipdate").alias("dia")))
+            self._span = tuple(days.agg(F.min("dia"), F.max("dia")).first())
+        return self._span
+
+    def _months(self) -> Column:
+        """Months of the cycles from that which holds the first day to that which holds the last, so that no day
+        of the fact is outside all cycles."""
+        def month_of(day: date | None) -> Column:
+            return F.trunc(F.add_months(F.date_sub(F.lit(day).cast("date"), 25), 1), "month")
 
-        shipped = self.table("lineitem", "l_shipdate").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
-        ordered = self.table("orders", "o_orderdate").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-        both = ordered.unionAll(shipped)
-        return both.agg(month_of(F.min("a")).alias("primeiro"), month_of(F.max("b")).alias("ultimo"))
+        first, last = self.span()
+        return F.explode(F.sequence(month_of(first), month_of(last), F.expr("interval 1 month"))).alias("dtref")
 
     def goal_cycles(self) -> DataFrame:
         """One cycle per month, from the 26th to the 25th."""
-        months = self._cycle_span().select(
-            F.explode(F.sequence("primeiro", "ultimo", F.expr("interval 1 month"))).alias("dtref")
-        )
-        return months.select(
+        return self.spark.range(1).select(self._months()).select(
             (F.year("dtref") * 100 + F.month("dtref")).alias("codmetavenda"),
             "dtref",
             F.date_add(F.add_months("dtref", -1), 25).alias("dtinic"),
@@ -204,10 +219,7 @@ class RetailSource:
 
     def goal_sellers(self) -> DataFrame:
         """A goal and a commission rate for each seller in each cycle."""
-        span = self._cycle_span()
-        months = self.sellers().select(
-            "codvend", span.select("primeiro").scalar().alias("primeiro"), span.select("ultimo").scalar().alias("ultimo")
-        ).select("codvend", F.explode(F.sequence("primeiro", "ultimo", F.expr("interval 1 month"))).alias("dtref"))
+        months = self.sellers().select("codvend", self._months())
         step = (F.col("codvend") * 7 + F.month("dtref") * 3) % 11
         cents = (F.lit(100) + (F.col("codvend") % 4) * 25).cast("decimal(3,0)")
         return months.select(

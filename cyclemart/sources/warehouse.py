@@ -16,6 +16,9 @@ from cyclemart.functions.calendar import year_month
 from cyclemart.schemas import TABLES, Table
 from cyclemart.session import materialise
 
+#: Ending of a table that a switch has set aside.
+ASIDE = "-anterior"
+
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: source rows, and target rows whose key the source lacks."""
@@ -50,10 +53,12 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def create(self, *names: str) -> Warehouse:
-        """Create missing tables. Columns added to a schema later read as their default from old
+        """Create missing tables, and put back what a switch that broke off has set aside. Columns added to a schema later read as their default from old
         files, so no migration of stored data is needed."""
         for name in names or TABLES:
             table = TABLES[name]
+            if self.current_path(self.path(name)) != self.path(name):
+                self._rename(self.current_path(self.path(name)), self.path(name))
             writer = self.spark.createDataFrame([], table.schema).write.mode("ignore")
             if table.partition:
                 writer = writer.partitionBy(table.partition)
@@ -63,7 +68,8 @@ class Warehouse:
     def read(self, name: str, defaults: bool = True) -> DataFrame:
         """A table. Without ``defaults`` nulls stay as they are stored."""
         table = TABLES[name]
-        df = self.spark.read.schema(table.schema).parquet(self.path(name))
+        path = self.path(name) if table.partition else self.current_path(self.path(name))
+        df = self.spark.read.schema(table.schema).parquet(path)
         if defaults and table.defaults:
             types = {f.name: f.dataType for f in table.schema}
             df = df.withColumns({c: F.coalesce(c, F.lit(v).cast(types[c])) for c, v in table.defaults.items()})
@@ -115,14 +121,28 @@ class Warehouse:
         files, place = self._files(path)
         return files.exists(place)
 
+    def _rename(self, old: str, new: str) -> None:
+        files, place = self._files(old)
+        if not files.rename(place, self._files(new)[1]):
+            raise OSError(f"{old} could not be put at {new}")
+
+    def current_path(self, path: str) -> str:
+        """Where a switched table lies: at its path or, if a switch broke off between its two renames, still set aside."""
+        aside = f"{path}{ASIDE}"
+        return aside if not self.exists(path) and self.exists(aside) else path
+
     def switch(self, df: DataFrame, path: str) -> None:
-        """Write a whole table beside the old one, which it may be computed from, and put it in its place once complete."""
-        beside = f"{path}-{uuid.uuid4().hex}"
+        """Write a whole table beside the old one, which it may be computed from, set the old one aside, put the new one in
+        its place and only then remove the old one. At every moment one of the two is whole; ``current_path`` finds it,
+        and the next switch clears up."""
+        beside, aside = f"{path}-{uuid.uuid4().hex}", f"{path}{ASIDE}"
         df.write.parquet(beside)
         files, place = self._files(path)
-        files.delete(place, True)
-        if not files.rename(self._files(beside)[1], place):
-            raise OSError(f"{beside} holds the new table, which could not be put at {path}")
+        if self.exists(path):
+            files.delete(self._files(aside)[1], True)
+            self._rename(path, aside)
+        self._rename(beside, path)
+        files.delete(self._files(aside)[1], True)
 
     def _touched(self, table: Table, staged: DataFrame) -> list:
         """Month partitions of the increment: at most one value per month of history."""
