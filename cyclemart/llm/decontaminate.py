@@ -56,7 +56,7 @@ def occurrences(docs: DataFrame, found: DataFrame, keys: list[str], text: str =
     The benchmark is broadcast as long as it holds at most ``BROADCAST_WINDOWS`` windows; beyond that the
     positions, each with its next few words, are shuffled by their hash.
     """
-    size, few = found.agg(F.count("*").alias("n"), F.collect_set(F.least("n", F.lit(ANCHOR))).alias("k")).first()
+    size, few, longest = found.agg(F.count("*").alias("n"), F.collect_set(F.least("n", F.lit(ANCHOR))).alias("k"), F.max("n")).first()
     texts = docs.select(*keys, F.xxhash64(F.col(text).cast("string")).alias("same"), words(F.col(text)).alias("w"))
     places = texts.select(*keys, "same", "w", F.size("w").alias("n_words"), F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
     # Windows shorter than an anchor are hashed over fewer words: each such length has its own probe.
@@ -70,7 +70,7 @@ def occurrences(docs: DataFrame, found: DataFrame, keys: list[str], text: str =
         joined = places.join(F.broadcast(found), (F.col("probe") == F.col("anchor"))
                              & (F.slice("w", F.col("at") + 1, F.col("n")) == F.col("window")), "left")
     else:
-        narrow = places.withColumn("w", F.slice("w", F.greatest("at", F.lit(0)) + 1, F.lit(WINDOW)))
+        narrow = places.withColumn("w", F.slice("w", F.greatest("at", F.lit(0)) + 1, F.lit(longest or 0)))
         hits = narrow.where("at >= 0").join(found, (F.col("probe") == F.col("anchor")) & (F.slice("w", F.lit(1), F.col("n")) == F.col("window")))
         joined = narrow.where("at = -1").unionByName(hits, allowMissingColumns=True)
     return joined.where("at = -1 OR n IS NOT NULL").select(*keys, "same", "n_words", "at", "n", "items")
