@@ -24,13 +24,18 @@ from pyspark.sql import functions as F
 from cyclemart.llm.common import components, materialise
 
 
+#: More tables than any setting in use needs; their numbers fit the bits that keys have for them.
+TABLE_BITS = 10
+MOST_TABLES = 1 << TABLE_BITS
+
+
 @dataclass(frozen=True)
 class VectorSettings:
-    """``recall`` is the chance to find a pair exactly at the threshold; closer pairs are found more surely.
+    """``recall`` is the least chance to find a pair exactly at the threshold; closer pairs are found more surely.
     ``confidence`` is the number of standard errors of the bound, ``block`` the rows of a block."""
 
     threshold: float = 0.9
-    recall: float = 0.98
+    recall: float = 0.95
     bits: int = 256
     confidence: float = 4.0
     block: int = 1024
@@ -45,10 +50,22 @@ def rotation(dims: int, s: VectorSettings) -> np.ndarray:
 
 
 def table_plan(rows: int, s: VectorSettings) -> tuple[int, int]:
-    """Bits of a key and number of tables: keys of three bits more than the rows need, and as many tables as the recall needs."""
+    """Bits of a key and number of tables: keys of three bits more than the rows need, and as many tables as the recall needs.
+
+    All tables draw from the same code, so they do not miss a pair independently. Of the ``bits`` of a pair at the threshold
+    a binomial number agrees; given that number, tables draw independently, and the recall is the mean over it.
+    """
     agree = 1 - math.acos(min(1.0, s.threshold)) / math.pi
-    width = min(24, max(8, math.ceil(math.log2(max(rows, 2))) + 3))
-    return width, math.ceil(math.log(1 - s.recall) / math.log(1 - agree**width))
+    width = min(24, max(8, math.ceil(math.log2(max(rows, 2))) + 3), s.bits)
+    same = np.arange(s.bits + 1)
+    choose = np.array([math.lgamma(s.bits + 1) - math.lgamma(k + 1) - math.lgamma(s.bits - k + 1) for k in same])
+    weight = np.exp(choose + same * math.log(agree) + (s.bits - same) * math.log1p(-agree)) if agree < 1 else (same == s.bits).astype(float)
+    k = np.arange(width)
+    hit = np.where(same >= width, np.prod(np.maximum(same[:, None] - k, 0) / (s.bits - k), axis=1), 0.0)
+    tables = 1
+    while tables < MOST_TABLES and weight @ (1 - (1 - hit) ** tables) < s.recall:
+        tables += 1
+    return width, tables
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,7 +120,7 @@ def _links_of(key, low, high, block, v, n, key_bits, width, turn, s) -> tuple[np
         i, j = i[linked], j[linked]
         if not len(i):
             continue
-        first, table = np.ones(len(i), dtype=bool), key[i] >> width
+        first, table = np.ones(len(i), dtype=bool), key[i] >> width & MOST_TABLES - 1
         for earlier in range(int(table.max())):
             ask = np.flatnonzero(first & (table > earlier))
             bits = key_bits[earlier]
@@ -124,8 +141,8 @@ def _links_of(key, low, high, block, v, n, key_bits, width, turn, s) -> tuple[np
 def near_duplicates(embeddings: DataFrame, s: VectorSettings = VectorSettings(), vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, and vectors of another length than
-    most, link with nothing. Equal vectors are one node with a weight and link with each other. Null ids never are a component
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of one length link
+    with each other only. An empty table gives an empty result, other columns are ignored. Equal vectors are one node with a weight and link with each other. Null ids never are a component
     unless they are alone. Every pair found at the threshold or above in double precision links, none below it.
     """
     spark = embeddings.sparkSession
@@ -133,26 +150,39 @@ def near_duplicates(embeddings: DataFrame, s: VectorSettings = VectorSettings(),
     fine = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     tagged = source.withColumn("fine", F.coalesce(fine, F.lit(False))).withColumn("node", F.when(F.col("fine"), F.xxhash64(F.transform("v", lambda x: x + 0.0))))
     nodes = materialise(tagged.where("fine").groupBy("node").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"), F.any_value("v").alias("v")), "vectors-nodes")
-    sizes = nodes.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "dims").head(1)
-    dims, count = (sizes[0].dims, sizes[0].rows) if sizes else (1, 0)
-    turn = rotation(dims, s)
-    width, tables = table_plan(count, s)
-    rng = np.random.default_rng(s.seed + 1)
-    key_bits = [np.sort(rng.choice(turn.shape[1], width, replace=False)) for _ in range(tables)]
+    # Lengths that only one vector has find no partner.
+    lengths = nodes.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("rows")).where("rows > 1")
+    width, tables = table_plan(lengths.agg(F.max("rows")).first()[0] or 0, s)
+    codes: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
+
+    def code_of(dims: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Rotation and key bits of the vectors of a length."""
+        if dims not in codes:
+            turn, rng = rotation(dims, s), np.random.default_rng(s.seed + 1)
+            codes[dims] = turn, [np.sort(rng.choice(turn.shape[1], width, replace=False)) for _ in range(tables)]
+        return codes[dims]
 
     kept_type = np.float32 if embeddings.schema[vector].dataType.simpleString() == "array<float>" else np.float64
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = 1 << np.arange(width, dtype=np.int64)
         for batch in batches:
-            v = np.array(batch.column("v").to_pylist(), dtype=np.float64).reshape(-1, dims)
-            _, signs, _ = encode(unit(v), turn)
-            key = np.stack([t * (1 << width) + signs[:, bits] @ powers for t, bits in enumerate(key_bits)], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array([x.astype(kept_type).tobytes() for x in v], pa.binary()), pa.array(list(key), pa.list_(pa.int64()))],
-                names=["node", "n", "v", "keys"])
-
-    coded = nodes.where(F.size("v") == dims).select("node", "n", "v").mapInArrow(keys, "node long, n long, v binary, keys array<long>")
+            column = batch.column("v")
+            sizes = np.diff(column.offsets.to_numpy())
+            for dims in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == dims)
+                turn, key_bits = code_of(dims)
+                v = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+                _, signs, _ = encode(unit(v), turn)
+                # The length leads the key: vectors of different lengths never share a bucket.
+                key = np.stack([((dims << TABLE_BITS | t) << width) + signs[:, bits] @ powers for t, bits in enumerate(key_bits)], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows)),
+                     pa.array([x.astype(kept_type).tobytes() for x in v], pa.binary()), pa.array(list(key), pa.list_(pa.int64()))],
+                    names=["node", "n", "v", "keys"])
+
+    shared = nodes.join(lengths.select("dims"), F.size("v") == F.col("dims"), "left_semi")
+    coded = shared.select("node", "n", "v").mapInArrow(keys, "node long, n long, v binary, keys array<long>")
     coded = materialise(coded, "vectors-codes")
     # Keys alone decide the buckets; vectors are sent only to buckets of two and more.
     hashed = coded.select("node", F.explode("keys").alias("key"))
@@ -167,18 +197,23 @@ def near_duplicates(embeddings: DataFrame, s: VectorSettings = VectorSettings(),
         """Whole buckets, some thousand rows at a time, in; degrees and joining edges out."""
         held: list[list] = [[] for _ in range(7)]
 
-        def close(rows: int) -> pa.RecordBatch:
-            key, low, high, block, node, n = (np.array(held[k][:rows], dtype=np.int64) for k in range(6))
-            v = unit(np.frombuffer(b"".join(held[6][:rows]), dtype=kept_type).astype(np.float64).reshape(rows, -1))
+        def close(rows: int) -> Iterator[pa.RecordBatch]:
+            columns = [np.array(held[k][:rows], dtype=np.int64) for k in range(6)]
+            raw = held[6][:rows]
             for column in held:
                 del column[:rows]
-            links, ends = _links_of(key, low, high, block, v, n, key_bits, width, turn, s)
-            seen = np.flatnonzero(links)
-            a, b = ends
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([node[seen], node[a]])), pa.array(np.concatenate([links[seen], np.zeros(len(a), dtype=np.int64)])),
-                 pa.array(np.concatenate([node[seen], node[b]]), mask=np.concatenate([np.ones(len(seen), dtype=bool), np.zeros(len(b), dtype=bool)]))],
-                names=["node", "links", "other"])
+            sizes = columns[0] >> width + TABLE_BITS
+            for dims in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == dims)
+                key, low, high, block, node, n = (c[at] for c in columns)
+                v = unit(np.frombuffer(b"".join([raw[k] for k in at]), dtype=kept_type).astype(np.float64).reshape(len(at), dims))
+                turn, key_bits = code_of(dims)
+                links, (a, b) = _links_of(key, low, high, block, v, n, key_bits, width, turn, s)
+                seen = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([node[seen], node[a]])), pa.array(np.concatenate([links[seen], np.zeros(len(a), dtype=np.int64)])),
+                     pa.array(np.concatenate([node[seen], node[b]]), mask=np.concatenate([np.ones(len(seen), dtype=bool), np.zeros(len(b), dtype=bool)]))],
+                    names=["node", "links", "other"])
 
         for batch in batches:
             for column, new in zip(held, batch.columns, strict=True):
@@ -189,9 +224,9 @@ def near_duplicates(embeddings: DataFrame, s: VectorSettings = VectorSettings(),
                 while last and same(last - 1):
                     last -= 1
                 if last:
-                    yield close(last)
+                    yield from close(last)
         if held[0]:
-            yield close(len(held[0]))
+            yield from close(len(held[0]))
 
     found = materialise(parts.mapInArrow(compare, "node long, links long, other long"), "vectors-links")
     of = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), "vectors-components")

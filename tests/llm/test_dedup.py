@@ -197,6 +197,53 @@ def test_decontamination(spark, monkeypatch, limit):
     assert decontaminate.report(d.limit(0), b).count() == 0
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_long_windows_are_the_same_on_both_ways(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = [(1, f"a {item} b"), (2, " ".join(f"w{k}" for k in range(19)) + " x"), (3, " ".join(f"w{k}" for k in range(5, 26)))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.report(d, b, size=20).collect()]
+    assert sorted(got) == sorted(plain_report(docs, [(7, item)], 20)) and max(r[2] for r in got) == 30
+
+
+def test_vectors_of_several_lengths(spark):
+    """Every length has its own links, whatever length most vectors have."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for dims, n in ((64, 200), (3, 60), (300, 20), (5, 1)):
+        base = rng.normal(size=(max(n // 4, 1), dims))
+        rows += [base[k % len(base)] + rng.normal(size=dims) * rng.choice([0.0, 0.05, 0.3]) for k in range(n)]
+    order = rng.permutation(len(rows))
+    rows = [rows[k] for k in order]
+
+    def cosine(i, j):
+        a, b = rows[i], rows[j]
+        return len(a) == len(b) and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.9
+
+    df = spark.createDataFrame([(k, [float(x) for x in v], "z") for k, v in enumerate(rows)], "vec_id long, embedding array<double>, dims string")
+    found = {r.vec_id: r for r in vectors.near_duplicates(df.repartition(3), vectors.VectorSettings(recall=0.9999, block=16)).collect()}
+    ids = list(range(len(rows)))
+    expected = reachable(ids, cosine)
+    links = {i: sum(cosine(i, j) for j in ids if j != i) for i in ids}
+    assert {k: r.n_links for k, r in found.items()} == links and {k: r.component_id for k, r in found.items()} == expected
+    assert any(links[k] and len(rows[k]) == 3 for k in ids) and any(links[k] and len(rows[k]) == 300 for k in ids)
+
+
+@pytest.mark.parametrize("rows", [3_000, 50_000, 2_000_000])
+def test_tables_reach_their_recall(rows):
+    """Pairs whose code bits agree as those of a pair at the threshold do are brought together often enough."""
+    s = vectors.VectorSettings()
+    width, tables = vectors.table_plan(rows, s)
+    rng = np.random.default_rng(1)
+    keys = [rng.choice(s.bits, width, replace=False) for _ in range(tables)]
+    same = rng.random((20_000, s.bits)) < 1 - np.arccos(s.threshold) / np.pi
+    met = np.zeros(len(same), dtype=bool)
+    for bits in keys:
+        met |= same[:, bits].all(axis=1)
+    assert tables < vectors.MOST_TABLES and s.recall - 0.02 < met.mean() < s.recall + 0.02
+
+
 def test_spans_are_cut_out(spark):
     d = spark.createDataFrame([(1, "Keep, solo (this) SOLO!"), (2, "nothing"), (3, None)], "doc_id long, text string")
     b = spark.createDataFrame([(1, "Solo")], "item_id long, text string")
