@@ -341,8 +341,8 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, payload
             yield flush()
 
     names = archives.select("archive").distinct()
-    # As many partitions as files: a fixed number is not coalesced, however short the list of names is.
-    return names.repartition(max(1, min(names.count(), 20_000)), "archive").mapInArrow(run, RECORD_SCHEMA)
+    # A task per file: the names are distinct, so their ranges deal them out evenly, and a fixed number is not coalesced.
+    return names.repartitionByRange(max(1, min(names.count(), 20_000)), "archive").mapInArrow(run, RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> DataFrame:
