@@ -26,18 +26,20 @@ def conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn"
     return turns.where(F.col(conv_id).isNotNull()).groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_set(one)).alias("turns"))
 
 
-def pair_by_opening(whole: DataFrame, groups: int = 64) -> DataFrame:
+def pair_by_opening(whole: DataFrame, together: int = 100_000) -> DataFrame:
     """Pairs of conversations that open alike: ``(chosen, rejected)`` ids, every conversation in one pair at most.
 
     Conversations with the same first turn are dealt out by a hash of their id into sub-groups, ordered there by falling
     number of turns and rising id, and paired with their neighbours; the longer one, or at a tie the one of smaller
     id, is chosen. What a sub-group leaves over is paired the same way with what the others leave, so of each opening one
-    conversation at most stays alone. An opening that holds very many conversations is spread over the sub-groups; the
-    second step meets one row of each.
+    conversation at most stays alone. An opening has as many sub-groups as put some ``together`` conversations into each,
+    so a sub-group stays small however common its opening is; the second step meets one row of each.
     """
     opening = F.xxhash64(F.col("turns")[0]["role"], F.col("turns")[0]["text"])
     rows = whole.where(F.size("turns") > 0).select("conv_id", F.size("turns").alias("n"), opening.alias("opening"), F.sha2(F.concat_ws("\x00", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256).alias("sure"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("conv_id"), F.lit(groups)))
+    common = rows.groupBy("opening", "sure").agg(F.count("*").alias("m")).where(F.col("m") > together)
+    rows = rows.join(common, ["opening", "sure"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("conv_id"), F.coalesce(F.ceil(F.col("m") / together), F.lit(1)))).drop("m")
 
     def paired(df: DataFrame, keys: list[str]) -> DataFrame:
         order = Window.partitionBy(*keys).orderBy(F.desc("n"), "conv_id")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -53,10 +54,10 @@ def whole(spark):
 
 
 def test_siblings_are_paired_once(whole):
-    pairs = [tuple(r) for r in chat.pair_by_opening(whole, groups=1).collect()]
+    pairs = [tuple(r) for r in chat.pair_by_opening(whole).collect()]
     assert pairs == [(1, 2)]
-    for groups in (2, 7):
-        used = [x for r in chat.pair_by_opening(whole, groups).collect() for x in r]
+    for together in (1, 3):
+        used = [x for r in chat.pair_by_opening(whole, together).collect() for x in r]
         assert len(used) == len(set(used)) == 2 and set(used) <= {1, 2, 3}
 
 
@@ -191,12 +192,75 @@ def test_blocks_of_ordinary_markup(page, text):
     ("<nav>n<p>m</nav><aside>x</aside><p>k</p><form>q</form>", "k"), ("<script>var t='</p>';</script><style>p{}</style><p>k</p><script>x", "k"),
     ("<div class='comments'><article><p>no</p></article></div><main><p>yes</p></main>", "yes"), ("<!-- c --><p title='a>b'>k</p><!-- cut", "k"),
     ("<div class=ad>x</div><div class='read-more'>y</div>", "y"), ("<header>h</header><article><header><h1>t</h1></header></article>", "t"),
-    ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a\nb\nc\nd"), ("<p>a <span class=share>no</span> b</p>", "a\nb"), ("<a href=\"x", ""),
+    ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a\nb\nc\nd"), ("<p>a <span class=share>no</span> b</p>", "a b"), ("<a href=\"x", ""),
 ])
 def test_blocks(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="layout has-sidebar"><article>kept <b>text</b></article></div>', '<div class="page no-comments"><article>kept text</article></div>',
+    '<form id="aspnetForm"><article>kept text</article></form>', '<div id="sidebar-layout"><nav>x</nav><main>kept text</main></div>',
+    '<article>kept text</article><section class="comments"><article>a reader</article></section>',
+    '<article>kept text</article><div class=ad><article>buy</article></div>', '<form><input>send<article>kept text</article></form>',
+    '<article>kept <a class="ad">buy</a> text</article>'])
+def test_an_article_survives_what_wraps_it(page):
+    assert "\n".join(b.text for b in extract.blocks(page) if b.declared == 1) == "kept text"
+
+
+@pytest.mark.parametrize("piece", ["<div>x", "<b>x", "<x-y>x", "</i>x<b>", "<p>x</q>", "<li>x<ul>", "<table><td>x"])
+def test_long_pages_take_linear_time(piece):
+    start = time.perf_counter()
+    found = extract.blocks(piece * (150_000 // len(piece)))
+    assert time.perf_counter() - start < 3 and "".join(b.text for b in found).replace(" ", "").count("x") == 150_000 // len(piece)
+    assert max(len(b.path) for b in found) <= extract.DEPTH
+
+
+def brute_importance(pages, s):
+    """Importance of every style node of a host, from the definition."""
+    import math
+
+    texts, styles = {}, {}
+    for number, page in enumerate(dict.fromkeys(pages)):
+        for b in extract.blocks(page):
+            if b.declared is None:
+                for d in range(2, len(b.path) + 1):
+                    texts.setdefault(b.path[:d], {}).setdefault(b.text, set()).add(number)
+                    styles.setdefault(b.path[:d], {}).setdefault(number, []).append("/".join(b.path[d:]))
+    out = {}
+    for node, by_page in styles.items():
+        n = len(by_page)
+        if n > 1:
+            content = 1 - sum(math.log(len(on)) / math.log(n) for on in texts[node].values()) / len(texts[node])
+            kinds = {}
+            for seen in by_page.values():
+                kinds["|".join(seen)] = kinds.get("|".join(seen), 0) + 1
+            shown = -sum(k / n * math.log(k / n) / math.log(n) for k in kinds.values())
+            fade = s.gamma ** len(kinds)
+            out["/".join(node)] = (1 - fade) * shown + fade * content
+    return out
+
+
+def test_importance_equals_brute_force(spark):
+    r = random.Random(3)
+    pages = []
+    for _ in range(12):
+        body = "".join(f"<div class=c{r.randint(0, 2)}>{r.choice(['same', f'word{r.randint(0, 99)}'])}<p>{r.randint(0, 4)}</p></div>" for _ in range(r.randint(1, 4)))
+        pages.append(f"<html><body><div class=top>Home | News</div>{body}<div class=end>All rights</div></body></html>")
+    pages += pages[:3]
+    s = extract.ExtractSettings()
+    source = spark.createDataFrame([("h", k % 12, p) for k, p in enumerate(pages)], "host string, page_hash long, page string")
+    found = {r.node: r.importance for r in extract.importance(extract.style_nodes(source, "page"), s).collect()}
+    expected = {extract._hash(k): v for k, v in brute_importance(pages, s).items()}
+    assert found.keys() == expected.keys() and all(abs(found[k] - expected[k]) < 1e-9 for k in found)
+    rows = spark.createDataFrame([(k, "http://h/x", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    cut = {k for k, v in brute_importance(pages, s).items() if v < s.threshold}
+    for row in extract.extract(rows).collect():
+        kept = [b.text for b in extract.blocks(pages[row.page_id]) if not any("/".join(b.path[:d]) in cut for d in range(2, len(b.path) + 1))]
+        assert row.text == "\n".join(kept) and "Home" not in row.text and "rights" not in row.text
+
+
+
 def test_style_tree_cuts_what_every_page_of_a_host_repeats(spark):
     def page(i):
         return f"<html><body><div class=top>menu one</div><div class=body><p>text {i} a</p><p>text {i} b</p></div><div class=end><b>all rights</b></div></body></html>"
