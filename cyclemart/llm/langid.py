@@ -7,7 +7,6 @@ one-versus-rest separator picks the family; within it one-versus-one linear supp
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -21,7 +20,6 @@ from pyspark.sql import types as T
 from cyclemart.llm.common import held_out, map_columns
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _TO_SPACE = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 
@@ -41,6 +39,11 @@ class LanguageSettings:
     enough: int = 5
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of a Unicode letter category: superscripts, fractions and Roman number signs are not."""
+    return any(map(str.isalpha, text))
+
+
 def profile(text: str, dims: int) -> np.ndarray:
     """Square roots of hashed 1- to 4-byte counts of the lower-cased letters, at unit length."""
     data = np.frombuffer(b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_TO_SPACE).split()) + b" ", dtype=np.uint8).astype(np.uint32)
@@ -108,7 +111,7 @@ class LanguageModel:
     def assess(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and likeness. The score only compares the learned languages; likeness is the similarity to the
         nearest of them over the floor for texts of this length: below 1, the text is unlike all that was learned."""
-        if not self.languages or text is None or not _LETTER.search(text):
+        if not self.languages or text is None or not has_letter(text):
             return UNDETERMINED, 0.0, 0.0
         own = profile(text, self.settings.dims)
         return *self._vote(np.append(own, 1.0)), self._likeness(own)
