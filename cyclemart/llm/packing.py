@@ -49,6 +49,10 @@ class PackingSettings:
     b: float = 0.75
 
 
+#: Longest piece whose ids are kept.
+LONG = 64
+
+
 class Encoder(dict):
     """Ids of texts as 16-bit numbers.
 
@@ -74,9 +78,10 @@ class Encoder(dict):
             value = self[piece[:-1]] + self[piece[-1]]
         else:
             value = array("H", self.whole(piece)).tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        self[piece] = value
+        if len(piece) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[piece] = value
         return value
 
     def ids(self, text: str) -> bytes:

@@ -42,9 +42,13 @@ class QualitySettings:
     seed: int = 7
 
 
+#: Longest token whose units are kept.
+LONG = 64
+
+
 class _Units(dict):
     """Bucket numbers of a blank-separated token, as bytes: its word, a mark if the word is in capitals, and
-    its runs of signs. Bounded: it starts anew when full."""
+    its runs of signs. Bounded: it starts anew when full, and keeps no token of more than ``LONG`` characters."""
 
     def __init__(self, buckets: int, limit: int = 500_000):
         super().__init__()
@@ -64,9 +68,10 @@ class _Units(dict):
             value = self._word(word) + (self._bucket(token[len(word):]) if len(word) < len(token) else b"")
         else:
             value = b"".join(self._word(u) if u[0].isalnum() else self._bucket(u) for u in _UNIT.findall(token))
-        if len(self) >= self.limit:
-            self.clear()
-        self[token] = value
+        if len(token) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[token] = value
         return value
 
 

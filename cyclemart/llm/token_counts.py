@@ -89,17 +89,23 @@ class LongestMatch:
         return total
 
 
+#: Longest word whose count is kept.
+LONG = 64
+
+
 class _Counts(dict):
-    """Counts of words met before; starts anew when full."""
+    """Counts of words met before; starts anew when full. Words of more than ``LONG`` characters are not kept."""
 
     def __init__(self, path: str, limit: int = 500_000):
         super().__init__()
         self.automaton, self.limit = LongestMatch(vocabulary(path)), limit
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = self.automaton.count(WORD_START + word)
+        value = self.automaton.count(WORD_START + word)
+        if len(word) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -283,3 +283,18 @@ def test_queries_are_registered():
 def test_queries_match_their_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     assert differences(QUERIES[name](spark, folder), ORACLE[name], folder) is None
+
+
+def test_only_letters_make_a_language():
+    assert not any(map(langid.has_letter, ["", "²½Ⅳ", "12 ٣", "_-!", "①"])) and all(map(langid.has_letter, ["1a", "é", "中", "ª"]))
+
+
+def test_long_words_are_not_remembered():
+    from cyclemart.llm import token_counts
+
+    counts = token_counts._Counts(public_tokenizers.path("piece_bpe_32k.model"))
+    units, encoder = quality._Units(1 << 14), packing.Encoder(packing_settings())
+    long = "ab" * 500_000
+    assert counts[long] > 0 and units[long] and len(encoder.ids(long)) > 0
+    assert counts["ab"] and units["ab"] and encoder["ab"]
+    assert set(counts) == {"ab"} and set(units) == {"ab"} and long not in encoder
