@@ -69,19 +69,21 @@ def active_sellers(scoped: DataFrame, sellers: DataFrame, company: Company = Non
 
 
 def eligible(scoped: DataFrame, sellers: DataFrame, company: Company = None,
-             seller_ids: Sequence[int] | None = None) -> DataFrame:
+             seller_ids: Sequence[int] | None = None, moved: Column | None = None) -> DataFrame:
     """Rows of the sellers a request is about: the given ones, else those active in the company.
 
     Activity is found by a window over (cycle, seller) instead of a second pass over the fact joined
-    back to the first; the grouping by cycle and seller above it shuffles no more.
+    back to the first; the grouping by cycle and seller above it shuffles no more. ``moved`` says what an active
+    row is where rows are not those of the fact.
     """
     chosen = all_of(for_sellers(F.col("id_vendedor"), seller_ids))
     rows = scoped.filter(chosen & (_is_goal() | _actual(company)))
     if company is None or seller_ids:
         return rows
     seller = Window.partitionBy("dtref", "id_vendedor")
-    moved = F.max(F.when(any_movement() & _actual(company), 1).otherwise(0)).over(seller)
-    return rows.withColumn("_ativo", moved).filter("_ativo = 1").drop("_ativo").join(
+    active = any_movement() if moved is None else moved
+    found = F.max(F.when(active & _actual(company), 1).otherwise(0)).over(seller)
+    return rows.withColumn("_ativo", found).filter("_ativo = 1").drop("_ativo").join(
         sellers.select("id_vendedor"), "id_vendedor", "left_semi"
     )
 
@@ -107,9 +109,9 @@ def latest_rates(fact: DataFrame, rules: SalesRules) -> DataFrame:
     )
 
 
-def seller_totals(rows: DataFrame, company: Company = None) -> DataFrame:
-    """Totals and goal per cycle and seller. ``linhas`` counts the actual rows: 0 for a seller who
-    only has a goal."""
+def seller_totals(rows: DataFrame, company: Company = None, lines: Column | None = None) -> DataFrame:
+    """Totals and goal per cycle and seller. ``linhas`` counts the actual rows, or adds up ``lines`` of them: 0 for a
+    seller who only has a goal."""
     def total(column: str, name: str) -> Column:
         return F.coalesce(F.sum(F.when(_actual(company), F.col(column))), F.lit(0)).alias(name)
 
@@ -120,7 +122,7 @@ def seller_totals(rows: DataFrame, company: Company = None) -> DataFrame:
         total("valor_desconto", "v_desconto"),
         total("qtd_transacoes", "v_tkts"),
         F.max(F.when(_is_goal(), F.col("valor_meta_mensal"))).alias("meta_vendedor"),
-        F.count(F.when(_actual(company), 1)).alias("linhas"),
+        F.coalesce(F.sum(F.when(_actual(company), F.lit(1) if lines is None else lines)), F.lit(0)).cast("bigint").alias("linhas"),
     )
 
 
@@ -242,9 +244,11 @@ def attainment(realised: Column, goal: Column) -> Column:
 
 
 def derived_kpis(cards: DataFrame, daily: DataFrame, cycles: DataFrame, rules: SalesRules) -> DataFrame:
-    """Attainment, loss, discount, projection, remaining goal, bonus and total pay."""
+    """Attainment, loss, discount, projection, remaining goal, bonus and total pay. ``daily`` is the daily series, or
+    already the days with sales per cycle."""
+    sold_days = daily if "dias_com_venda" in daily.columns else selling_days(daily)
     open_days = cycles.select("dtref", working_days(F.col("dtinic"), F.col("dtfin"), rules.holidays).alias("dias_uteis"))
-    base = cards.join(selling_days(daily), "dtref", "left").join(open_days, "dtref").withColumn(
+    base = cards.join(sold_days, "dtref", "left").join(open_days, "dtref").withColumn(
         "dias_com_venda", F.greatest(F.coalesce("dias_com_venda", F.lit(0)), F.lit(1))
     )
     meta, real = F.col("meta").cast("double"), F.col("realizado").cast("double")

@@ -213,12 +213,29 @@ def enrich_entries(entries: DataFrame, products: DataFrame) -> DataFrame:
     }).drop("_nome", "_refforn", "_complemento")
 
 
-def lookup_customer_profiles(requests: DataFrame, profiles: DataFrame, partners: DataFrame) -> DataFrame:
-    """The profile for each requested (dtref, id_cliente, nivel, id_empresa, id_vendedor). Without one
-    the name, empty lists and a gap of 0 come back."""
+def enrich_lists(profiles: DataFrame, keys: Sequence[str], products: DataFrame) -> DataFrame:
+    """Profiles whose product lists have every reference and complement that a product of the same name has.
+
+    Lists that lack nothing pass by; of the others the entries are opened, completed and put together again in their
+    order, so only they and the products they name are moved.
+    """
+    blank = F.exists("top_produtos", lambda e: (F.coalesce(e["refforn"], F.lit("")) == "") | (F.coalesce(e["complemento"], F.lit("")) == ""))
+    lacking = F.coalesce(blank, F.lit(False))
+    entry = profiles.schema["top_produtos"].dataType.elementType.names
+    entries = enrich_entries(listed(profiles.filter(lacking), "top_produtos", keys), products)
+    lists = entries.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("posicao", *entry))).alias("_l")).select(
+        *keys, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in entry])).alias("_completa"))
+    return profiles.join(lists, list(keys), "left").withColumn("top_produtos", F.coalesce("_completa", "top_produtos")).select(*profiles.columns)
+
+
+def lookup_customer_profiles(requests: DataFrame, profiles: DataFrame, partners: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """The profile for each requested (dtref, id_cliente, nivel, id_empresa, id_vendedor), completed by product name where
+    ``products`` are given. Without a profile the name, empty lists and a gap of 0 come back."""
     keys = ["dtref", "id_cliente", "nivel", "id_empresa", "id_vendedor"]
     names = partners.select(F.col("id_parceiro").alias("id_cliente"), "nome_parceiro")
     found = requests.select(*keys).join(profiles, keys, "left").join(names, "id_cliente", "left")
+    if products is not None:
+        found = enrich_lists(found, keys, products)
     schema = profiles.schema
     return found.select(
         *keys,
@@ -229,9 +246,11 @@ def lookup_customer_profiles(requests: DataFrame, profiles: DataFrame, partners:
     )
 
 
-def lookup_brand_profiles(requests: DataFrame, profiles: DataFrame, brands: DataFrame) -> DataFrame:
+def lookup_brand_profiles(requests: DataFrame, profiles: DataFrame, brands: DataFrame, products: DataFrame | None = None) -> DataFrame:
     keys = ["dtref", "id_marca", "nivel", "id_empresa", "id_vendedor"]
     found = requests.select(*keys).join(profiles, keys, "left").join(brands, "id_marca", "left")
+    if products is not None:
+        found = enrich_lists(found, keys, products)
     return found.select(
         *keys,
         F.coalesce("nome_marca", F.concat(F.lit("Marca #"), F.col("id_marca").cast("string"))).alias("nome_marca"),
@@ -255,7 +274,7 @@ def lists_from_json(profiles: DataFrame, schema) -> DataFrame:
 
 
 __all__ = [
-    "BRAND", "CUSTOMER", "brand_profiles", "customer_profiles", "enrich_entries", "listed", "lists_from_json",
+    "BRAND", "CUSTOMER", "brand_profiles", "customer_profiles", "enrich_entries", "enrich_lists", "listed", "lists_from_json",
     "lists_to_json", "lookup_brand_profiles", "lookup_customer_profiles", "mean_gap", "name_details",
     "purchase_days", "ranked_items", "repurchase_gaps", "with_share",
 ]

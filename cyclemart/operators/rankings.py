@@ -147,6 +147,6 @@ def ranking_lookup(stored: DataFrame, products: DataFrame, rules: SalesRules, co
     )
 
 
-def ranking_totals(listed: DataFrame) -> DataFrame:
-    """Sum of the listed items per month and kind."""
-    return listed.groupBy("dtref", "tipo").agg(F.sum("valor").alias("total"))
+def ranking_totals(listed: DataFrame, keys: Sequence[str] = ("dtref", "tipo")) -> DataFrame:
+    """Sum of the listed items per list: by month and kind, and by level, company and seller where lists of several are given."""
+    return listed.groupBy(*keys).agg(F.sum("valor").alias("total"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.operators import dimensions
+from cyclemart.operators.cube import cube_rows, refresh_cube
 from cyclemart.operators.daily import daily_actuals
 from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
@@ -43,16 +44,20 @@ def build_brand_profiles(source: RetailSource, ranked: DataFrame, period: Range
     return brand_profiles(source.sales(period), ranked, source.products(), source.rules, **only)
 
 
-def sync_dimensions(warehouse: Warehouse, source: RetailSource) -> None:
+def dimension_rows(source: RetailSource) -> dict[str, DataFrame]:
     """Cycles first, then the five dimensions."""
-    for name, rows in {
+    return {
         "dim_tempo_ref": dimensions.cycle_rows(source.goal_cycles()),
         "dim_vendedor": dimensions.seller_rows(source.sellers()),
         "dim_empresa": dimensions.company_rows(source.companies()),
         "dim_parceiro": dimensions.partner_rows(source.partners()),
         "dim_marca": dimensions.brand_rows(source.products()),
         "dim_produto": dimensions.product_rows(source.products()),
-    }.items():
+    }
+
+
+def sync_dimensions(warehouse: Warehouse, source: RetailSource) -> None:
+    for name, rows in dimension_rows(source).items():
         warehouse.upsert(name, rows)
 
 
@@ -102,6 +107,7 @@ def load_range(warehouse: Warehouse, source: RetailSource, start: date, end: dat
     else:
         warehouse.upsert("fato_vendasdiarias", rows, staged=True)
     warehouse.insert_missing("dim_tempo", dimensions.time_rows(rows))
+    refresh_cube(warehouse, start, end)
     if with_rankings:
         load_rankings_and_profiles(warehouse, source, start, end)
     counts = rows.groupBy("id_tempo").agg(F.count(F.lit(1)).alias("linhas"))
@@ -129,6 +135,8 @@ def full_load(warehouse: Warehouse, source: RetailSource, tables: Sequence[str])
         warehouse.load("dim_tempo_ref", dimensions.cycle_rows(source.goal_cycles()))
     if "fato_vendasdiarias" in tables:
         warehouse.load("fato_vendasdiarias", build_fact(source))
+    if "cubo_kpi" in tables:
+        warehouse.load("cubo_kpi", cube_rows(warehouse.fact(), warehouse.read("dim_tempo_ref")))
     if "fato_rankings" in tables:
         warehouse.load("fato_rankings", build_rankings(source))
     if "fato_cliente_perfil" in tables:

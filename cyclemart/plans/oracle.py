@@ -285,6 +285,10 @@ LOOKUP = """SELECT CAST(dtref AS VARCHAR) AS dtref, tipo, posicao, id_item, labe
     COALESCE(CASE WHEN tipo = 'PRODUTO' THEN refforn END, '') AS refforn,
     COALESCE(CASE WHEN tipo = 'PRODUTO' THEN complemento END, '') AS complemento
     FROM {rows} r LEFT JOIN produtos ON codprod = id_item AND tipo = 'PRODUTO'"""
+CUSTOMER_KEYS = "CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, codparc AS id_cliente, emp AS id_empresa, vend AS id_vendedor"
+CUSTOMER_ENTRIES = """SELECT nivel, dtref, codparc, emp, vend, 'PRODUTO' AS lista, posicao, nome, CAST(total AS DECIMAL(15,2)) AS valor, refforn, complemento
+    FROM perfil_produtos JOIN produtos USING (codprod)
+    UNION ALL SELECT nivel, dtref, codparc, emp, vend, 'VENDEDOR', posicao, vendedor, CAST(total AS DECIMAL(15,2)), '', '' FROM perfil_vendedores"""
 ALL = _request()
 COMPANY_1 = _request("id_empresa = 1", resolve=True)
 COMPANIES_1_2 = _request("id_empresa IN (1, 2)", resolve=True)
@@ -331,8 +335,8 @@ ORACLE: dict[str, str] = {
             SELECT mes, tipo, id_item, label_item, SUM(valor) AS total,
                    ROW_NUMBER() OVER (PARTITION BY mes, tipo ORDER BY SUM(valor) DESC, id_item) AS posicao
             FROM itens WHERE codemp IN (1, 2) GROUP BY mes, tipo, id_item, label_item QUALIFY posicao <= 10)"""),
-    "rank_totals": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, tipo, CAST(SUM(valor) AS DOUBLE) AS total FROM ranks
-        WHERE nivel = 3 GROUP BY ALL"""),
+    "rank_totals": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, id_empresa, id_vendedor, tipo, CAST(SUM(valor) AS DOUBLE) AS total FROM ranks
+        GROUP BY ALL"""),
     "customer_profile": _sql("""SELECT CAST(t.dtref AS VARCHAR) AS dtref, CAST(t.nivel AS BIGINT) AS nivel, t.codparc AS id_cliente,
         t.emp AS id_empresa, t.vend AS id_vendedor, COALESCE(CAST(medio AS DOUBLE), 0.0) AS tempo_medio_compra, lista, posicao, nome,
         CAST(valor AS DOUBLE) AS valor, refforn, complemento
@@ -346,38 +350,36 @@ ORACLE: dict[str, str] = {
     "brand_profile": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, m.codmarca AS id_marca,
         emp AS id_empresa, vend AS id_vendedor, posicao, nome, CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, refforn, complemento
         FROM perfil_marcas m JOIN produtos USING (codprod)"""),
-    "profile_lookup_customer": _sql("""SELECT '1998-03-01' AS dtref, c_custkey + 1 AS id_cliente, c_name AS nome_cliente,
-        COALESCE(CAST(CAST((2 * ds * 100 + ng) // (2 * ng) AS DOUBLE) / 100 AS DOUBLE), 0.0) AS tempo_medio_compra,
-        COALESCE(np, 0) AS n_produtos, COALESCE(nv, 0) AS n_vendedores, COALESCE(p1, '') AS primeiro_produto,
-        COALESCE(v1, '') AS primeiro_vendedor
-        FROM customer
-        LEFT JOIN (SELECT codparc, COUNT(*) AS np, MAX(nome) FILTER (WHERE posicao = 1) AS p1 FROM perfil_produtos
-                   JOIN produtos USING (codprod) WHERE nivel = 3 AND dtref = DATE '1998-03-01' GROUP BY ALL) p ON p.codparc = c_custkey + 1
-        LEFT JOIN (SELECT codparc, COUNT(*) AS nv, MAX(vendedor) FILTER (WHERE posicao = 1) AS v1 FROM perfil_vendedores
-                   WHERE nivel = 3 AND dtref = DATE '1998-03-01' GROUP BY ALL) v ON v.codparc = c_custkey + 1
-        LEFT JOIN (SELECT codparc, NULLIF(COUNT(DISTINCT data_ref) - 1, 0) AS ng, MAX(data_ref) - MIN(data_ref) AS ds FROM compras_nivel
-                   WHERE nivel = 3 AND dtref = DATE '1998-03-01' GROUP BY ALL) g ON g.codparc = c_custkey + 1"""),
-    "profile_lookup_brand": _sql("""SELECT '1998-03-01' AS dtref, id_marca, nome_marca, COALESCE(n, 0) AS n_produtos,
-        COALESCE(p1, '') AS primeiro_produto
-        FROM (SELECT DISTINCT codmarca AS id_marca, marca AS nome_marca FROM produtos) b
-        LEFT JOIN (SELECT m.codmarca, COUNT(*) AS n, MAX(nome) FILTER (WHERE posicao = 1) AS p1 FROM perfil_marcas m
-                   JOIN produtos USING (codprod) WHERE nivel = 3 AND dtref = DATE '1998-03-01' GROUP BY ALL) t ON t.codmarca = id_marca"""),
-    "product_enrich": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, posicao, p.nome_simples AS nome,
+    "profile_lookup_customer": _sql(f"""SELECT {_t('dtref')}, CAST(nivel AS BIGINT) AS nivel, codparc AS id_cliente, emp AS id_empresa, vend AS id_vendedor,
+        c_name AS nome_cliente, COALESCE(CAST(CAST((2 * ds * 100 + ng) // (2 * ng) AS DOUBLE) / 100 AS DOUBLE), 0.0) AS tempo_medio_compra,
+        lista, posicao, nome, CAST(valor AS DOUBLE) AS valor, refforn, complemento
+        FROM ({CUSTOMER_ENTRIES})
+        JOIN (SELECT nivel, dtref, codparc, emp, vend, NULLIF(COUNT(DISTINCT data_ref) - 1, 0) AS ng, MAX(data_ref) - MIN(data_ref) AS ds
+              FROM compras_nivel GROUP BY ALL) USING (nivel, dtref, codparc, emp, vend)
+        JOIN customer ON c_custkey + 1 = codparc
+        UNION ALL SELECT '1998-03-01', 3, c_custkey + 1, 0, 0, c_name, 0.0, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM customer ANTI JOIN (SELECT codparc - 1 AS c_custkey FROM compras_nivel WHERE nivel = 3 AND dtref = DATE '1998-03-01') USING (c_custkey)"""),
+    "profile_lookup_brand": _sql(f"""SELECT {_t('dtref')}, CAST(nivel AS BIGINT) AS nivel, m.codmarca AS id_marca, emp AS id_empresa, vend AS id_vendedor,
+        marca AS nome_marca, posicao, nome, CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, refforn, complemento
+        FROM perfil_marcas m JOIN produtos USING (codprod)
+        UNION ALL SELECT '1998-03-01', 3, codmarca, 0, 0, marca, NULL, NULL, NULL, NULL, NULL
+        FROM (SELECT DISTINCT codmarca, marca FROM produtos)
+        ANTI JOIN (SELECT codmarca FROM perfil_marcas WHERE nivel = 3 AND dtref = DATE '1998-03-01') USING (codmarca)"""),
+    "product_enrich": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, m.codmarca AS id_marca, emp AS id_empresa, vend AS id_vendedor, posicao, p.nome_simples AS nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, d.refforn, d.complemento,
         'REF: ' || d.refforn || ' | COMP: ' || d.complemento AS subtitulo
         FROM perfil_marcas m JOIN produtos p USING (codprod)
         JOIN (SELECT UPPER(TRIM(nome_simples)) AS chave, refforn, complemento FROM produtos
               QUALIFY ROW_NUMBER() OVER (PARTITION BY UPPER(TRIM(nome_simples)) ORDER BY codprod) = 1) d
-          ON d.chave = UPPER(TRIM(p.nome_simples)) WHERE nivel = 3"""),
-    "profile_share": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, codparc AS id_cliente, posicao, nome,
+          ON d.chave = UPPER(TRIM(p.nome_simples))"""),
+    "profile_share": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, codparc AS id_cliente, emp AS id_empresa, vend AS id_vendedor, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE)
-            / CAST(MAX(CAST(total AS DECIMAL(15,2))) OVER (PARTITION BY dtref, codparc) AS DOUBLE) * 100 AS percentual,
+            / CAST(MAX(CAST(total AS DECIMAL(15,2))) OVER (PARTITION BY dtref, nivel, codparc, emp, vend) AS DOUBLE) * 100 AS percentual,
         'REF: ' || refforn || ' | COMP: ' || complemento AS subtitulo
-        FROM perfil_produtos JOIN produtos USING (codprod) WHERE nivel = 3"""),
-    "json_roundtrip": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, codparc AS id_cliente, emp AS id_empresa, posicao, nome,
-        CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, refforn, complemento
-        FROM perfil_produtos JOIN produtos USING (codprod) WHERE nivel = 1"""),
+        FROM perfil_produtos JOIN produtos USING (codprod)"""),
+    "json_roundtrip": _sql(f"""SELECT {CUSTOMER_KEYS}, lista, posicao, nome, CAST(valor AS DOUBLE) AS valor, refforn, complemento
+        FROM ({CUSTOMER_ENTRIES})"""),
     "companies": _sql("SELECT DISTINCT 'Empresa ' || id_empresa AS label, id_empresa AS value FROM fato WHERE id_empresa > 0"),
     "active_sellers": _sql(f"""SELECT DISTINCT CAST(dtref AS VARCHAR) AS dtref, id_vendedor, nome_comercial
         FROM fato_ciclo JOIN vendedores USING (id_vendedor) WHERE {MOVED}"""),
@@ -476,17 +478,24 @@ ORACLE: dict[str, str] = {
         FROM por_vendedor FULL JOIN meta_vend USING (dtref, id_vendedor)""", ALL),
     "upsert_fact": _sql(FACT.replace("CAST(valor_devolucao AS DOUBLE) AS valor_devolucao",
                                      "CASE WHEN id_tempo < DATE '1998-01-01' THEN 0 ELSE CAST(valor_devolucao AS DOUBLE) END AS valor_devolucao")),
-    "upsert_rankings": _sql(RANK.replace("SELECT", "SELECT tipo,", 1)
-                            + " WHERE nivel = 1 AND (dtref < DATE '1998-01-01' OR posicao <= 3)"),
+    "upsert_rankings": _sql(RANK.replace("SELECT", "SELECT tipo,", 1) + " WHERE dtref < DATE '1998-01-01' OR posicao <= 3"),
+    "dimension_sync": _sql("""SELECT 'dim_tempo_ref' AS tabela, CAST(dtref AS VARCHAR) AS id, ['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho',
+            'Julho', 'Agosto', 'Setembro', 'Outubro', 'Novembro', 'Dezembro'][month(dtref)] || ' / ' || year(dtref) AS nome FROM ciclos
+        UNION ALL SELECT 'dim_tempo_ref', '1900-01-01', NULL
+        UNION ALL SELECT 'dim_vendedor', CAST(id_vendedor AS VARCHAR), nome_comercial FROM vendedores
+        UNION ALL SELECT 'dim_empresa', CAST(r_regionkey + 1 AS VARCHAR), r_name FROM region UNION ALL SELECT 'dim_empresa', '0', 'CORPORATIVO (METAS)'
+        UNION ALL SELECT 'dim_parceiro', CAST(c_custkey + 1 AS VARCHAR), c_name FROM customer
+        UNION ALL SELECT DISTINCT 'dim_marca', CAST(codmarca AS VARCHAR), marca FROM produtos
+        UNION ALL SELECT 'dim_produto', CAST(codprod AS VARCHAR), nome FROM produtos
+        UNION ALL SELECT UNNEST(['dim_vendedor', 'dim_empresa', 'dim_parceiro', 'dim_marca', 'dim_produto']), '-1', NULL"""),
     "scd1_upsert": """SELECT c_custkey + 1 AS id_parceiro, CASE WHEN feito THEN c_name || ' (novo)' ELSE c_name END AS nome_parceiro
         FROM (SELECT *, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS feito FROM customer)
         WHERE feito OR c_acctbal >= 5000""",
-    "upsert_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, m.codmarca AS id_marca, emp AS id_empresa, posicao, nome,
-        CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor
-        FROM perfil_marcas m JOIN produtos USING (codprod) WHERE nivel = 1 AND (dtref >= DATE '1998-01-01' OR posicao = 1)"""),
-    "upsert_customer_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, codparc AS id_cliente, emp AS id_empresa, posicao, nome,
+    "upsert_profiles": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, m.codmarca AS id_marca, emp AS id_empresa, vend AS id_vendedor, posicao, nome,
         CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor, refforn, complemento
-        FROM perfil_produtos JOIN produtos USING (codprod) WHERE nivel = 1 AND (dtref >= DATE '1998-01-01' OR posicao = 1)"""),
+        FROM perfil_marcas m JOIN produtos USING (codprod) WHERE dtref >= DATE '1998-01-01' OR posicao = 1"""),
+    "upsert_customer_profiles": _sql(f"""SELECT {CUSTOMER_KEYS}, lista, posicao, nome, CAST(valor AS DOUBLE) AS valor, refforn, complemento
+        FROM ({CUSTOMER_ENTRIES}) WHERE dtref >= DATE '1998-01-01' OR posicao = 1 OR lista = 'VENDEDOR'"""),
     "insert_days": _sql("""SELECT DISTINCT CAST(id_tempo AS VARCHAR) AS id_tempo, month(id_tempo) AS mes,
         CASE WHEN id_tempo <= DATE '1998-03-31' THEN 'primeira carga' END AS nome_mes FROM fato"""),
     "erp_movements": """SELECT CAST(dia AS VARCHAR) AS data_ref, tipo_mov, COUNT(*) AS linhas, CAST(SUM(valor) AS DOUBLE) AS valor FROM (
@@ -517,6 +526,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN n IS NULL THEN 'sem movimento' ELSE 'carregado' END AS situacao
         FROM (SELECT UNNEST(generate_series(TIMESTAMP '2001-09-01', TIMESTAMP '2002-01-31', INTERVAL 1 DAY)) AS d)
         LEFT JOIN (SELECT id_tempo, COUNT(*) AS n FROM fato GROUP BY ALL) ON id_tempo = CAST(d AS DATE)"""),
+    "increments_merged": _sql(FACT),
     "stream_late": _sql(FACT),
     "stream_late_days": """
         WITH fim AS (SELECT CAST(MAX(d) AS DATE) AS ultimo FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)),

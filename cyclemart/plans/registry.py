@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclemart.functions import text
 from cyclemart.functions.calendar import working_days
 from cyclemart.functions.predicates import any_movement
 from cyclemart.operators import access as A
-from cyclemart.operators import daily, dimensions, goals, performance, profiles, quality, reports
+from cyclemart.operators import cube, daily, dimensions, goals, performance, profiles, quality, reports
 from cyclemart.operators import rankings as R
 from cyclemart.operators.levels import COMPANY, GLOBAL
 from cyclemart.plans import loads
@@ -25,8 +26,9 @@ from cyclemart.plans.stored import stored
 from cyclemart.schemas import TABLES
 from cyclemart.session import materialise, tune, working_path
 from cyclemart.sources import documents
+from cyclemart.sources.increments import Increments
 from cyclemart.sources.retail import RETAIL_RULES, RetailSource
-from cyclemart.sources.warehouse import Warehouse, merge_rows
+from cyclemart.sources.warehouse import Warehouse
 from cyclemart.streaming import ledger
 from cyclemart.streaming.ledger import Landing
 from cyclemart.streaming.refresh import item_stream, refresh_headers, start_refresh
@@ -78,9 +80,21 @@ def _kpis(src: RetailSource, **request) -> performance.Performance:
     return performance.performance(_fact(src), _sellers(src), RULES, cycles=_cycles(src), **request)
 
 
+def _cards(src: RetailSource, company=None, seller_ids=None) -> DataFrame:
+    return cube.cards(_table(src, cube.CUBE), _sellers(src), _cycles(src), RULES, company, seller_ids)
+
+
+def _ranking(src: RetailSource, company=None) -> DataFrame:
+    return cube.ranking(_table(src, cube.CUBE), _sellers(src), RULES, company)
+
+
+def _totals(src: RetailSource) -> DataFrame:
+    return cube.totals(_table(src, cube.CUBE), _sellers(src))
+
+
 def _derived(src: RetailSource) -> DataFrame:
-    kpis = _kpis(src)
-    return performance.derived_kpis(kpis.cards, kpis.daily, _cycles(src), RULES)
+    days = cube.selling_days(_table(src, cube.CUBE), _sellers(src))
+    return performance.derived_kpis(_cards(src), days, _cycles(src), RULES)
 
 
 # sources to daily totals ----------------------------------------------------------------------
@@ -250,11 +264,16 @@ def rank_multi_branch_exact(src):
 
 @query
 def rank_totals(src):
-    return R.ranking_totals(_lookup(src))
+    """Sum of every stored list, of all levels."""
+    return R.ranking_totals(_table(src, "fato_rankings"), ("dtref", "nivel", "id_empresa", "id_vendedor", "tipo"))
 
 
 # profiles -------------------------------------------------------------------------------------
 
+DIMENSIONS = {
+    "dim_tempo_ref": ("dtref", "label"), "dim_vendedor": ("id_vendedor", "nome_comercial"), "dim_empresa": ("id_empresa", "nome"),
+    "dim_parceiro": ("id_parceiro", "nome_parceiro"), "dim_marca": ("id_marca", "nome_marca"), "dim_produto": ("id_produto", "nome_produto"),
+}
 CUSTOMER_KEYS = ("dtref", "nivel", "id_cliente", "id_empresa", "id_vendedor")
 BRAND_KEYS = ("dtref", "nivel", "id_marca", "id_empresa", "id_vendedor")
 ENTRY = ("posicao", "nome", "valor", "refforn", "complemento")
@@ -264,6 +283,11 @@ ENTRY = ("posicao", "nome", "valor", "refforn", "complemento")
 def customer_profile(src):
     """Profile lists, one row per entry."""
     found = loads.build_customer_profiles(src, profiles.ranked_items(_table(src, "fato_rankings"), R.CUSTOMER))
+    return _both_lists(found, *CUSTOMER_KEYS, "tempo_medio_compra")
+
+
+def _both_lists(found: DataFrame, *columns: str) -> DataFrame:
+    """Customer profiles with a row per entry of either list, or one of null entries where both are empty."""
     lists = F.concat(
         F.transform("top_produtos", lambda e, i: F.struct(
             F.lit("PRODUTO").alias("lista"), (i + 1).alias("posicao"), e["nome"].alias("nome"),
@@ -272,7 +296,7 @@ def customer_profile(src):
             F.lit("VENDEDOR").alias("lista"), (i + 1).alias("posicao"), e["nome"].alias("nome"),
             e["valor"].alias("valor"), F.lit("").alias("refforn"), F.lit("").alias("complemento"))),
     )
-    return found.select(*CUSTOMER_KEYS, "tempo_medio_compra", F.inline(lists))
+    return found.select(*columns, F.inline_outer(lists))
 
 
 @query
@@ -291,69 +315,70 @@ def brand_profile(src):
     return profiles.listed(found, "top_produtos", BRAND_KEYS)
 
 
-def _requests(items: DataFrame, item: str) -> DataFrame:
-    return items.select(
-        F.lit(REFERENCE_CYCLE).alias("dtref"), item, F.lit(GLOBAL).alias("nivel"),
-        F.lit(0).cast("bigint").alias("id_empresa"), F.lit(0).cast("bigint").alias("id_vendedor"),
-    )
+def _requests(stored_profiles: DataFrame, items: DataFrame, item: str) -> DataFrame:
+    """Every stored key, of all cycles, levels, companies and sellers, and every item overall in one cycle."""
+    keys = ("dtref", "nivel", item, "id_empresa", "id_vendedor")
+    everywhere = items.select(F.lit(REFERENCE_CYCLE).alias("dtref"), F.lit(GLOBAL).alias("nivel"), item,
+                              F.lit(0).cast("bigint").alias("id_empresa"), F.lit(0).cast("bigint").alias("id_vendedor"))
+    return stored_profiles.select(*keys).union(everywhere).distinct()
+
+
+def _without_details(stored_profiles: DataFrame, some: Column) -> DataFrame:
+    """Profiles as older loads stored them: some with entries that lack reference or complement."""
+    plain = F.transform("top_produtos", lambda e, i: F.struct(
+        e["nome"].alias("nome"), e["valor"].alias("valor"), F.when(i % 2 == 0, F.lit("")).otherwise(e["refforn"]).alias("refforn"),
+        F.when(i % 3 == 0, F.lit(None)).otherwise(e["complemento"]).alias("complemento")))
+    return stored_profiles.withColumn("top_produtos", F.when(some, plain).otherwise(F.col("top_produtos")))
 
 
 @query
 def profile_lookup_customer(src):
-    """Every customer's profile in one cycle; customers without one get the defaults."""
+    """Every stored customer profile and, in one cycle, every customer: those without a profile get the defaults. Entries
+    that lack product details are completed by name."""
     partners = dimensions.partner_rows(src.partners())
-    requests = _requests(partners.withColumnRenamed("id_parceiro", "id_cliente"), "id_cliente")
-    found = profiles.lookup_customer_profiles(requests, _table(src, "fato_cliente_perfil"), partners)
-    return found.select(
-        "dtref", "id_cliente", "nome_cliente", "tempo_medio_compra",
-        F.size("top_produtos").alias("n_produtos"), F.size("top_vendedores").alias("n_vendedores"),
-        F.coalesce(F.get("top_produtos", F.lit(0))["nome"], F.lit("")).alias("primeiro_produto"),
-        F.coalesce(F.get("top_vendedores", F.lit(0))["nome"], F.lit("")).alias("primeiro_vendedor"),
-    )
+    found = _without_details(_table(src, "fato_cliente_perfil"), F.col("id_cliente") % 2 == 0)
+    requests = _requests(found, partners.withColumnRenamed("id_parceiro", "id_cliente"), "id_cliente")
+    looked = profiles.lookup_customer_profiles(requests, found, partners, dimensions.product_rows(src.products()))
+    return _both_lists(looked, *CUSTOMER_KEYS, "nome_cliente", "tempo_medio_compra")
 
 
 @query
 def profile_lookup_brand(src):
-    """Every brand's profile in one cycle."""
+    """Every stored brand profile and, in one cycle, every brand, with details completed by name."""
     brands = dimensions.brand_rows(src.products())
-    found = profiles.lookup_brand_profiles(_requests(brands, "id_marca"), _table(src, "fato_marca_perfil"), brands)
-    return found.select(
-        "dtref", "id_marca", "nome_marca", F.size("top_produtos").alias("n_produtos"),
-        F.coalesce(F.get("top_produtos", F.lit(0))["nome"], F.lit("")).alias("primeiro_produto"),
-    )
+    found = _without_details(_table(src, "fato_marca_perfil"), F.col("id_marca") % 2 == 0)
+    looked = profiles.lookup_brand_profiles(
+        _requests(found, brands, "id_marca"), found, brands, dimensions.product_rows(src.products()))
+    entries = F.transform("top_produtos", lambda e, i: F.struct((i + 1).alias("posicao"), *[e[c].alias(c) for c in ENTRY[1:]]))
+    return looked.select(*BRAND_KEYS, "nome_marca", F.inline_outer(entries))
 
 
 @query
 def product_enrich(src):
-    """Brand lists stored without product details, completed by product name."""
+    """Brand lists of all levels stored without product details, completed by product name."""
     plain = src.products(plain_name=True)
     bare = plain.withColumns({"refforn": F.lit(None).cast("string"), "compldesc": F.lit(None).cast("string")})
     ranked = profiles.ranked_items(_table(src, "fato_rankings"), R.BRAND)
-    lists = profiles.brand_profiles(src.sales(), ranked, bare, RULES, levels=(GLOBAL,))
-    entries = profiles.listed(lists, "top_produtos", ("dtref", "id_marca"))
-    found = profiles.enrich_entries(entries, dimensions.product_rows(plain))
-    return found.select(
-        "dtref", "id_marca", *ENTRY, text.subtitle(F.col("refforn"), F.col("complemento")).alias("subtitulo")
-    )
+    lists = profiles.brand_profiles(src.sales(), ranked, bare, RULES)
+    found = profiles.enrich_entries(profiles.listed(lists, "top_produtos", BRAND_KEYS), dimensions.product_rows(plain))
+    return found.select(*BRAND_KEYS, *ENTRY, text.subtitle(F.col("refforn"), F.col("complemento")).alias("subtitulo"))
 
 
 @query
 def profile_share(src):
-    stored_profiles = _table(src, "fato_cliente_perfil").filter(F.col("nivel") == GLOBAL)
-    entries = profiles.listed(stored_profiles, "top_produtos", ("dtref", "id_cliente"))
-    return profiles.with_share(entries, ("dtref", "id_cliente")).select(
-        "dtref", "id_cliente", "posicao", "nome", "valor", "percentual",
+    entries = profiles.listed(_table(src, "fato_cliente_perfil"), "top_produtos", CUSTOMER_KEYS)
+    return profiles.with_share(entries, CUSTOMER_KEYS).select(
+        *CUSTOMER_KEYS, "posicao", "nome", "valor", "percentual",
         text.subtitle(F.col("refforn"), F.col("complemento")).alias("subtitulo"),
     )
 
 
 @query
 def json_roundtrip(src):
-    """Profile lists to JSON text and back, next to the text's length."""
-    original = _table(src, "fato_cliente_perfil").filter(F.col("nivel") == COMPANY)
+    """Both lists of every profile to JSON text and back."""
+    original = _table(src, "fato_cliente_perfil")
     as_text = profiles.lists_to_json(original)
-    back = profiles.lists_from_json(as_text, original.schema)
-    return profiles.listed(back, "top_produtos", ("dtref", "id_cliente", "id_empresa"))
+    return _both_lists(profiles.lists_from_json(as_text, original.schema), *CUSTOMER_KEYS)
 
 
 # lists ----------------------------------------------------------------------------------------
@@ -406,24 +431,23 @@ def latest_rate(src):
 
 @query
 def kpi_summary(src):
-    return _kpis(src).cards
+    return _cards(src)
 
 
 @query
 def kpi_by_seller(src):
     """Realised value and goal of every seller in every cycle."""
-    rows = performance.eligible(performance.scope_cycles(_fact(src), _cycles(src)), _sellers(src))
-    return performance.seller_totals(rows).withColumn("meta_vendedor", F.coalesce("meta_vendedor", F.lit(0)))
+    return _totals(src).withColumn("meta_vendedor", F.coalesce("meta_vendedor", F.lit(0)))
 
 
 @query
 def top5_sellers(src):
-    return _kpis(src).ranking
+    return _ranking(src)
 
 
 @query
 def kpi_company(src):
-    return _kpis(src, company=1).cards
+    return _cards(src, company=1)
 
 
 @query
@@ -433,18 +457,18 @@ def kpi_company_daily(src):
 
 @query
 def kpi_company_top5(src):
-    return _kpis(src, company=[2, 3]).ranking
+    return _ranking(src, company=[2, 3])
 
 
 @query
 def kpi_no_company(src):
     """An empty company list matches nothing."""
-    return _kpis(src, company=[]).cards
+    return _cards(src, company=[])
 
 
 @query
 def kpi_sellers(src):
-    return _kpis(src, seller_ids=[3, 5, 8]).cards
+    return _cards(src, seller_ids=[3, 5, 8])
 
 
 @query
@@ -486,16 +510,12 @@ def kpi_texts(src):
 
 @query
 def commission_tiers(src):
-    rows = performance.eligible(performance.scope_cycles(_fact(src), _cycles(src)), _sellers(src))
-    return performance.commission_tiers(
-        performance.seller_totals(rows), performance.latest_rates(_fact(src), RULES), RULES
-    )
+    return performance.commission_tiers(_totals(src), cube.latest_rates(_table(src, cube.CUBE), RULES), RULES)
 
 
 @query
 def chart_daily(src):
-    kpis = _kpis(src)
-    return performance.chart_days(kpis.cards, kpis.daily, _cycles(src), RULES)
+    return performance.chart_days(_cards(src), _kpis(src).daily, _cycles(src), RULES)
 
 
 @query
@@ -508,7 +528,7 @@ def cycle_summary(src):
 def _kpis_for(src: RetailSource, user: str, seller: int | None = None) -> DataFrame:
     scope = A.kpi_scope(USERS[user], seller=seller)
     company = scope.company if isinstance(scope.company, (int, type(None))) else list(scope.company)
-    return _kpis(src, company=company, seller_ids=scope.seller_ids).cards
+    return _cards(src, company=company, seller_ids=scope.seller_ids)
 
 
 @query
@@ -627,7 +647,7 @@ def upsert_fact(src):
 def upsert_rankings(src):
     """A month that shrinks leaves no stale tail: full lists first, then lists of three."""
     warehouse = _new_warehouse(src, "rankings").create("fato_rankings")
-    lists = materialise(loads.build_rankings(src, levels=(COMPANY,)), "ranks")
+    lists = materialise(loads.build_rankings(src), "ranks")
     warehouse.load("fato_rankings", lists)
     recent = lists.filter(F.col("dtref") >= F.lit(RELOAD_FROM))
     warehouse.replace_months("fato_rankings", recent.filter("posicao <= 3"))
@@ -654,25 +674,44 @@ def scd1_upsert(src):
     return warehouse.read("dim_parceiro")
 
 
+@query
+def dimension_sync(src):
+    """All six dimensions loaded with other names for every second id, then synchronised: new names replace old ones, missing
+    ids are added, and an id the source does not have stays."""
+    warehouse = _new_warehouse(src, "dimensions").create(*DIMENSIONS)
+    rows = loads.dimension_rows(src)
+    for name, (key, label) in DIMENSIONS.items():
+        old = rows[name].filter(F.pmod(F.xxhash64(key), F.lit(2)) == 0).withColumn(label, F.lit("antes"))
+        gone = rows[name].limit(0).unionByName(src.spark.range(1).select(*[
+            F.lit(date(1900, 1, 1) if c == "dtref" else "-1").cast(rows[name].schema[c].dataType).alias(c) if c == key
+            else F.lit(None).cast(rows[name].schema[c].dataType).alias(c) for c in rows[name].columns]))
+        warehouse.load(name, old.unionByName(gone))
+    loads.sync_dimensions(warehouse, src)
+    found = [warehouse.read(name).select(F.lit(name).alias("tabela"), F.col(key).cast("string").alias("id"), F.col(label).alias("nome"))
+             for name, (key, label) in DIMENSIONS.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def upsert_profiles(src):
-    """Brand profiles merged key by key into what a first load stored."""
-    found = _table(src, "fato_marca_perfil").filter(F.col("nivel") == COMPANY)
-    first = found.filter(F.col("dtref") < F.lit(RELOAD_TO)).withColumn("top_produtos", F.slice("top_produtos", 1, 1))
-    merged = merge_rows(first, found.filter(F.col("dtref") >= F.lit(RELOAD_FROM)), ("dtref", "nivel", "id_marca",
-                                                                                   "id_empresa", "id_vendedor"))
-    return profiles.listed(merged, "top_produtos", ("dtref", "id_marca", "id_empresa")).drop("refforn", "complemento")
+    """Brand profiles of a first load with one product each, then later months merged over them in the warehouse."""
+    found = _table(src, "fato_marca_perfil")
+    warehouse = _new_warehouse(src, "brand-profiles").create("fato_marca_perfil")
+    early = found.filter(F.col("dtref") < F.lit(RELOAD_TO))
+    warehouse.load("fato_marca_perfil", early.withColumn("top_produtos", F.slice("top_produtos", 1, 1)))
+    warehouse.upsert("fato_marca_perfil", found.filter(F.col("dtref") >= F.lit(RELOAD_FROM)))
+    return profiles.listed(warehouse.read("fato_marca_perfil"), "top_produtos", BRAND_KEYS)
 
 
 @query
 def upsert_customer_profiles(src):
     """Customer profiles of a first load with one product each, then later months merged over them in the warehouse."""
-    found = _table(src, "fato_cliente_perfil").filter(F.col("nivel") == COMPANY)
+    found = _table(src, "fato_cliente_perfil")
     warehouse = _new_warehouse(src, "profiles").create("fato_cliente_perfil")
     early = found.filter(F.col("dtref") < F.lit(RELOAD_TO))
     warehouse.load("fato_cliente_perfil", early.withColumn("top_produtos", F.slice("top_produtos", 1, 1)))
     warehouse.upsert("fato_cliente_perfil", found.filter(F.col("dtref") >= F.lit(RELOAD_FROM)))
-    return profiles.listed(warehouse.read("fato_cliente_perfil"), "top_produtos", ("dtref", "id_cliente", "id_empresa"))
+    return _both_lists(warehouse.read("fato_cliente_perfil"), *CUSTOMER_KEYS)
 
 
 @query
@@ -783,6 +822,23 @@ def _landed_months(src: RetailSource) -> tuple[DataFrame, DataFrame]:
     return final.unionByName(early), items.withColumn("carga", arrival).withColumn("l_linenumber", number).drop("_dia")
 
 
+@query
+def increments_merged(src):
+    """Lines in three increments, those of one document in several, added to a fact that holds goals only. The first two are
+    folded into one, the last is replayed. Ends equal to the batch fact, distinct tickets included."""
+    warehouse = _new_warehouse(src, "increments").create("fato_vendasdiarias")
+    lines = materialise(src.movements(), "increment-lines")
+    goal_rows = goals.goals_by_day(src.goal_sellers(), src.goal_cycles(), src.sellers(), RULES)
+    warehouse.load("fato_vendasdiarias", loads.sales_fact(daily.daily_actuals(lines.filter(F.lit(False))), goal_rows))
+    increments = Increments(warehouse)
+    part = F.pmod(F.xxhash64("nunota", "codprod", "vlrtot"), F.lit(3))
+    for k in (0, 1, 2, 2):
+        increments.add(f"lote-{k}", lines.filter(part == k), src)
+        if k == 1:
+            increments.fold()
+    return warehouse.read("fato_vendasdiarias").drop("ano_mes")
+
+
 #: Streamed warehouses, one per application and data folder: the two queries below look at the same run.
 _streamed: dict[tuple[str, str], tuple[Warehouse, Landing]] = {}
 

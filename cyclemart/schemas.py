@@ -65,6 +65,16 @@ TABLES = {
             sort=("id_empresa", "id_vendedor", "id_tempo"),
             defaults={c: 0 for c in FACT_MEASURES},
         ),
+        Table(
+            "cubo_kpi",
+            _struct(id_empresa=LONG, id_vendedor=LONG, valor_realizado=T.DecimalType(18, 2), valor_devolucao=T.DecimalType(18, 2),
+                    valor_cancelado=T.DecimalType(18, 2), valor_desconto=T.DecimalType(18, 2), qtd_transacoes=LONG,
+                    valor_meta_mensal=MONEY, movimento=T.BooleanType(), linhas=LONG, dias_venda=LONG, ultimo_dia=DAY,
+                    ultima_comissao=MONEY, ultimo_realizado=MONEY, dtref=DAY),
+            ("dtref", "id_empresa", "id_vendedor"),
+            partition="dtref",
+            sort=("id_empresa", "id_vendedor"),
+        ),
         Table(
             "fato_rankings",
             _struct(id_vendedor=LONG, id_empresa=LONG, tipo=TEXT, id_item=LONG, valor=MONEY, posicao=INT,

@@ -117,6 +117,10 @@ class Warehouse:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
+    def remove(self, path: str) -> None:
+        files, place = self._files(path)
+        files.delete(place, True)
+
     def exists(self, path: str) -> bool:
         files, place = self._files(path)
         return files.exists(place)
