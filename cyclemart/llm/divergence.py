@@ -59,23 +59,29 @@ def _folded(s: AuditSettings):
                     names=["lang", "term", "source", "docs", "n"])
 
         for batch in batches:
+            # Documents of one group are counted together before their terms are looked up in the stripes.
+            found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
             for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                mine = stripes.setdefault(lang, {})
+                occurrences, documents = found.setdefault((lang, source), (Counter(), Counter()))
+                words = terms(text)
+                occurrences.update(words)
+                documents.update(set(words))
                 # The stripe of no term lists the sources, those without terms included.
-                counts: dict[bytes | None, int] = Counter(terms(text))
-                counts[None] = 0
-                for term, n in counts.items():
+                documents[None] += 1
+            for (lang, source), (occurrences, documents) in found.items():
+                mine = stripes.setdefault(lang, {})
+                for term, docs in documents.items():
                     stripe = mine.get(term)
                     if stripe is None:
                         stripe = mine[term] = {}
                         size += len(term or b"")
                     cell = stripe.get(source)
                     if cell is None:
-                        stripe[source] = [1, n]
+                        stripe[source] = [docs, occurrences[term]]
                         cells += 1
                     else:
-                        cell[0] += 1
-                        cell[1] += n
+                        cell[0] += docs
+                        cell[1] += occurrences[term]
                 if cells > s.cells or size > s.spill_bytes:
                     yield from spill()
                     stripes, cells, size = {}, 0, 0
