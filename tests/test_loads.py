@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cyclemart.plans import loads
-from cyclemart.session import working_path
+from cyclemart.session import materialise, working_path
 from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse
 from cyclemart.streaming.refresh import item_stream, late_days, refresh_batch, refresh_headers, start_refresh, touched_days, within_bound
@@ -59,6 +59,14 @@ def test_rankings_of_an_open_month_stop_at_the_last_day(source, warehouse):
     assert same(warehouse.read("fato_rankings"), expected)
 
 
+def test_a_load_that_ends_inside_a_loaded_month_keeps_its_lists_whole(source, warehouse):
+    loads.load_range(warehouse, source, date(1998, 3, 1), date(1998, 3, 31))
+    names = ("fato_rankings", "fato_cliente_perfil", "fato_marca_perfil")
+    before = {n: materialise(warehouse.read(n), "before") for n in names}
+    loads.load_range(warehouse, source, date(1998, 3, 1), date(1998, 3, 15))
+    assert all(same(before[n], warehouse.read(n)) for n in names)
+
+
 def test_daily_run_covers_look_back_and_look_ahead(source, warehouse):
     target = date(1998, 3, 20)
     loads.daily_run(warehouse, source, target)

@@ -161,3 +161,19 @@ def test_ranked_items_leave_out_customers_without_id(spark):
     assert [r.id_item for r in P.ranked_items(ranks, "CLIENTE").collect()] == [4]
     assert [r.id_item for r in P.ranked_items(ranks, "MARCA").collect()] == [0]
     assert len(ALL_LEVELS) == 4
+
+
+def test_lookups_complete_what_lists_lack(spark):
+    entry = "array<struct<nome:string,valor:decimal(15,2),refforn:string,complemento:string>>"
+    keys = "dtref date, id_marca bigint, nivel int, id_empresa bigint, id_vendedor bigint"
+    m, v = date(2026, 3, 1), Decimal("1.00")
+    lists = [
+        (m, 1, 3, 0, 0, [(" Bolt", v, "", "own"), ("Nut", v, None, None), ("Unknown", v, "", None)]),
+        (m, 2, 3, 0, 0, [("Bolt", v, "x", "y")]), (m, 3, 3, 0, 0, []), (m, 4, 3, 0, 0, None)]
+    found = spark.createDataFrame(lists, f"{keys}, top_produtos {entry}")
+    products = spark.createDataFrame([(1, "BOLT ", "", "c1"), (2, "bolt", "r2", "c2"), (3, "nut", "r3", "")], "id_produto bigint, nome_produto string, refforn string, complemento string")
+    brands = spark.createDataFrame([(1, "one")], "id_marca bigint, nome_marca string")
+    asked = found.select("dtref", "id_marca", "nivel", "id_empresa", "id_vendedor").union(spark.createDataFrame([(m, 9, 3, 0, 0)], keys))
+    got = {r.id_marca: (r.nome_marca, [tuple(e) for e in r.top_produtos]) for r in P.lookup_brand_profiles(asked, found, brands, products).collect()}
+    assert got == {1: ("one", [(" Bolt", v, "r2", "own"), ("Nut", v, "r3", ""), ("Unknown", v, "", "")]), 2: ("Marca #2", [("Bolt", v, "x", "y")]),
+                   3: ("Marca #3", []), 4: ("Marca #4", []), 9: ("Marca #9", [])}

@@ -9,7 +9,7 @@ from cyclemart.operators import dimensions, quality
 from cyclemart.schemas import TABLES
 from cyclemart.session import working_path
 from cyclemart.sources.tables import read_jdbc
-from cyclemart.sources.warehouse import Warehouse, export, insert_missing, merge_rows
+from cyclemart.sources.warehouse import ASIDE, Warehouse, export, insert_missing, merge_rows
 
 MAR, APR = date(2026, 3, 5), date(2026, 4, 5)
 
@@ -164,3 +164,17 @@ def test_missing_source_raises(spark):
     with pytest.raises(Exception):
         Warehouse(spark, working_path(spark, "nothing")).read("dim_parceiro").count()
     assert SalesRules().lookback_days == 60
+
+
+def test_a_switch_that_broke_off_loses_no_table(spark, warehouse):
+    sellers = spark.createDataFrame([(1, "a")], "id_vendedor bigint, nome_comercial string").withColumns({"nivel_acesso": F.lit(None).cast("string"), "id_gestor": F.lit(None).cast("bigint"), "equipe": F.lit(None).cast("string")})
+    warehouse.upsert("dim_vendedor", sellers)
+    path = warehouse.path("dim_vendedor")
+    warehouse._rename(path, f"{path}{ASIDE}")  # as a run leaves it that ends between the two renames
+    assert [r.nome_comercial for r in warehouse.read("dim_vendedor").collect()] == ["a"]
+    warehouse.upsert("dim_vendedor", sellers.withColumns({"id_vendedor": F.lit(2).cast("bigint"), "nome_comercial": F.lit("b")}))
+    assert sorted(r.nome_comercial for r in warehouse.read("dim_vendedor").collect()) == ["a", "b"]
+    assert warehouse.exists(path) and not warehouse.exists(f"{path}{ASIDE}")
+    warehouse._rename(path, f"{path}{ASIDE}")
+    warehouse.create("dim_vendedor")
+    assert warehouse.exists(path) and warehouse.read("dim_vendedor").count() == 2
