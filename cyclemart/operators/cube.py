@@ -41,7 +41,10 @@ def cube_rows(fact: DataFrame, cycles: DataFrame) -> DataFrame:
 
 
 def refresh_cube(warehouse: Warehouse, start: date, end: date) -> None:
-    """Recompute the cells of the cycles that a period touches, from the months of the fact they lie in."""
+    """Recompute the cells of the cycles that a period touches, from the months of the fact they lie in. A warehouse
+    without cycles or without the cube has none to recompute."""
+    if not all(warehouse.exists(warehouse.current_path(warehouse.path(name))) for name in ("dim_tempo_ref", CUBE)):
+        return
     cycles = warehouse.read("dim_tempo_ref").filter((F.col("dtinic") <= F.lit(end)) & (F.col("dtfin") >= F.lit(start)))
     touched = [r[0] for r in cycles.select("dtref").collect()]
     if touched:

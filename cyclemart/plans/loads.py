@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cyclemart.operators import dimensions
+from cyclemart.operators.constraints import rejects, watched
 from cyclemart.operators.cube import cube_rows, refresh_cube
 from cyclemart.operators.daily import daily_actuals
 from cyclemart.operators.fact import sales_fact
@@ -22,12 +23,15 @@ from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse, shape
 
 Range = tuple[date, date] | None
+#: Lines that kept their days from being loaded, by the range of the load: a load done again replaces its own.
+REJECTS = "_rejeitados"
 
 
-def build_fact(source: RetailSource, period: Range = None) -> DataFrame:
+def build_fact(source: RetailSource, period: Range = None, movements: DataFrame | None = None) -> DataFrame:
+    """The fact of a period, from all movements of it or from the given ones."""
     start, end = period or (None, None)
     goals = goals_by_day(source.goal_sellers(), source.goal_cycles(), source.sellers(), source.rules, start, end)
-    return sales_fact(daily_actuals(source.movements(period)), goals)
+    return sales_fact(daily_actuals(source.movements(period) if movements is None else movements), goals)
 
 
 def build_rankings(source: RetailSource, period: Range = None, **only) -> DataFrame:
@@ -85,7 +89,10 @@ def load_rankings_and_profiles(warehouse: Warehouse, source: RetailSource, start
 
 @dataclass(frozen=True)
 class LoadResult:
+    """State of each day, and the lines that kept days from being loaded."""
+
     days: DataFrame
+    rejected: DataFrame | None = None
 
     @property
     def summary(self) -> DataFrame:
@@ -93,15 +100,29 @@ class LoadResult:
 
 
 def load_range(warehouse: Warehouse, source: RetailSource, start: date, end: date, *, replace_days: bool = False,
-               with_rankings: bool = True) -> LoadResult:
+               with_rankings: bool = True, rules: dict[str, Column] | None = None) -> LoadResult:
     """Recompute [start, end] in one pass and merge it into the warehouse.
 
     By key as a rule: rows of known keys are replaced, vanished keys stay. ``replace_days`` swaps
     whole days instead. Days without any row are reported and write nothing.
+
+    ``rules`` are what document lines must keep, see ``constraints.line_rules``. Broken ones are counted while the
+    fact is computed. Only if there are any are their lines looked for: they go to the table ``_rejeitados``, their days are
+    reported as failed and keep what the warehouse holds of them, and the other days are loaded.
     """
     spark = warehouse.spark
-    rows = materialise(shape(build_fact(source, (start, end)), TABLES["fato_vendasdiarias"]), "fact-range")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("id_tempo"))
+    seen, lines = Observation(), source.movements((start, end))
+    built = build_fact(source, (start, end), watched(lines, rules, seen) if rules else lines)
+    rows, refused = materialise(shape(built, TABLES["fato_vendasdiarias"]), "fact-range"), None
+    if rules and not seen.get["rejeitadas"]:
+        warehouse.remove(f"{warehouse.path(REJECTS)}/inicio={start}/fim={end}")
+    elif rules:
+        refused = materialise(rejects(lines, rules), "rejects")
+        refused.withColumns({"inicio": F.lit(start), "fim": F.lit(end)}).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("inicio", "fim").parquet(warehouse.path(REJECTS))
+        failed = refused.select("id_tempo").distinct()
+        rows = materialise(rows.join(failed, "id_tempo", "left_anti").select(*rows.columns), "fact-range")
     if replace_days:
         warehouse.replace_days(rows, days, staged=True)
     else:
@@ -116,7 +137,10 @@ def load_range(warehouse: Warehouse, source: RetailSource, start: date, end: dat
         F.coalesce("linhas", F.lit(0)).alias("linhas"),
         F.when(F.col("linhas").isNull(), "sem movimento").otherwise("carregado").alias("situacao"),
     )
-    return LoadResult(status)
+    if refused is not None:
+        lost = failed.select("id_tempo", F.lit("falhou").alias("_falhou"))
+        status = status.join(lost, "id_tempo", "left").withColumn("situacao", F.coalesce("_falhou", "situacao")).drop("_falhou")
+    return LoadResult(status, refused)
 
 
 def daily_run(warehouse: Warehouse, source: RetailSource, target: date, *, reprocess: bool = True) -> LoadResult:

@@ -515,7 +515,8 @@ ORACLE: dict[str, str] = {
             FROM (SELECT 1 FROM intervalos GROUP BY dtref, nivel, codparc, emp, vend HAVING COUNT(*) > 1)
         UNION ALL SELECT 'vendedor sem dimensao', COUNT(DISTINCT id_vendedor) FROM fato ANTI JOIN vendedores USING (id_vendedor)
         UNION ALL SELECT 'medidas nulas', COUNT(*) FROM fato
-            WHERE valor_realizado IS NULL OR valor_devolucao IS NULL OR valor_meta_diaria IS NULL
+            WHERE valor_meta_diaria IS NULL OR valor_meta_mensal IS NULL OR valor_realizado IS NULL OR valor_devolucao IS NULL
+                OR valor_cancelado IS NULL OR valor_comissao IS NULL OR valor_desconto IS NULL OR qtd_transacoes IS NULL
         UNION ALL SELECT 'quantidade positiva', COUNT(*) FROM linhas WHERE NOT qtdneg > 0
         UNION ALL SELECT 'valor nao negativo', COUNT(*) FROM linhas WHERE NOT vlrtot - vlrdesc >= 0
         UNION ALL SELECT 'mes entre 1 e 12', COUNT(*) FROM ciclos WHERE NOT (year(dtref) * 100 + month(dtref)) % 100 BETWEEN 1 AND 12
@@ -526,6 +527,12 @@ ORACLE: dict[str, str] = {
         CASE WHEN n IS NULL THEN 'sem movimento' ELSE 'carregado' END AS situacao
         FROM (SELECT UNNEST(generate_series(TIMESTAMP '2001-09-01', TIMESTAMP '2002-01-31', INTERVAL 1 DAY)) AS d)
         LEFT JOIN (SELECT id_tempo, COUNT(*) AS n FROM fato GROUP BY ALL) ON id_tempo = CAST(d AS DATE)"""),
+    "load_quarantine": _sql("""SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS id_tempo,
+        CASE WHEN r > 0 THEN 'falhou' WHEN n IS NULL THEN 'sem movimento' ELSE 'carregado' END AS situacao,
+        CASE WHEN r > 0 THEN 0 ELSE COALESCE(n, 0) END AS gravadas, COALESCE(r, 0) AS rejeitadas
+        FROM (SELECT UNNEST(generate_series(TIMESTAMP '1998-01-01', TIMESTAMP '1998-06-30', INTERVAL 1 DAY)) AS d)
+        LEFT JOIN (SELECT id_tempo, COUNT(*) AS n FROM fato GROUP BY ALL) ON id_tempo = CAST(d AS DATE)
+        LEFT JOIN (SELECT data_ref, COUNT(*) AS r FROM linhas WHERE nunota % 499 = 0 OR nunota % 503 = 0 GROUP BY ALL) ON data_ref = CAST(d AS DATE)"""),
     "increments_merged": _sql(FACT),
     "stream_late": _sql(FACT),
     "stream_late_days": """

@@ -17,13 +17,13 @@ from cyclemart.functions import text
 from cyclemart.functions.calendar import working_days
 from cyclemart.functions.predicates import any_movement
 from cyclemart.operators import access as A
-from cyclemart.operators import cube, daily, dimensions, goals, performance, profiles, quality, reports
+from cyclemart.operators import constraints, cube, daily, dimensions, goals, performance, profiles, quality, reports
 from cyclemart.operators import rankings as R
 from cyclemart.operators.levels import COMPANY, GLOBAL
 from cyclemart.plans import loads
 from cyclemart.plans.present import present
 from cyclemart.plans.stored import stored
-from cyclemart.schemas import TABLES
+from cyclemart.schemas import FACT_MEASURES, TABLES
 from cyclemart.session import materialise, tune, working_path
 from cyclemart.sources import documents
 from cyclemart.sources.increments import Increments
@@ -739,7 +739,7 @@ def quality_report(src):
         quality.duplicate_keys(warehouse.read("fato_cliente_perfil"), TABLES["fato_cliente_perfil"].keys,
                                "chave unica do perfil de cliente"),
         quality.null_values(warehouse.read("fato_vendasdiarias", defaults=False),
-                            ("valor_realizado", "valor_devolucao", "valor_meta_diaria"), "medidas nulas"),
+                            FACT_MEASURES, "medidas nulas"),
         quality.failing_rows(lines, {"quantidade positiva": F.col("qtdneg") > 0, "valor nao negativo": daily.net_value() >= 0}),
         quality.failing_rows(src.goal_cycles(), {"mes entre 1 e 12": (F.col("codmetavenda") % 100).between(1, 12)}),
         quality.failing_rows(fact, {"meta so na empresa 0": ~((F.col("id_empresa") > 0) & (F.col("valor_meta_diaria") != 0))}),
@@ -822,6 +822,28 @@ def _landed_months(src: RetailSource) -> tuple[DataFrame, DataFrame]:
     return final.unionByName(early), items.withColumn("carga", arrival).withColumn("l_linenumber", number).drop("_dia")
 
 
+@query
+def load_quarantine(src):
+    """A range whose source holds lines of negative quantity and lines without a value: their days fail and leave the others
+    loaded. State of each day, rows stored for it, and lines refused."""
+    path = working_path(src.spark, "damaged")
+    key = F.col("l_orderkey")
+    src.table("lineitem").withColumns({
+        "l_quantity": F.when(key % 499 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity")),
+        "l_extendedprice": F.when(key % 503 == 0, F.lit(None)).otherwise(F.col("l_extendedprice")),
+    }).write.parquet(path)
+    damaged = RetailSource(src.spark, src.path, src.rules, files={"lineitem": path})
+    warehouse = _new_warehouse(src, "quarantine").create()
+    found = loads.load_range(warehouse, damaged, RELOAD_FROM, RELOAD_TO, with_rankings=False, rules=constraints.line_rules())
+    per_day = warehouse.read("fato_vendasdiarias").groupBy("id_tempo").agg(F.count(F.lit(1)).alias("gravadas"))
+    days = found.days.join(per_day, "id_tempo", "left")
+    if found.rejected is None:
+        days = days.withColumn("rejeitadas", F.lit(0))
+    else:
+        days = days.join(found.rejected.groupBy("id_tempo").agg(F.count(F.lit(1)).alias("rejeitadas")), "id_tempo", "left")
+    return days.select("id_tempo", "situacao", F.coalesce("gravadas", F.lit(0)).alias("gravadas"), F.coalesce("rejeitadas", F.lit(0)).alias("rejeitadas"))
+
+
 @query
 def increments_merged(src):
     """Lines in three increments, those of one document in several, added to a fact that holds goals only. The first two are

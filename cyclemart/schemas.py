@@ -24,7 +24,7 @@ FACT_MEASURES = (
 
 @dataclass(frozen=True)
 class Table:
-    """``defaults`` fill columns that older files lack."""
+    """``defaults`` fill columns that older files lack; ``required`` columns, and the keys, are never written as null."""
 
     name: str
     schema: T.StructType
@@ -32,6 +32,7 @@ class Table:
     partition: str | None = None
     sort: tuple[str, ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
+    required: tuple[str, ...] = ()
 
 
 TABLES = {
@@ -64,6 +65,7 @@ TABLES = {
             partition="ano_mes",
             sort=("id_empresa", "id_vendedor", "id_tempo"),
             defaults={c: 0 for c in FACT_MEASURES},
+            required=FACT_MEASURES,
         ),
         Table(
             "cubo_kpi",
@@ -80,6 +82,7 @@ TABLES = {
             _struct(id_vendedor=LONG, id_empresa=LONG, tipo=TEXT, id_item=LONG, valor=MONEY, posicao=INT,
                     label_item=TEXT, nivel=INT, dtref=DAY),
             ("dtref", "nivel", "id_vendedor", "id_empresa", "tipo", "posicao"),
+            required=("id_item", "valor"),
             partition="dtref",
             sort=("nivel", "id_empresa", "id_vendedor"),
         ),

@@ -41,8 +41,15 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def shape(df: DataFrame, table: Table) -> DataFrame:
-    """Cast to the table's types, in its column order."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+    """Cast to the table's types, in its column order. A null in a key or a required column ends the job that
+    writes the rows, before anything of it is published."""
+    def column(f):
+        value = F.col(f.name).cast(f.dataType)
+        if f.name in table.keys or f.name in table.required:
+            value = F.coalesce(value, F.raise_error(F.lit(f"{table.name}.{f.name} is null")).cast(f.dataType))
+        return value.alias(f.name)
+
+    return df.select(*[column(f) for f in table.schema])
 
 
 class Warehouse:

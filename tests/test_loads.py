@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cyclemart.operators.constraints import line_rules
 from cyclemart.plans import loads
 from cyclemart.session import materialise, working_path
 from cyclemart.sources.retail import RetailSource
@@ -151,3 +152,42 @@ def test_changed_headers_touch_their_days(spark, growing, warehouse):
     assert warehouse.fact().agg(F.sum("valor_cancelado")).first()[0] > before
     refresh_headers(warehouse, growing)  # nothing changed, nothing happens
     assert same(expected, warehouse.fact().join(touched_days(items, growing), "id_tempo", "left_semi"))
+
+
+def damaged(spark, source, condition):
+    path = working_path(spark, "test-damaged")
+    worse = F.when(F.expr(condition), -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+    source.table("lineitem").withColumn("l_quantity", worse).write.parquet(path)
+    return RetailSource(spark, FOLDER, files={"lineitem": path})
+
+
+def test_a_damaged_day_leaves_the_others_loaded(spark, source, warehouse):
+    first = loads.load_range(warehouse, source, START, END, with_rankings=False, rules=line_rules())
+    assert first.rejected is None and {r.situacao for r in first.summary.collect()} == {"carregado"}
+    before = materialise(warehouse.fact(), "before")
+    bad = damaged(spark, source, "l_orderkey % 50 = 0")
+    again = loads.load_range(warehouse, bad, START, END, with_rankings=False, rules=line_rules())
+    failed = {r.id_tempo for r in again.days.filter("situacao = 'falhou'").collect()}
+    expected = {r.data_ref for r in bad.movements((START, END)).filter("qtdneg <= 0").collect()}
+    assert failed == expected and 0 < len(failed) < 59
+    # Failed days keep what was stored of them, and nothing else changed.
+    assert same(warehouse.fact(), before)
+    stored = spark.read.parquet(warehouse.path(loads.REJECTS))
+    assert {r.id_tempo for r in stored.collect()} == expected and {tuple(r.regras) for r in stored.collect()} == {("quantidade positiva",)}
+    refused = stored.count()
+    loads.load_range(warehouse, bad, START, END, with_rankings=False, rules=line_rules())
+    assert spark.read.parquet(warehouse.path(loads.REJECTS)).count() == refused > 0
+    loads.load_range(warehouse, source, START, END, with_rankings=False, rules=line_rules())
+    assert not warehouse.exists(f"{warehouse.path(loads.REJECTS)}/inicio={START}/fim={END}") and same(warehouse.fact(), before)
+
+
+def test_nulls_are_refused_before_anything_is_written(spark, source, warehouse):
+    rows = materialise(loads.build_fact(source, (START, START)), "rows")
+    warehouse.upsert("fato_vendasdiarias", rows)
+    before = materialise(warehouse.fact(), "before")
+    for column in ("valor_comissao", "qtd_transacoes", "id_vendedor"):
+        broken = rows.withColumn(column, F.when(F.col("id_empresa") > 0, F.col(column)))
+        for write in (warehouse.upsert, warehouse.load):
+            with pytest.raises(Exception, match=f"{column} is null"):
+                write("fato_vendasdiarias", broken)
+    assert same(warehouse.fact(), before)
