@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemart.functions.predicates import Company
@@ -109,6 +109,38 @@ def policy_rows(rows: DataFrame, policies: DataFrame) -> DataFrame:
     return by_company.unionByName(by_seller)
 
 
+#: Session variable that names who reads.
+READER = "leitor"
+
+
+def session_view(rows: DataFrame, policies: DataFrame, name: str) -> str:
+    """A view of ``rows`` that shows each reader of the session what their policy allows: all to administrators, their
+    companies to managers, their own rows to sellers, nothing to others, inactive ones or without ``set_reader``.
+
+    The policy is looked up once per query as a scalar, so the rows are filtered in the scan and joined with nothing.
+    """
+    spark = rows.sparkSession
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {READER} STRING DEFAULT NULL")
+    rows.createOrReplaceTempView(f"{name}_linhas")
+    active_policies(policies).select(
+        "username", F.upper(F.trim("role")).alias("role"), F.col("seller_id").cast("bigint").alias("seller_id"),
+        F.col("managed_sellers").cast("array<bigint>").alias("companies")).createOrReplaceTempView(f"{name}_politicas")
+
+    def mine(column: str) -> str:
+        return f"(SELECT max({column}) FROM {name}_politicas WHERE username = {READER})"
+
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {name}_linhas WHERE CASE {mine("role")}
+        WHEN '{ADMIN}' THEN true
+        WHEN '{MANAGER}' THEN array_contains({mine("companies")}, id_empresa)
+        WHEN '{SELLER}' THEN id_vendedor = {mine("seller_id")}
+        ELSE false END""")
+    return name
+
+
+def set_reader(spark: SparkSession, username: str | None) -> None:
+    spark.sql(f"SET VAR {READER} = :reader", args={"reader": username})
+
+
 def users_from(policies: Sequence) -> dict[str, User]:
     """User objects for policy rows the caller has looked up by name."""
     return {

@@ -21,6 +21,7 @@ from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse, shape
+from cyclemart.streaming.late import forget_range
 
 Range = tuple[date, date] | None
 #: Lines that kept their days from being loaded, by the range of the load: a load done again replaces its own.
@@ -129,6 +130,7 @@ def load_range(warehouse: Warehouse, source: RetailSource, start: date, end: dat
         warehouse.upsert("fato_vendasdiarias", rows, staged=True)
     warehouse.insert_missing("dim_tempo", dimensions.time_rows(rows))
     refresh_cube(warehouse, start, end)
+    forget_range(warehouse, start, end, None if refused is None else failed)
     if with_rankings:
         load_rankings_and_profiles(warehouse, source, start, end)
     counts = rows.groupBy("id_tempo").agg(F.count(F.lit(1)).alias("linhas"))

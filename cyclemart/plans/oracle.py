@@ -466,6 +466,9 @@ ORACLE: dict[str, str] = {
         FROM perfil_marcas m JOIN produtos USING (codprod) WHERE nivel = 1 AND emp = 1"""),
     "access_seller_list": _sql(f"""SELECT DISTINCT CAST(dtref AS VARCHAR) AS dtref, id_vendedor, nome_comercial
         FROM fato_ciclo JOIN vendedores USING (id_vendedor) WHERE {MOVED} AND id_vendedor = 3"""),
+    "policy_view": _sql("""SELECT username, STRFTIME(id_tempo, '%Y-%m') AS ano_mes, CAST(SUM(valor_realizado) AS DOUBLE) AS realizado, COUNT(*) AS linhas
+        FROM fato JOIN (VALUES ('chefe'), ('gerente1'), ('vendedor3')) u(username)
+          ON username = 'chefe' OR (username = 'gerente1' AND id_empresa IN (1, 2)) OR (username = 'vendedor3' AND id_vendedor = 3) GROUP BY ALL"""),
     "policy_rows": _sql("""SELECT username, ano_mes, CAST(SUM(valor_realizado) AS DOUBLE) AS realizado, COUNT(DISTINCT (id_empresa, id_vendedor)) AS linhas
         FROM (SELECT 'gerente' || (r_regionkey + 1) AS username, STRFTIME(id_tempo, '%Y-%m') AS ano_mes, valor_realizado, id_empresa, id_vendedor
               FROM region JOIN fato ON id_empresa IN (r_regionkey + 1, (r_regionkey + 1) % 5 + 1) WHERE r_regionkey + 1 <> 5

@@ -30,6 +30,7 @@ from cyclemart.sources.increments import Increments
 from cyclemart.sources.retail import RETAIL_RULES, RetailSource
 from cyclemart.sources.warehouse import Warehouse
 from cyclemart.streaming import ledger
+from cyclemart.streaming.late import late_days, note_late
 from cyclemart.streaming.ledger import Landing
 from cyclemart.streaming.refresh import item_stream, refresh_headers, start_refresh
 
@@ -583,10 +584,8 @@ def access_seller_list(src):
     return A.allowed_sellers(performance.active_sellers(scoped, _sellers(src)), USERS["seller"])
 
 
-@query
-def policy_rows(src):
-    """Realised value that each manager and seller may read, all users in one join. One manager per
-    pair of companies, one login per seller."""
+def _policies(src: RetailSource) -> DataFrame:
+    """One manager per pair of companies, the last of them inactive, and one login per seller."""
     managers = src.companies().select(
         F.concat(F.lit("gerente"), F.col("codemp").cast("string")).alias("username"), F.lit("manager").alias("role"),
         F.lit(None).cast("int").alias("seller_id"),
@@ -598,8 +597,29 @@ def policy_rows(src):
         F.col("codvend").cast("int").alias("seller_id"), F.lit(None).cast("array<int>").alias("managed_sellers"),
         F.lit(True).alias("is_active"),
     )
+    return managers.unionByName(logins)
+
+
+@query
+def policy_view(src):
+    """What readers of every role see of one view: an administrator, managers, one of them inactive, a seller and a stranger."""
+    chief = src.spark.sql("SELECT 'chefe' AS username, 'admin' AS role, CAST(NULL AS INT) AS seller_id, CAST(NULL AS ARRAY<INT>) AS managed_sellers, CAST(NULL AS BOOLEAN) AS is_active")
+    view = A.session_view(_fact(src), chief.unionByName(_policies(src)), "fato_permitido")
+    found = []
+    for reader in ("chefe", "gerente1", "gerente5", "vendedor3", "ninguem"):
+        A.set_reader(src.spark, reader)
+        rows = src.spark.table(view).groupBy("ano_mes").agg(F.sum("valor_realizado").alias("realizado"), F.count(F.lit(1)).alias("linhas"))
+        # Read while the session has this reader.
+        found.append(materialise(rows.select(F.lit(reader).alias("username"), "ano_mes", "realizado", "linhas"), "policy-view"))
+    A.set_reader(src.spark, None)
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def policy_rows(src):
+    """Realised value that each manager and seller may read, all users in one join."""
     by_month = _fact(src).groupBy("ano_mes", "id_empresa", "id_vendedor").agg(F.sum("valor_realizado").alias("valor"))
-    return A.policy_rows(by_month, managers.unionByName(logins)).groupBy("username", "ano_mes").agg(
+    return A.policy_rows(by_month, _policies(src)).groupBy("username", "ano_mes").agg(
         F.sum("valor").alias("realizado"), F.count(F.lit(1)).alias("linhas")
     )
 
@@ -897,16 +917,16 @@ def stream_landed(src: RetailSource, cuts: tuple[float, ...] = (0.6,), new_state
 def stream_late(src):
     """Headers and items that land out of order, late, twice or months apart, streamed and settled: ends equal to the batch fact."""
     warehouse, landing = _streamed_late(src)
-    noted = materialise(ledger.late_days(warehouse), "late-days")
+    noted = materialise(late_days(warehouse), "late-days")
     ledger.settle(warehouse, src, landing)
-    ledger.note_late(warehouse, noted)
+    note_late(warehouse, noted)
     return warehouse.read("fato_vendasdiarias").drop("ano_mes")
 
 
 @query
 def stream_late_days(src):
     """Days whose lines landed more than the look-back after them: noted by the stream, once each, for the nightly run."""
-    return ledger.late_days(_streamed_late(src)[0])
+    return late_days(_streamed_late(src)[0])
 
 
 # reports --------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ from cyclemart.operators.goals import goals_by_day
 from cyclemart.session import materialise
 from cyclemart.sources.retail import ITEM_FILES, RetailSource
 from cyclemart.sources.warehouse import Warehouse
+from cyclemart.streaming.late import note_late
 
 #: What a header says about its documents' rows in the fact.
 HEADER_STATE = ("o_custkey", "o_orderstatus", "o_orderdate")
-#: Tables of the refresh beside those of the warehouse: headers as last seen, and days left to a range load.
-SEEN_HEADERS, LATE_DAYS = "_headers_seen", "_late_days"
+#: Headers as last seen, a table of the refresh beside those of the warehouse.
+SEEN_HEADERS = "_headers_seen"
+#: Most ranges of months that a rebuild scans one by one; beyond it the nearest are scanned as one.
+MOST_RANGES = 6
 
 
 def item_stream(spark: SparkSession, path: str, pattern: str = ITEM_FILES, files_per_batch: int | None = None) -> DataFrame:
@@ -66,42 +70,49 @@ def within_bound(days: DataFrame, since: date | None) -> DataFrame:
     return days if since is None else days.filter(F.col("id_tempo") >= F.lit(since))
 
 
+def day_ranges(days: DataFrame) -> list[tuple[date, date]]:
+    """Ranges that hold all the days, from the first to the last of each run of months; at most ``MOST_RANGES``, the
+    smallest gaps being closed first. A late day of years ago does not make the years between be read."""
+    months = days.groupBy(F.trunc("id_tempo", "month").alias("mes")).agg(F.min("id_tempo"), F.max("id_tempo")).orderBy("mes").collect()
+    ranges = [(first, last) for _, first, last in months]
+    gaps = sorted(range(1, len(ranges)), key=lambda k: ranges[k][0] - ranges[k - 1][1])
+    apart = {k for k in gaps[max(0, len(gaps) - MOST_RANGES + 1):] if (ranges[k][0] - ranges[k - 1][1]).days > 31}
+    out: list[tuple[date, date]] = []
+    for k, (first, last) in enumerate(ranges):
+        if out and k not in apart:
+            out[-1] = (out[-1][0], last)
+        else:
+            out.append((first, last))
+    return out
+
+
 def rebuild_days(source: RetailSource, days: DataFrame) -> DataFrame | None:
-    """Fact rows of the given days, from a scan bounded by the first and last of them."""
-    first, last = days.agg(F.min("id_tempo"), F.max("id_tempo")).first()
-    if first is None:
+    """Fact rows of the given days, from scans bounded by their months."""
+    ranges = day_ranges(days)
+    if not ranges:
         return None
+    first, last = ranges[0][0], ranges[-1][1]
     wanted = days.select(F.col("id_tempo").alias("data_ref"))
-    actuals = daily_actuals(source.movements((first, last)).join(wanted, "data_ref", "left_semi"))
-    goals = goals_by_day(
-        source.goal_sellers(), source.goal_cycles(), source.sellers(), source.rules, first, last
-    ).join(wanted, "data_ref", "left_semi")
-    return sales_fact(actuals, goals)
+    lines = reduce(DataFrame.unionByName, [source.movements(r) for r in ranges])
+    near = source.spanning(first, last)
+    goals = goals_by_day(near.goal_sellers(), near.goal_cycles(), source.sellers(), source.rules, first, last)
+    return sales_fact(daily_actuals(lines.join(wanted, "data_ref", "left_semi")), goals.join(wanted, "data_ref", "left_semi"))
 
 
-def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, since: date | None, run: str) -> None:
-    """Rebuild the days within the bound and note the others under the name of the run."""
+def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, since: date | None) -> None:
+    """Rebuild the days within the bound and note the others."""
     touched = materialise(touched, "touched-days")
     days = within_bound(touched, since)
     rows = rebuild_days(source, days)
     if rows is not None:
         warehouse.replace_days(rows, days)
     if since is not None:
-        late = touched.filter(F.col("id_tempo") < F.lit(since)).withColumn("origem", F.lit(run))
-        late.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("origem").parquet(
-            warehouse.path(LATE_DAYS))
-
-
-def late_days(warehouse: Warehouse) -> DataFrame:
-    """Touched days before the bound of their run, ``(id_tempo, origem)``. A range load of these days puts them right."""
-    path = warehouse.path(LATE_DAYS)
-    schema = "id_tempo date, origem string"
-    return warehouse.spark.read.schema(schema).parquet(path) if warehouse.exists(path) else warehouse.spark.createDataFrame([], schema)
+        note_late(warehouse, touched.filter(F.col("id_tempo") < F.lit(since)))
 
 
 def refresh_batch(warehouse: Warehouse, source: RetailSource, since: date | None = None) -> Callable:
     def apply(batch: DataFrame, epoch: int) -> None:
-        _rebuild(warehouse, source, touched_days(batch, source), since, f"lote-{epoch}")
+        _rebuild(warehouse, source, touched_days(batch, source), since)
 
     return apply
 
@@ -112,12 +123,12 @@ def refresh_headers(warehouse: Warehouse, source: RetailSource, since: date | No
     The headers are compared by key with those last seen, one join of two narrow tables. They are noted after the rebuild: a
     run that fails is done again by the next one.
     """
-    path = warehouse.path(SEEN_HEADERS)
+    path = warehouse.current_path(warehouse.path(SEEN_HEADERS))
     after = materialise(source.table("orders", "o_orderkey", *HEADER_STATE), "headers")
     if warehouse.exists(path):
         touched = header_days(warehouse.spark.read.parquet(path), after, source)
-        _rebuild(warehouse, source, touched, since, "cabecalhos")
-    warehouse.switch(after, path)
+        _rebuild(warehouse, source, touched, since)
+    warehouse.switch(after, warehouse.path(SEEN_HEADERS))
 
 
 def start_refresh(items: DataFrame, warehouse: Warehouse, source: RetailSource, checkpoint: str, *,

@@ -56,3 +56,20 @@ def test_policy_table(spark):
     assert seen == [("m", 1, 1), ("m", 3, 4), ("s", 3, 2), ("s", 3, 4)]
     users = A.users_from(policies.collect())
     assert users["m"].companies == (1, 1, 4) and users["x"].kind is None and users["m"].kind == "MANAGER"
+
+
+def test_one_view_for_every_reader(spark, plan):
+    policies = spark.createDataFrame(
+        [("m", " manager", None, [1, 4], None), ("s", "SELLER", 3, None, True), ("x", "SELLER", 1, None, False), ("a", "admin", None, None, True), ("n", "MANAGER", None, None, True)],
+        "username string, role string, seller_id int, managed_sellers array<int>, is_active boolean")
+    fact = spark.createDataFrame([(1, 1), (3, 2), (3, 4), (9, None)], "id_vendedor bigint, id_empresa bigint")
+    view = A.session_view(fact, policies, "test_permitido")
+    assert spark.table(view).count() == 0
+    seen = {}
+    for reader in ("a", "m", "s", "x", "n", "who", "a' OR '1'='1", None):
+        A.set_reader(spark, reader)
+        seen[reader] = sorted(((r.id_vendedor, r.id_empresa) for r in spark.table(view).collect()), key=str)
+        assert "Join" not in plan(spark.table(view))
+    A.set_reader(spark, None)
+    assert seen == {"a": [(1, 1), (3, 2), (3, 4), (9, None)], "m": [(1, 1), (3, 4)], "s": [(3, 2), (3, 4)], "x": [], "n": [], "who": [],
+                    "a' OR '1'='1": [], None: []}

@@ -13,7 +13,8 @@ from cyclemart.plans import loads
 from cyclemart.session import materialise, working_path
 from cyclemart.sources.retail import RetailSource
 from cyclemart.sources.warehouse import Warehouse
-from cyclemart.streaming.refresh import item_stream, late_days, refresh_batch, refresh_headers, start_refresh, touched_days, within_bound
+from cyclemart.streaming.late import late_days
+from cyclemart.streaming.refresh import day_ranges, item_stream, refresh_batch, refresh_headers, start_refresh, touched_days, within_bound
 
 FOLDER = "/root/testdata/sf0.001"
 START, END = date(1998, 2, 1), date(1998, 3, 31)
@@ -135,6 +136,25 @@ def test_days_before_the_bound_are_reported_not_rebuilt(spark, source, warehouse
     assert same(late_days(warehouse).select("id_tempo"), touched.filter(F.col("id_tempo") < F.lit(since)))
     expected = loads.build_fact(source).join(within_bound(touched, since), "id_tempo", "left_semi")
     assert same(warehouse.fact(), expected) and not expected.isEmpty()
+    # Another run, of a new stream or of the headers, adds its days and takes none away.
+    noted = {r.id_tempo for r in late_days(warehouse).collect()}
+    more = source.table("lineitem").filter("l_orderkey BETWEEN 100 AND 150")
+    refresh_batch(warehouse, source, since)(more, 0)
+    extra = {r.id_tempo for r in touched_days(more, source).collect() if r.id_tempo < since}
+    assert {r.id_tempo for r in late_days(warehouse).collect()} == noted | extra and extra - noted
+    # A load that covers days takes them off the list.
+    loads.load_range(warehouse, source, date(1996, 1, 1), date(1996, 12, 31), with_rankings=False)
+    assert {r.id_tempo for r in late_days(warehouse).collect()} == {d for d in noted | extra if d.year != 1996}
+
+
+def test_scattered_days_are_read_by_their_months(spark):
+    def ranges(*days):
+        return day_ranges(spark.createDataFrame([(date.fromisoformat(d),) for d in days], "id_tempo date"))
+
+    assert ranges("1995-01-02", "1998-03-05", "1998-03-20", "1998-04-01") == [(date(1995, 1, 2), date(1995, 1, 2)), (date(1998, 3, 5), date(1998, 4, 1))]
+    many = ranges(*[f"{1990 + k}-0{1 + k % 3}-15" for k in range(9)], "1998-12-31")
+    assert len(many) == 6 and many[0][0] == date(1990, 1, 15) and many[-1][1] == date(1998, 12, 31)
+
 
 
 def test_changed_headers_touch_their_days(spark, growing, warehouse):
