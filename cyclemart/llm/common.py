@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from cyclemart.session import materialise, working_path
 
-__all__ = ["components", "discard", "held_out", "map_columns", "materialise", "table", "working_path"]
+__all__ = ["components", "discard", "held", "held_out", "map_columns", "materialise", "table", "working_path"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,18 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """What a Python worker remembers from batch to batch. Workers serve one stage after the other, so only what the current
+    operator needs is kept: asking for something else forgets the rest."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for rows no model may learn from: crc32 of the id as text, modulo 5, is 0. A null id is held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

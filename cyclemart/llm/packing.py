@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclemart.llm.common import materialise
+from cyclemart.llm.common import held, materialise
 
 _STOPS = (".", ",")
 _OTHER_BLANKS = re.compile(r"[^\S \n]")
@@ -96,13 +96,8 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
 
 
-_ENCODERS: dict[PackingSettings, Encoder] = {}
-
-
 def _encoder(s: PackingSettings) -> Encoder:
-    if s not in _ENCODERS:
-        _ENCODERS[s] = Encoder(s)
-    return _ENCODERS[s]
+    return held(("packing", s), lambda: Encoder(s))
 
 
 def _crc(ids: np.ndarray) -> int:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclemart.llm.common import held_out, map_columns
+from cyclemart.llm.common import held, held_out, map_columns
 
 _UNIT = re.compile(r"[^\W_]+|[\W_]+")
 _SIGNS = ".,;:!?#$%&*|\"')"
@@ -75,12 +75,9 @@ class _Units(dict):
         return value
 
 
-_CACHE: dict[int, _Units] = {}
-
-
 def word_ids(text: str | None, buckets: int) -> np.ndarray:
     """Buckets of the words and signs of a text, in order; none for null."""
-    units = _CACHE.setdefault(buckets, _Units(buckets))
+    units = held(("quality", buckets), lambda: _Units(buckets))
     return np.frombuffer(b"".join(map(units.__getitem__, (text or "").split())), dtype=np.uint32)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclemart.llm.common import map_columns
+from cyclemart.llm.common import held, map_columns
 
 #: A word starts with this mark in the vocabulary, as in sentencepiece models.
 WORD_START = "▁"
@@ -109,7 +109,6 @@ class _Counts(dict):
         return value
 
 
-_COUNTS: dict[str, _Counts] = {}
 _RESERVED = re.compile(r"<(unk|s|/s|0x[0-9A-F]{2})>")
 
 
@@ -129,9 +128,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", keep: list[str]
     """
 
     def compute(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        if path not in _COUNTS:
-            _COUNTS[path] = _Counts(path)
-        counts = _COUNTS[path]
+        counts = held(("token counts", path), lambda: _Counts(path))
         words = [(v.as_py() or "").split() for v in batch.column(text)]
         return {"n_words": pa.array([len(w) for w in words], pa.int64()),
                 "n_tokens": pa.array([sum(map(counts.__getitem__, w)) for w in words], pa.int64())}
