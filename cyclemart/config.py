@@ -40,6 +40,7 @@ class SalesRules:
     tiers: tuple[tuple[str, str], ...] = COMMISSION_TIERS
     base_tier_rate: str = BASE_TIER_RATE
     ranking_size: int = 10
+    list_depth: int = 50
     profile_products: int = 5
     profile_sellers: int = 3
     profile_days: int = 180

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Callable, Sequence
+from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemart.config import NO_BRAND, SalesRules
@@ -13,6 +14,7 @@ from cyclemart.functions.calendar import month_start
 from cyclemart.functions.text import clean
 from cyclemart.operators.daily import net_value
 from cyclemart.operators.levels import ALL_LEVELS, COMPANY, DETAIL, GLOBAL, SELLER, roll_up
+from cyclemart.session import materialise
 
 CUSTOMER, BRAND, PRODUCT = "CLIENTE", "MARCA", "PRODUTO"
 KINDS = (CUSTOMER, BRAND, PRODUCT)
@@ -75,8 +77,13 @@ def rankings(lines: DataFrame, partners: DataFrame, products: DataFrame, rules:
     """The first ``ranking_size`` items of each (kind, month, level, company, seller), all months in
     one pass. Ties go to the lower id. Spark keeps only the leading rows of each group before the
     ranking shuffle, so the group that holds everything stays small."""
+    return rankings_of_totals(item_totals(lines, partners, products, kinds), rules, levels)
+
+
+def rankings_of_totals(totals: DataFrame, rules: SalesRules, levels: Sequence[int] = ALL_LEVELS) -> DataFrame:
+    """Rankings from ``item_totals``."""
     rolled = roll_up(
-        item_totals(lines, partners, products, kinds),
+        totals,
         ["tipo", "dtref", "id_item", "label_item"],
         [F.sum("valor").alias("total")],
         levels,
@@ -111,6 +118,67 @@ def rankings_of_companies(lines: DataFrame, partners: DataFrame, products: DataF
         "dtref", "tipo", "posicao", "id_item", "label_item", F.col("total").cast("decimal(15,2)").alias("valor"))
 
 
+def company_lists(totals: DataFrame, rules: SalesRules) -> DataFrame:
+    """The first ``list_depth`` items of each month, company and kind, unrounded, from ``item_totals``.
+
+    ``cheia`` says that the list was cut, ``corte`` what an item that it lacks can add to a sum over companies: at most the
+    last total of a cut list, nothing where the list is whole.
+    """
+    group = ("dtref", "codemp", "tipo")
+    summed = totals.groupBy(*group, "id_item", "label_item").agg(F.sum("valor").alias("total"))
+    best = Window.partitionBy(*group).orderBy(F.desc("total"), F.asc("id_item"), F.asc("label_item"))
+    cut = F.col("cheia")
+    return (
+        summed.withColumn("posicao", F.row_number().over(best))
+        .filter(F.col("posicao") <= rules.list_depth)
+        .withColumn("cheia", F.count(F.lit(1)).over(Window.partitionBy(*group)) == rules.list_depth)
+        .withColumn("_ultimo", F.coalesce(F.min("total").over(Window.partitionBy(*group)), F.lit(0)))
+        .select(F.col("codemp").alias("id_empresa"), "tipo", "id_item", "label_item", "total", "posicao",
+                F.when(cut, F.greatest("_ultimo", F.lit(0))).otherwise(0).alias("corte"), "cheia", "dtref")
+    )
+
+
+def rankings_of_companies_bounded(lists: DataFrame, companies: Sequence[int], rules: SalesRules,
+                                  sales: Callable[[tuple[date, date]], DataFrame], partners: DataFrame,
+                                  products: DataFrame) -> DataFrame:
+    """What ``rankings_of_companies`` gives, from ``company_lists`` where these suffice.
+
+    An item's sum is known if every cut list holds it. Any other item, listed or not, is bounded by what the lists that hold it
+    say and the cut-offs of those that lack it. A (month, kind) stands if all these bounds lie below the last known item of the
+    list asked for; a tie does not stand, since ids decide it. Only the others are counted again, from the ``sales`` of their
+    months: ``recalculado`` marks their rows and ``grupos_recalculados`` counts them. The values collected are months and kinds.
+    """
+    group = ["dtref", "tipo"]
+    chosen = lists.filter(F.col("id_empresa").isin(*companies) if companies else F.lit(False)).withColumn("_cut", F.col("cheia").cast("int"))
+    caps = chosen.filter(F.col("posicao") == 1).groupBy(*group).agg(F.sum("corte").alias("_cap"), F.sum("_cut").alias("_lists"))
+    items = chosen.groupBy(*group, "id_item", "label_item").agg(
+        F.sum("total").alias("total"), F.sum("corte").alias("_own"), F.sum("_cut").alias("_in")).join(caps, group)
+    known, whole = F.col("_in") == F.col("_lists"), Window.partitionBy(*group)
+    best = whole.orderBy(known.desc(), F.desc("total"), F.asc("id_item"), F.asc("label_item"))
+    bound = F.max(F.when(~known, F.col("total") + F.col("_cap") - F.col("_own"))).over(whole)
+    last = F.max(F.when(known & (F.col("posicao") == rules.ranking_size), F.col("total"))).over(whole)
+    below = F.greatest(bound, F.col("_cap")) < last
+    found = materialise(
+        items.withColumn("posicao", F.row_number().over(best))
+        .withColumn("_stands", (F.col("_lists") == 0) | F.coalesce(below, F.lit(False)))
+        .filter(F.col("posicao") <= rules.ranking_size)
+        .select(*group, "posicao", "id_item", "label_item", F.col("total").cast("decimal(15,2)").alias("valor"), "_stands"),
+        "company-lists")
+    failed: dict[str, list[date]] = {}
+    for row in found.filter(~F.col("_stands")).select(*group).distinct().collect():
+        failed.setdefault(row.tipo, []).append(row.dtref)
+    result = found.filter("_stands").drop("_stands").withColumn("recalculado", F.lit(False))
+    if failed:
+        months = sorted({month for found_open in failed.values() for month in found_open})
+        # One pass: where sales are dated on the document, each further period would read all items again.
+        last_day = (months[-1] + timedelta(days=32)).replace(day=1) - timedelta(days=1)
+        lines = sales((months[0], last_day)).filter(month_start(F.col("data_ref")).isin(*months))
+        asked = reduce(Column.__or__, [(F.col("tipo") == kind) & F.col("dtref").isin(*found_open) for kind, found_open in failed.items()])
+        again = rankings_of_companies(lines, partners, products, rules, companies, tuple(failed)).filter(asked)
+        result = result.unionByName(again.withColumn("recalculado", F.lit(True)))
+    return result.withColumn("grupos_recalculados", F.lit(sum(map(len, failed.values()))))
+
+
 def ranking_level(company: int | Sequence[int], seller: int) -> int:
     """Stored level that answers a lookup; 0 stands for "all"."""
     if isinstance(company, int) and company == 0:

@@ -16,7 +16,7 @@ from cyclemart.operators.daily import daily_actuals
 from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
 from cyclemart.operators.profiles import brand_profiles, customer_profiles, purchase_days, ranked_items
-from cyclemart.operators.rankings import BRAND, CUSTOMER, rankings
+from cyclemart.operators.rankings import BRAND, CUSTOMER, company_lists, item_totals, rankings, rankings_of_totals
 from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import RetailSource
@@ -39,6 +39,11 @@ def build_rankings(source: RetailSource, period: Range = None, **only) -> DataFr
     return rankings(source.sales(period), source.partners(), source.products(), source.rules, **only)
 
 
+def build_totals(source: RetailSource, period: Range = None) -> DataFrame:
+    """Sales by month, company, seller and ranked item, from which rankings and company lists are drawn."""
+    return item_totals(source.sales(period), source.partners(), source.products())
+
+
 def build_customer_profiles(source: RetailSource, ranked: DataFrame, period: Range = None,
                             as_of: date | None = None, **only) -> DataFrame:
     days = purchase_days(source.sales(period), source.sellers(), source.products(), ranked)
@@ -80,7 +85,9 @@ def load_rankings_and_profiles(warehouse: Warehouse, source: RetailSource, start
         month = (month + timedelta(days=32)).replace(day=1)
     in_months = F.col("dtref").between(F.lit(first), F.lit(end))
 
-    warehouse.replace_months("fato_rankings", build_rankings(source, (first, end)), months)
+    totals = materialise(build_totals(source, (first, end)), "item-totals")
+    warehouse.replace_months("fato_rankings", rankings_of_totals(totals, source.rules), months)
+    warehouse.replace_months("listas_empresa", company_lists(totals, source.rules), months)
     stored = warehouse.read("fato_rankings").filter(in_months)
     window_start = first - timedelta(days=source.rules.profile_days)
     profiles = build_customer_profiles(source, ranked_items(stored, CUSTOMER), (window_start, end), as_of=end)
@@ -165,6 +172,8 @@ def full_load(warehouse: Warehouse, source: RetailSource, tables: Sequence[str])
         warehouse.load("cubo_kpi", cube_rows(warehouse.fact(), warehouse.read("dim_tempo_ref")))
     if "fato_rankings" in tables:
         warehouse.load("fato_rankings", build_rankings(source))
+    if "listas_empresa" in tables:
+        warehouse.load("listas_empresa", company_lists(build_totals(source), source.rules))
     if "fato_cliente_perfil" in tables:
         ranked = ranked_items(warehouse.read("fato_rankings"), CUSTOMER)
         warehouse.load("fato_cliente_perfil", build_customer_profiles(source, ranked))

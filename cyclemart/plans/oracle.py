@@ -109,6 +109,21 @@ CTES: dict[str, str] = {
         SELECT *, ROW_NUMBER() OVER (PARTITION BY dtref, tipo ORDER BY valor DESC, id_item) AS posicao FROM (
             SELECT dtref, tipo, id_item, label_item, SUM(valor) AS valor FROM ranks
             WHERE nivel = 1 AND id_empresa IN (1, 2) GROUP BY ALL) QUALIFY posicao <= 10""",
+    "listas": "SELECT * FROM posicoes WHERE nivel = 1 AND codemp IN (1, 2) AND posicao <= 50",
+    "cortes": """
+        SELECT mes, tipo, codemp, CAST(COUNT(*) = 50 AS INT) AS cheia,
+               CASE WHEN COUNT(*) = 50 THEN GREATEST(MIN(total), 0) ELSE 0 END AS corte FROM listas GROUP BY ALL""",
+    "limites": """
+        SELECT mes, tipo, id_item, SUM(total) AS total, SUM(corte) AS proprio, SUM(cheia) AS em
+        FROM listas JOIN cortes USING (mes, tipo, codemp) GROUP BY ALL""",
+    "tetos": "SELECT mes, tipo, SUM(corte) AS teto, SUM(cheia) AS cheias FROM cortes GROUP BY ALL",
+    "ultimos": """
+        SELECT mes, tipo, total AS ultimo FROM limites JOIN tetos USING (mes, tipo) WHERE em = cheias
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY mes, tipo ORDER BY total DESC, id_item) = 10""",
+    "abertos": """
+        SELECT mes, tipo FROM limites JOIN tetos USING (mes, tipo) LEFT JOIN ultimos USING (mes, tipo) WHERE cheias > 0
+        GROUP BY mes, tipo, teto, ultimo
+        HAVING ultimo IS NULL OR teto >= ultimo OR MAX(CASE WHEN em < cheias THEN total + teto - proprio END) >= ultimo""",
     # profiles
     "clientes_mes": "SELECT DISTINCT dtref, id_item AS codparc FROM ranks WHERE tipo = 'CLIENTE' AND id_item > 0",
     "compras": """
@@ -335,6 +350,13 @@ ORACLE: dict[str, str] = {
             SELECT mes, tipo, id_item, label_item, SUM(valor) AS total,
                    ROW_NUMBER() OVER (PARTITION BY mes, tipo ORDER BY SUM(valor) DESC, id_item) AS posicao
             FROM itens WHERE codemp IN (1, 2) GROUP BY mes, tipo, id_item, label_item QUALIFY posicao <= 10)"""),
+    "rank_multi_branch_bounded": _sql("""SELECT CAST(CAST(mes AS DATE) AS VARCHAR) AS dtref, tipo, posicao, id_item, label_item,
+        CAST(CAST(total AS DECIMAL(15,2)) AS DOUBLE) AS valor,
+        CAST((mes, tipo) IN (SELECT (mes, tipo) FROM abertos) AS BIGINT) AS recalculado,
+        (SELECT COUNT(*) FROM abertos) AS grupos_recalculados FROM (
+            SELECT mes, tipo, id_item, label_item, SUM(valor) AS total,
+                   ROW_NUMBER() OVER (PARTITION BY mes, tipo ORDER BY SUM(valor) DESC, id_item) AS posicao
+            FROM itens WHERE codemp IN (1, 2) GROUP BY mes, tipo, id_item, label_item QUALIFY posicao <= 10)"""),
     "rank_totals": _sql("""SELECT CAST(dtref AS VARCHAR) AS dtref, CAST(nivel AS BIGINT) AS nivel, id_empresa, id_vendedor, tipo, CAST(SUM(valor) AS DOUBLE) AS total FROM ranks
         GROUP BY ALL"""),
     "customer_profile": _sql("""SELECT CAST(t.dtref AS VARCHAR) AS dtref, CAST(t.nivel AS BIGINT) AS nivel, t.codparc AS id_cliente,

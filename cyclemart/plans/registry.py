@@ -263,6 +263,13 @@ def rank_multi_branch_exact(src):
     return R.rankings_of_companies(src.sales(), src.partners(), src.products(), RULES, [1, 2])
 
 
+@query
+def rank_multi_branch_bounded(src):
+    """The same again, from the companies' deep lists, and from sales only where their cut-offs leave it open."""
+    lists = _table(src, "listas_empresa")
+    return R.rankings_of_companies_bounded(lists, [1, 2], RULES, src.sales, src.partners(), src.products())
+
+
 @query
 def rank_totals(src):
     """Sum of every stored list, of all levels."""

@@ -14,6 +14,7 @@ _NEEDS = {
     "dim_tempo_ref": (),
     "fato_vendasdiarias": (),
     "fato_rankings": (),
+    "listas_empresa": (),
     "cubo_kpi": ("dim_tempo_ref", "fato_vendasdiarias"),
     "fato_cliente_perfil": ("fato_rankings",),
     "fato_marca_perfil": ("fato_rankings",),

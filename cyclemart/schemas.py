@@ -86,6 +86,14 @@ TABLES = {
             partition="dtref",
             sort=("nivel", "id_empresa", "id_vendedor"),
         ),
+        Table(
+            "listas_empresa",
+            _struct(id_empresa=LONG, tipo=TEXT, id_item=LONG, label_item=TEXT, total=T.DecimalType(38, 4), posicao=INT,
+                    corte=T.DecimalType(38, 4), cheia=T.BooleanType(), dtref=DAY),
+            ("dtref", "id_empresa", "tipo", "posicao"),
+            partition="dtref",
+            sort=("id_empresa", "tipo", "posicao"),
+        ),
         Table(
             "fato_cliente_perfil",
             _struct(id_cliente=LONG, id_empresa=LONG, id_vendedor=LONG, top_produtos=PRODUCT_LIST,

@@ -1,3 +1,5 @@
+import random
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
 
@@ -5,7 +7,16 @@ import pytest
 
 from cyclemart.config import SalesRules
 from cyclemart.operators.levels import COMPANY, DETAIL, GLOBAL, SELLER, level_of
-from cyclemart.operators.rankings import ranking_lookup, ranking_totals, rankings
+from cyclemart.operators.rankings import (
+    CUSTOMER,
+    company_lists,
+    item_totals,
+    ranking_lookup,
+    ranking_totals,
+    rankings,
+    rankings_of_companies,
+    rankings_of_companies_bounded,
+)
 
 RULES = SalesRules()
 LINE = ("nunota bigint, data_ref date, codemp bigint, codvend bigint, codparc bigint, codprod bigint, "
@@ -92,3 +103,59 @@ def test_lookup_edge_requests(spark):
     assert lookup(spark, stored, company=9).isEmpty()
     assert lookup(spark, stored, company=[1], seller=2).filter("tipo = 'CLIENTE'").first().id_item == 5
     assert lookup(spark, stored).filter("tipo = 'MARCA'").first().refforn == ""
+
+
+def bounded(spark, rows, depth, companies=(1, 2)):
+    """The list from cut lists and from all sales, and the periods whose sales the former read."""
+    partners = spark.createDataFrame([(i, f"c{i}") for i in range(1, 200)], "codparc bigint, nomeparc string")
+    products = spark.createDataFrame([(i, f"p{i}", i % 7 + 1, f"m{i % 7 + 1}") for i in range(1, 200)],
+                                     "codprod bigint, descrprod string, codmarca bigint, marca string")
+    lines, rules, read = spark.createDataFrame(rows, LINE), replace(RULES, list_depth=depth), []
+
+    def sales(period):
+        read.append(period)
+        return lines.filter(lines.data_ref.between(*period))
+
+    found = rankings_of_companies_bounded(company_lists(item_totals(lines, partners, products), rules), companies, rules,
+                                          sales, partners, products)
+    exact = rankings_of_companies(lines, partners, products, rules, companies)
+    assert sorted(found.select(*exact.columns).collect()) == sorted(exact.collect())
+    return found, read
+
+
+@pytest.mark.parametrize("depth", [1, 10, 15, 40, 1000])
+def test_cut_lists_of_several_companies_give_the_exact_list(spark, depth):
+    rng, rows = random.Random(depth), []
+    for day in (date(2026, 1, 31), date(2026, 2, 1), date(2026, 5, 9)):
+        for _ in range(400):
+            value = str(rng.choice((1, 5, 5, 20, -3, 400)) * rng.randint(1, 4))
+            rows.append(line(rng.randint(1, 3), 2, min(rng.randint(1, 150), rng.randint(1, 150)), rng.randint(1, 150), value, day))
+    found, read = bounded(spark, rows, depth)
+    again = {(r.dtref, r.tipo) for r in found.filter("recalculado").collect()}
+    assert found.first().grupos_recalculados == len(again)
+    assert (not again and not read) if depth == 1000 else again
+    if depth == 1:
+        assert read == [(date(2026, 1, 1), date(2026, 5, 31))]
+
+
+def test_a_list_stands_below_its_cut_offs_and_falls_at_a_tie(spark):
+    # Twelve customers of both companies, the first ten far ahead; products and brands are whole lists.
+    rows = [line(e, 2, c, 1, str(1000 - c if c <= 10 else 20)) for e in (1, 2) for c in range(1, 13)]
+    found, read = bounded(spark, rows, depth=11)
+    assert not read and found.first().grupos_recalculados == 0
+    # Now those that a list lacks can reach the tenth: a tie that ids decide.
+    rows = [line(e, 2, c, 1, "20") for e in (1, 2) for c in range(1, 13)]
+    found, read = bounded(spark, rows, depth=11)
+    assert read and {r.tipo for r in found.filter("recalculado").collect()} == {CUSTOMER}
+
+
+def test_an_item_that_every_list_lacks_is_found(spark):
+    rows = [line(e, 2, e * 20 + c, 1, str(100 + c)) for e in (1, 2) for c in range(12)] + [line(e, 2, 150, 1, "99") for e in (1, 2)]
+    found, _ = bounded(spark, rows, depth=11)
+    first = found.filter("tipo = 'CLIENTE' and posicao = 1").first()
+    assert (first.id_item, float(first.valor), first.recalculado) == (150, 198.0, True)
+
+
+def test_no_companies_or_no_sales_give_an_empty_list(spark):
+    assert bounded(spark, [line(1, 2, 5, 1, "10")], 10, companies=())[0].isEmpty()
+    assert bounded(spark, [], 10)[0].isEmpty()
