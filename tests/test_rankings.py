@@ -159,3 +159,20 @@ def test_an_item_that_every_list_lacks_is_found(spark):
 def test_no_companies_or_no_sales_give_an_empty_list(spark):
     assert bounded(spark, [line(1, 2, 5, 1, "10")], 10, companies=())[0].isEmpty()
     assert bounded(spark, [], 10)[0].isEmpty()
+
+
+def test_lists_of_sellers_are_drawn_where_their_totals_lie(spark, plan):
+    """Lines are moved once to their seller's slice of the month; a code that repeats or lacks a name counts as often."""
+    lines = spark.createDataFrame(
+        [(date(2026, 2, 3), 1, 1, 5, 7, Decimal(4), Decimal(1)), (date(2026, 2, 4), None, 1, 5, 8, Decimal(2), Decimal(0)),
+         (date(2026, 2, 5), 1, 2, 6, None, Decimal(9), Decimal(0))],
+        "data_ref date, codemp bigint, codvend bigint, codparc bigint, codprod bigint, vlrtot decimal(15,2), vlrdesc decimal(20,4)")
+    partners = spark.createDataFrame([(5, "Loja"), (5, "Loja"), (9, "Outra")], "codparc bigint, nomeparc string")
+    products = spark.createDataFrame([(7, "Bolt", 3, "M"), (8, "Nut", None, None)], "codprod bigint, descrprod string, codmarca bigint, marca string")
+    totals = item_totals(lines, partners, products)
+    assert {(r.codemp, r.codvend, r.tipo, r.id_item, r.label_item, r.valor) for r in totals.collect()} == {
+        (1, 1, "CLIENTE", 5, "Loja", Decimal(6)), (None, 1, "CLIENTE", 5, "Loja", Decimal(4)), (1, 1, "PRODUTO", 7, "Bolt", Decimal(3)),
+        (None, 1, "PRODUTO", 8, "Nut", Decimal(2)), (1, 1, "MARCA", 3, "M", Decimal(3)), (None, 1, "MARCA", 0, "SEM MARCA", Decimal(2))}
+    text = plan(rankings(lines, partners, products, SalesRules(), levels=(0, 2)))
+    above = text[:text.index("Exchange")]
+    assert "Expand" not in text and "Window" in above and above.count("Aggregate") >= 2
