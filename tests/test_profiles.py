@@ -177,3 +177,19 @@ def test_lookups_complete_what_lists_lack(spark):
     got = {r.id_marca: (r.nome_marca, [tuple(e) for e in r.top_produtos]) for r in P.lookup_brand_profiles(asked, found, brands, products).collect()}
     assert got == {1: ("one", [(" Bolt", v, "r2", "own"), ("Nut", v, "r3", ""), ("Unknown", v, "", "")]), 2: ("Marca #2", [("Bolt", v, "x", "y")]),
                    3: ("Marca #3", []), 4: ("Marca #4", []), 9: ("Marca #9", [])}
+
+
+def test_profiles_are_drawn_in_the_partition_of_the_customers_month(spark, plan, data):
+    """One shuffle by month and customer, then lists and gaps without another; a product named twice is listed twice and
+    sales without a company count where companies are rolled up only."""
+    lines, ranked, sellers, products = frames(spark, data)
+    text = plan(P.customer_profiles(P.purchase_days(lines, sellers, products, ranked), ranked, products, RULES))
+    above = text[:text.index("Exchange")]
+    assert "Expand" not in text and "Window" in above and above.count("Aggregate") >= 2 and "Join" not in above
+    rows = [(date(2026, 2, 3), None, 1, 1, 1, Decimal(5), Decimal(0)), (date(2026, 2, 9), None, 1, 1, 1, Decimal(2), Decimal(0))]
+    lines, ranked, sellers, products = frames(spark, (rows, [(date(2026, 2, 1), 1)]))
+    twice = products.union(products.filter("codprod = 1"))
+    found = P.customer_profiles(P.purchase_days(lines, sellers, twice, ranked), ranked, twice, RULES).collect()
+    assert {(r.nivel, r.id_vendedor, r.tempo_medio_compra, len(r.top_produtos)) for r in found} == {(SELLER, 1, 6.0, 2), (GLOBAL, 0, 6.0, 2)}
+    text = plan(P.brand_profiles(lines, ranked, products, RULES, levels=(DETAIL, SELLER)))
+    assert "Expand" not in text and "Window" in text[:text.index("Exchange")]
