@@ -17,9 +17,10 @@ from cyclemart.functions.calendar import year_month
 from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
 from cyclemart.operators.partials import actuals_of, merge_partials, partial_actuals
+from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import RetailSource
-from cyclemart.sources.warehouse import Warehouse
+from cyclemart.sources.warehouse import Warehouse, shape
 
 ROWS = ("data_ref date, codemp bigint, codvend bigint, palavra bigint, vlr_nota decimal(38,4), vlr_desconto decimal(38,4), "
         "vlr_devolucao decimal(38,4), vlr_cancelada decimal(38,4), documentos bigint, ano_mes string, origem string")
@@ -74,7 +75,8 @@ class Increments:
         near = source.spanning(first, last)
         goals = goals_by_day(near.goal_sellers(), near.goal_cycles(), source.sellers(), source.rules, first, last)
         rows = sales_fact(actuals_of(self.read(months).join(wanted, "data_ref", "left_semi")), goals.join(wanted, "data_ref", "left_semi"))
-        self.warehouse.replace_days(rows, days)
+        # A fact holds each key once.
+        self.warehouse.replace_days(materialise(shape(rows, TABLES["fato_vendasdiarias"]), "increment-fact"), days, staged=True)
 
     def fold(self) -> None:
         """Merge all increments into one. The merged rows are written first, then one switch makes them count in place of the

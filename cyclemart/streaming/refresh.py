@@ -17,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from cyclemart.operators.daily import daily_actuals
 from cyclemart.operators.fact import sales_fact
 from cyclemart.operators.goals import goals_by_day
+from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import ITEM_FILES, RetailSource
-from cyclemart.sources.warehouse import Warehouse
+from cyclemart.sources.warehouse import Warehouse, shape
 from cyclemart.streaming.late import note_late
 
 #: What a header says about its documents' rows in the fact.
@@ -105,7 +106,8 @@ def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, sin
     days = within_bound(touched, since)
     rows = rebuild_days(source, days)
     if rows is not None:
-        warehouse.replace_days(rows, days)
+        # A fact holds each key once.
+        warehouse.replace_days(materialise(shape(rows, TABLES["fato_vendasdiarias"]), "refreshed-fact"), days, staged=True)
     if since is not None:
         note_late(warehouse, touched.filter(F.col("id_tempo") < F.lit(since)))
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cyclemart.config import SalesRules
-from cyclemart.operators.daily import daily_actuals, daily_cancels, daily_returns, daily_sales
+from cyclemart.operators.daily import daily_actuals, daily_cancels, daily_returns, daily_sales, placed_actuals
 from cyclemart.operators.fact import combine_actuals, sales_fact
 from cyclemart.operators.goals import goals_by_day
 from cyclemart.sources.documents import (
@@ -130,3 +130,21 @@ def test_real_company_zero_merges_with_the_goal_row(spark):
     fact = sales_fact(actuals, goals(spark, [CYCLE], [(1, 7, d("1000"), d("1"))]))
     row = fact.filter(F.col("id_tempo") == F.lit(date(2026, 2, 16))).collect()
     assert len(row) == 1 and row[0].valor_realizado == 80 and row[0].valor_meta_mensal == 1000
+
+
+def test_a_placed_fact_is_not_moved_again(spark, plan):
+    """Days of goals open where the actuals of their month and seller lie; overlapping cycles and company 0 as elsewhere."""
+    lines = spark.createDataFrame(
+        [(1, "V", d0, emp, 7, d("10"), d("1"), d("2"), d("3")) for d0, emp in ((date(2026, 3, 20), 2), (date(2026, 3, 28), 0), (date(2026, 4, 2), 2))]
+        + [(2, "D", date(2026, 4, 2), 2, None, d("4"), d("0"), d("2"), d("1"))],
+        "nunota bigint, tipo_mov string, data_ref date, codemp bigint, codvend bigint, vlrtot decimal(15,2), vlrdesc decimal(20,4), vlrcus decimal(15,2), qtdneg decimal(15,2)")
+    cycles = spark.createDataFrame([(1, date(2026, 3, 1), date(2026, 3, 30)), (2, date(2026, 3, 25), date(2026, 4, 5))],
+                                   "codmetavenda int, dtinic date, dtfin date")
+    wanted = spark.createDataFrame([(1, 7, d("100"), d("1")), (2, 7, d("500"), d("2")), (1, 8, d("50"), d("3"))],
+                                   "codmetavenda int, codvend bigint, vlrmetavendedor decimal(15,2), perccomissao decimal(5,2)")
+    sellers = spark.createDataFrame([(7, "a"), (8, "b")], "codvend bigint, apelido string")
+    plain = sales_fact(daily_actuals(lines), goals_by_day(wanted, cycles, sellers, RULES))
+    placed = sales_fact(placed_actuals(lines), goals_by_day(wanted, cycles, sellers, RULES, placed=True))
+    assert placed.columns == plain.columns and sorted(map(str, placed.collect())) == sorted(map(str, plain.collect()))
+    text = plan(placed)
+    assert "Exchange" not in text[:text.index("Union")]
