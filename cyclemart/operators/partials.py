@@ -12,7 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cyclemart.functions.calendar import month_start
 from cyclemart.operators.daily import DAY_KEYS, cost_gap, net_sale, net_value
+from cyclemart.operators.levels import month_slice, place
 from cyclemart.sources.documents import CANCEL, RETURN, SALE
 
 SUMS = ("vlr_nota", "vlr_desconto", "vlr_devolucao", "vlr_cancelada")
@@ -31,12 +33,19 @@ def partial_actuals(movements: DataFrame) -> DataFrame:
         F.bit_or(F.coalesce(of(SALE, bit), F.lit(0).cast("bigint"))).alias("documentos"))
 
 
-def merge_partials(*parts: DataFrame) -> DataFrame:
-    """Partials of several increments as one: what ``partial_actuals`` gives for all their movements."""
-    return reduce(DataFrame.unionByName, parts).groupBy(*PARTIAL_KEYS).agg(
+def merge_partials(*parts: DataFrame, placed: bool = False) -> DataFrame:
+    """Partials of several increments as one: what ``partial_actuals`` gives for all their movements. ``placed`` moves them by
+    month (``mes``) and the seller's slice of it (``fatia``)."""
+    rows, at = reduce(DataFrame.unionByName, parts), ()
+    if placed:
+        at = ("mes", "fatia")
+        rows = place(rows.withColumns({
+            "mes": month_start(F.col("data_ref")), "fatia": month_slice(rows.sparkSession, F.col("codvend").cast("bigint"))}), "mes")
+    return rows.groupBy(*at, *PARTIAL_KEYS).agg(
         *[F.sum(c).alias(c) for c in SUMS], F.bit_or("documentos").alias("documentos"))
 
 
 def actuals_of(partials: DataFrame) -> DataFrame:
-    """Daily totals as ``daily_actuals`` gives them, from merged partials."""
-    return partials.groupBy(*DAY_KEYS).agg(*[F.sum(c).alias(c) for c in SUMS], F.sum(F.bit_count("documentos")).alias("qtd_transacoes"))
+    """Daily totals as ``daily_actuals`` gives them, from merged partials, which stay where they are placed."""
+    at = [c for c in ("mes", "fatia") if c in partials.columns]
+    return partials.groupBy(*at, *DAY_KEYS).agg(*[F.sum(c).alias(c) for c in SUMS], F.sum(F.bit_count("documentos")).alias("qtd_transacoes"))

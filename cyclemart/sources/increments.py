@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.functions.calendar import year_month
-from cyclemart.operators.fact import sales_fact
-from cyclemart.operators.goals import goals_by_day
+from cyclemart.operators.fact import placed_fact
+from cyclemart.operators.goals import goal_days, placed_goals
 from cyclemart.operators.partials import actuals_of, merge_partials, partial_actuals
-from cyclemart.schemas import TABLES
 from cyclemart.session import materialise
 from cyclemart.sources.retail import RetailSource
-from cyclemart.sources.warehouse import Warehouse, shape
+from cyclemart.sources.warehouse import Warehouse
 
 ROWS = ("data_ref date, codemp bigint, codvend bigint, palavra bigint, vlr_nota decimal(38,4), vlr_desconto decimal(38,4), "
         "vlr_devolucao decimal(38,4), vlr_cancelada decimal(38,4), documentos bigint, ano_mes string, origem string")
@@ -55,28 +54,30 @@ class Increments:
         stored = [r[0] for r in self.spark.read.schema(ROWS).parquet(self.path).select("origem").distinct().collect()]
         return [n for n in stored if n not in hidden and (n in done or not n.startswith(FOLD))]
 
-    def read(self, months: Sequence[str] | None = None) -> DataFrame:
-        """Merged partials, of all months or some."""
+    def read(self, months: Sequence[str] | None = None, days: DataFrame | None = None, placed: bool = False) -> DataFrame:
+        """Merged partials, of all months or some, and of all days or some (``data_ref``)."""
         rows = self.spark.read.schema(ROWS).parquet(self.path).filter(F.col("origem").isin(self.names()))
         if months is not None:
             rows = rows.filter(F.col("ano_mes").isin(list(months)))
-        return merge_partials(rows.drop("ano_mes", "origem"))
+        if days is not None:
+            rows = rows.join(F.broadcast(days), "data_ref", "left_semi")
+        return merge_partials(rows.drop("ano_mes", "origem"), placed=placed)
 
     def add(self, name: str, movements: DataFrame, source: RetailSource) -> None:
         """Store the movements of an increment and bring the fact of the days they fall on up to date."""
-        partials = materialise(partial_actuals(movements), "increment")
-        days = materialise(partials.select(F.col("data_ref").alias("id_tempo")).distinct(), "increment-days")
-        first, last = days.agg(F.min("id_tempo"), F.max("id_tempo")).first()
+        self._write(partial_actuals(movements), name)
+        own = self.spark.read.schema(ROWS).parquet(self.path).filter(F.col("origem") == name)
+        days = materialise(own.select(F.col("data_ref").alias("id_tempo")).distinct(), "increment-days")
+        first, last, months = days.agg(F.min("id_tempo"), F.max("id_tempo"), F.collect_set(year_month(F.col("id_tempo")))).first()
         if first is None:
             return
-        self._write(partials, name)
-        months = [r[0] for r in days.select(year_month(F.col("id_tempo"))).distinct().collect()]
         wanted = days.withColumnRenamed("id_tempo", "data_ref")
         near = source.spanning(first, last)
-        goals = goals_by_day(near.goal_sellers(), near.goal_cycles(), source.sellers(), source.rules, first, last)
-        rows = sales_fact(actuals_of(self.read(months).join(wanted, "data_ref", "left_semi")), goals.join(wanted, "data_ref", "left_semi"))
+        open_days = goal_days(near.goal_cycles(), source.rules, first, last, wanted)
+        goals = placed_goals(near.goal_sellers(), source.sellers(), open_days)
+        rows = placed_fact(actuals_of(self.read(months, wanted, placed=True)), goals, open_days)
         # A fact holds each key once.
-        self.warehouse.replace_days(materialise(shape(rows, TABLES["fato_vendasdiarias"]), "increment-fact"), days, staged=True)
+        self.warehouse.replace_days(rows, days, placed=True)
 
     def fold(self) -> None:
         """Merge all increments into one. The merged rows are written first, then one switch makes them count in place of the

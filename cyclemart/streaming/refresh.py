@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cyclemart.operators.daily import daily_actuals
-from cyclemart.operators.fact import sales_fact
-from cyclemart.operators.goals import goals_by_day
-from cyclemart.schemas import TABLES
+from cyclemart.operators.daily import placed_actuals
+from cyclemart.operators.fact import placed_fact
+from cyclemart.operators.goals import goal_days, placed_goals
 from cyclemart.session import materialise
 from cyclemart.sources.retail import ITEM_FILES, RetailSource
-from cyclemart.sources.warehouse import Warehouse, shape
+from cyclemart.sources.warehouse import Warehouse
 from cyclemart.streaming.late import note_late
 
 #: What a header says about its documents' rows in the fact.
@@ -96,8 +95,9 @@ def rebuild_days(source: RetailSource, days: DataFrame) -> DataFrame | None:
     wanted = days.select(F.col("id_tempo").alias("data_ref"))
     lines = reduce(DataFrame.unionByName, [source.movements(r) for r in ranges])
     near = source.spanning(first, last)
-    goals = goals_by_day(near.goal_sellers(), near.goal_cycles(), source.sellers(), source.rules, first, last)
-    return sales_fact(daily_actuals(lines.join(wanted, "data_ref", "left_semi")), goals.join(wanted, "data_ref", "left_semi"))
+    open_days = goal_days(near.goal_cycles(), source.rules, first, last, wanted)
+    goals = placed_goals(near.goal_sellers(), source.sellers(), open_days)
+    return placed_fact(placed_actuals(lines.join(wanted, "data_ref", "left_semi")), goals, open_days)
 
 
 def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, since: date | None) -> None:
@@ -107,7 +107,7 @@ def _rebuild(warehouse: Warehouse, source: RetailSource, touched: DataFrame, sin
     rows = rebuild_days(source, days)
     if rows is not None:
         # A fact holds each key once.
-        warehouse.replace_days(materialise(shape(rows, TABLES["fato_vendasdiarias"]), "refreshed-fact"), days, staged=True)
+        warehouse.replace_days(rows, days, placed=True)
     if since is not None:
         note_late(warehouse, touched.filter(F.col("id_tempo") < F.lit(since)))
 

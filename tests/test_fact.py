@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from cyclemart.config import SalesRules
 from cyclemart.operators.daily import daily_actuals, daily_cancels, daily_returns, daily_sales, placed_actuals
-from cyclemart.operators.fact import combine_actuals, sales_fact
-from cyclemart.operators.goals import goals_by_day
+from cyclemart.operators.fact import combine_actuals, placed_fact, sales_fact
+from cyclemart.operators.goals import goal_days, goals_by_day, placed_goals
 from cyclemart.sources.documents import (
     approved_sales, cancelled_sales, customer_returns, dated_headers, document_lines, movements,
 )
@@ -148,3 +148,28 @@ def test_a_placed_fact_is_not_moved_again(spark, plan):
     assert placed.columns == plain.columns and sorted(map(str, placed.collect())) == sorted(map(str, plain.collect()))
     text = plan(placed)
     assert "Exchange" not in text[:text.index("Union")]
+
+
+def test_goal_days_open_after_the_rates_are_spread(spark, plan):
+    """Overlapping cycles, a cycle that a seller lacks, a rate that is null, company 0 and sellers without a name or goal."""
+    march, april = date(2026, 3, 28), date(2026, 4, 2)
+    lines = spark.createDataFrame(
+        [(k, "VDC"[k % 3], day, emp, seller, d("10"), d("1"), d("2"), d("3"))
+         for k, (day, emp, seller) in enumerate((day, emp, seller) for day in (date(2026, 3, 20), march, april, date(2026, 5, 1))
+                                                for emp in (0, 2, 3) for seller in (7, 8, 9, None))],
+        "nunota bigint, tipo_mov string, data_ref date, codemp bigint, codvend bigint, vlrtot decimal(15,2), vlrdesc decimal(20,4), vlrcus decimal(15,2), qtdneg decimal(15,2)")
+    cycles = spark.createDataFrame([(1, date(2026, 3, 1), date(2026, 3, 30)), (2, date(2026, 3, 25), date(2026, 4, 5))],
+                                   "codmetavenda int, dtinic date, dtfin date")
+    wanted = spark.createDataFrame([(1, 7, d("100"), d("1")), (2, 7, d("500"), None), (1, 8, d("50"), d("3")), (1, 99, d("1"), d("1"))],
+                                   "codmetavenda int, codvend bigint, vlrmetavendedor decimal(15,2), perccomissao decimal(5,2)")
+    sellers = spark.createDataFrame([(7, "a"), (8, "b"), (9, "c")], "codvend bigint, apelido string")
+    for chosen in (None, spark.createDataFrame([(march,), (april,)], "data_ref date")):
+        some = lines if chosen is None else lines.join(chosen, "data_ref", "left_semi")
+        own = goals_by_day(wanted, cycles, sellers, RULES)
+        plain = sales_fact(daily_actuals(some), own if chosen is None else own.join(chosen, "data_ref", "left_semi"))
+        days = goal_days(cycles, RULES, wanted=chosen)
+        placed = placed_fact(placed_actuals(some), placed_goals(wanted, sellers, days), days)
+        assert placed.columns == plain.columns and sorted(map(str, placed.collect())) == sorted(map(str, plain.collect()))
+    text = plan(placed)
+    assert text.index("Generate inline") < text.index("Window ") < text.index("Union") and "Sort " not in text[:text.index("Generate inline")]
+    assert "Exchange" not in text[:text.index("Generate inline")] and "hashpartitioning(data_ref" not in text[:text.index("Union")]

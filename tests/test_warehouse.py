@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from cyclemart.config import SalesRules
 from cyclemart.operators import dimensions, quality
 from cyclemart.schemas import TABLES
-from cyclemart.session import working_path
+from cyclemart.session import shared_dir, tune, working_path
 from cyclemart.sources.tables import read_jdbc
 from cyclemart.sources.warehouse import ASIDE, Warehouse, export, insert_missing, merge_rows
 
@@ -181,3 +183,46 @@ def test_a_switch_that_broke_off_loses_no_table(spark, warehouse):
     warehouse._rename(path, f"{path}{ASIDE}")
     warehouse.create("dim_vendedor")
     assert warehouse.exists(path) and warehouse.read("dim_vendedor").count() == 2
+
+
+def folders(spark, beginning):
+    return {name for name in os.listdir(shared_dir(spark).removeprefix("file:")) if name.startswith(beginning)}
+
+
+def test_staged_rows_are_removed(spark, warehouse):
+    before = folders(spark, "stage-fato") | folders(spark, "stage-dim")
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (APR, 1, 30)))
+    warehouse.upsert("dim_marca", spark.createDataFrame([(1, "a")], "id_marca bigint, nome_marca string"))
+    warehouse.insert_missing("dim_marca", spark.createDataFrame([(2, "b")], "id_marca bigint, nome_marca string"))
+    warehouse.replace_days(fact(spark, (MAR, 1, 11)), spark.createDataFrame([(MAR,)], "id_tempo date"))
+    assert state(warehouse) == [(MAR, 1, 11), (APR, 1, 30)]
+    assert folders(spark, "stage-fato") | folders(spark, "stage-dim") == before
+
+
+def test_placed_days_go_to_their_files_at_once(spark, warehouse):
+    warehouse.upsert("fato_vendasdiarias", fact(spark, (MAR, 1, 10), (MAR, 2, 20), (date(2026, 3, 6), 9, 1), (APR, 1, 30)))
+    april = {f for f in warehouse.read("fato_vendasdiarias").inputFiles() if "2026-04" in f}
+    days, before = spark.createDataFrame([(MAR,)], "id_tempo date"), set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    warehouse.replace_days(fact(spark, (MAR, 1, 11)), days, placed=True)
+    assert state(warehouse) == [(MAR, 1, 11), (date(2026, 3, 6), 9, 1), (APR, 1, 30)]
+    assert april <= set(warehouse.read("fato_vendasdiarias").inputFiles())
+    # Only the days are written aside, which say what to keep.
+    assert {name.split("-")[1] for name in set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before} <= {"days"}
+    both = spark.createDataFrame([(MAR,), (date(2026, 3, 6),), (APR,), (date(2026, 5, 1),)], "id_tempo date")
+    warehouse.replace_days(fact(spark, (APR, 1, 31)), both, placed=True)
+    assert state(warehouse) == [(APR, 1, 31)] and not warehouse.exists(f"{warehouse.path('fato_vendasdiarias')}/ano_mes=2026-03")
+
+
+def test_shuffle_files_end_with_their_step(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllFiles()
+        return {names.apply(k).getName() for k in range(names.size()) if names.apply(k).getName().endswith(".data")}
+
+    before = shuffled()
+    tune(spark).range(100_000).groupBy(F.col("id") % 1000).count().write.format("noop").mode("overwrite").save()
+    end = time.time() + 30
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
